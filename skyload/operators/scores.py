@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from skyload.constants import KEY, TARGET
 from skyload.functions.fdist import f_upper_tail
@@ -14,22 +15,28 @@ from skyload.operators.columns import numeric_columns
 
 
 def correlations(df: DataFrame, columns: Sequence[str], target: str = TARGET) -> DataFrame:
-    """Rows (position, feature, n, r): Pearson correlation with the target, in one pass."""
+    """Rows (position, feature, n, r): Pearson correlation with the target, in one pass.
+
+    NULL for a column without spread.
+    """
     found = []
     for i, c in enumerate(columns):
         both = F.col(c).isNotNull() & F.col(target).isNotNull()
+        x = F.when(both, F.col(c).cast("double"))
+        y = F.when(both, F.col(target).cast("double"))
+        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
         found.append(
             F.struct(
                 F.lit(i).alias("position"),
                 F.lit(c).alias("feature"),
-                F.count(F.when(both, F.lit(1))).alias("n"),
-                F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias("r"),
+                F.count(x).alias("n"),
+                r.alias("r"),
             )
         )
     return df.agg(F.array(*found).alias("found")).select(F.inline("found"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _upper_tail(score: pd.Series, within: pd.Series) -> pd.Series:
     return pd.Series(
         [None if pd.isna(s) else f_upper_tail(s, 1.0, w) for s, w in zip(score, within, strict=True)],
@@ -45,9 +52,8 @@ def f_scores(df: DataFrame, columns: Sequence[str] | None = None, target: str =
     columns = columns or numeric_columns(df, exclude=(KEY, target))
     rows = correlations(df, columns, target)
     r2 = F.col("r") * F.col("r")
-    defined = ~F.isnan("r") & (r2 < 1)
-    score = F.when(r2 >= 1, F.lit(float("inf"))).when(
-        defined, F.try_divide(r2, F.lit(1.0) - r2) * (F.col("n") - 2)
+    score = F.when(r2 >= 1, F.lit(float("inf"))).otherwise(
+        F.try_divide(r2, F.lit(1.0) - r2) * (F.col("n") - 2)
     )
     return rows.select("position", "feature", "n", score.alias("score"))
 
