@@ -28,6 +28,11 @@ def depth_limit(rows: int) -> int:
     return math.ceil(math.log2(max(rows, 2)))
 
 
+def _ranges(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    low = np.minimum.reduceat(values, starts, axis=0)
+    return low, np.maximum.reduceat(values, starts, axis=0) - low
+
+
 def grow(samples: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
     """Grow one tree per entry of ``samples`` (trees x rows x features) at once."""
     trees, rows, width = samples.shape
@@ -37,33 +42,40 @@ def grow(samples: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...
     threshold = np.zeros((trees, size))
     path = np.zeros((trees, size))
     points = samples.reshape(-1, width)
-    tree = np.repeat(np.arange(trees), rows)
-    node = np.zeros(trees * rows, dtype="int64")
+    row = np.arange(trees * rows)
+    slot = np.repeat(np.arange(trees) * size, rows)
     for depth in range(limit + 1):
-        if not len(points):
+        if not len(row):
             break
-        slot = tree * size + node
         order = np.argsort(slot, kind="stable")
-        points, tree, node, slot = points[order], tree[order], node[order], slot[order]
+        row, slot = row[order], slot[order]
         starts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
         counts = np.diff(np.r_[starts, len(slot)])
-        low = np.minimum.reduceat(points, starts, axis=0)
-        high = np.maximum.reduceat(points, starts, axis=0)
-        path.flat[slot[starts]] = depth + average_path(counts)
+        nodes = slot[starts]
+        path.flat[nodes] = depth + average_path(counts)
         if depth == limit:
             break
-        open_features = high > low
-        splits = open_features.any(axis=1) & (counts > 1)
-        chosen = np.where(open_features, rng.random(low.shape), -1.0).argmax(axis=1)
-        at = np.arange(len(starts))
-        cut = low[at, chosen] + rng.random(len(starts)) * (high - low)[at, chosen]
-        feature.flat[slot[starts[splits]]] = chosen[splits]
-        threshold.flat[slot[starts[splits]]] = cut[splits]
-        group = np.repeat(at, counts)
-        right = points[np.arange(len(points)), chosen[group]] > cut[group]
-        node = 2 * node + 1 + right
-        inside = splits[group]
-        points, tree, node = points[inside], tree[inside], node[inside]
+        group = np.repeat(np.arange(len(starts)), counts)
+        chosen = rng.integers(width, size=len(starts))
+        low, spread = _ranges(points[row, chosen[group]], starts)
+        # A feature without spread cannot split: draw again among those with spread.
+        flat = np.flatnonzero((spread <= 0) & (counts > 1))
+        if len(flat):
+            flat_counts = counts[flat]
+            inside = np.isin(group, flat)
+            flat_starts = np.r_[0, np.cumsum(flat_counts)[:-1]]
+            all_low, all_spread = _ranges(points[row[inside]], flat_starts)
+            again = np.where(all_spread > 0, rng.random(all_low.shape), -1.0).argmax(axis=1)
+            at = np.arange(len(flat))
+            chosen[flat], low[flat], spread[flat] = again, all_low[at, again], all_spread[at, again]
+        cut = low + rng.random(len(starts)) * spread
+        splits = spread > 0
+        feature.flat[nodes[splits]] = chosen[splits]
+        threshold.flat[nodes[splits]] = cut[splits]
+        right = points[row, chosen[group]] > cut[group]
+        base = slot - slot % size
+        slot = base + 2 * (slot - base) + 1 + right
+        row, slot = row[splits[group]], slot[splits[group]]
     return feature, threshold, path
 
 

@@ -20,7 +20,7 @@ from skyload.session import SMALL_ROWS, stable
 PERCENTILE_ROWS = 1_000_000
 
 
-def _ranges(df: DataFrame) -> int:
+def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -47,7 +47,7 @@ def with_row_index(
     """
     by = [*keys, *order]
     ranged = (
-        df.repartitionByRange(_ranges(df), *by)
+        df.repartitionByRange(shuffle_partitions(df), *by)
         .sortWithinPartitions(*by)
         .withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
     )
@@ -115,14 +115,14 @@ def exact_quantiles(
     looked into.
     """
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    if present.limit(rows_in_task + 1).count() <= rows_in_task:
+    if present.count() <= rows_in_task:
         found = {name: F.percentile("_v", F.lit(p)) for name, p in probabilities.items()}
         return present.groupBy(*keys).agg(*[c.alias(n) for n, c in found.items()])
 
     by = [*keys, "_v"]
     counts = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     ranged = stable(
-        counts.repartitionByRange(_ranges(df), *by).withColumn("_range", F.spark_partition_id())
+        counts.repartitionByRange(shuffle_partitions(df), *by).withColumn("_range", F.spark_partition_id())
     )
     spans = ranged.groupBy(*keys, "_range").agg(F.sum("_rows").alias("_in"))
     spans = spans.withColumns(

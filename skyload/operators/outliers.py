@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skyload.constants import KEY
 from skyload.functions import isolation
 from skyload.operators.columns import complete_rows, numeric_columns, valid_altitudes
-from skyload.operators.ordering import exact_quantiles, split_by_length
+from skyload.operators.ordering import exact_quantiles, shuffle_partitions, split_by_length
 from skyload.operators.prepare import moments, standard_score
 from skyload.session import stable
 from skyload.settings import Course
@@ -236,7 +236,9 @@ def clean_trajectory(
     columns = numeric_columns(points, exclude)
     usual, long = split_by_length(points, course.key, course.long_rows)
     keep = _clean_flight(contamination, columns, course.order, course.key)
-    cleaned = usual.groupBy(course.key).applyInPandas(keep, points.schema)
+    # The work is in the forests, not in the bytes, so partitions are not merged by size.
+    spread = usual.repartition(shuffle_partitions(usual), course.key)
+    cleaned = spread.groupBy(course.key).applyInPandas(keep, points.schema)
     if long is None:
         return cleaned
     return cleaned.unionByName(_clean_long_flights(long, contamination, columns, course))

@@ -29,13 +29,13 @@ def train_segment_models(
 ) -> tuple[dict[str, m.Ensemble], DataFrame]:
     """Ensembles by segment, and a row (segment, model, errors) per model.
 
-    The split table is computed once; each segment reads its rows. A segment without
-    both train and test rows has no models.
+    The split table is computed once, and each segment's many passes read its own rows.
+    A segment without both train and test rows has no models.
     """
     split = stable(drop_features(complete_rows(split), final_drop=True))
     trained = {}
     for name in segments:
-        rows = split.where(F.col(SEGMENT) == name).drop(SEGMENT)
+        rows = stable(split.where(F.col(SEGMENT) == name).drop(SEGMENT))
         train, test = train_test_split(rows)
         if train.isEmpty() or test.isEmpty():
             continue

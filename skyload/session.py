@@ -45,11 +45,6 @@ def small_table(spark: SparkSession, columns: dict[str, pa.Array | list]) -> Dat
     return spark.createDataFrame(pa.table(columns))
 
 
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than needed to tell."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast when the size allows it; else the join shuffles on its key."""
-    return F.broadcast(df) if is_small(df, rows) else df
+    """Hint a broadcast when the counted rows allow it; else the join shuffles on its key."""
+    return F.broadcast(df) if df.count() <= rows else df
