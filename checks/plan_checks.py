@@ -34,6 +34,7 @@ _COMPLETE = f"{_COMPLETE_FLIGHT} AND mtow_kg IS NOT NULL"
 
 def _z(column: str, alias: str | None = None) -> str:
     score = f"(r.\"{column}\" - avg(r.\"{column}\") OVER ()) / nullif(stddev_pop(r.\"{column}\") OVER (), 0)"
+    score = f"CASE WHEN min(r.\"{column}\") OVER () < max(r.\"{column}\") OVER () THEN {score} END"
     return f"CASE WHEN r.\"{column}\" IS NOT NULL THEN coalesce({score}, 0.0) END AS \"{alias or column}\""
 
 

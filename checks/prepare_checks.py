@@ -123,7 +123,7 @@ def _score_sql(c: str, m: str, s: str) -> str:
 
 def _normalised(names, deviation: str) -> str:
     listed = ", ".join(
-        f"avg({c}) AS {c}_m, {deviation}({c}) AS {c}_s" for c in names
+        f"avg({c}) AS {c}_m, CASE WHEN min({c}) < max({c}) THEN {deviation}({c}) END AS {c}_s" for c in names
     )
     chosen = ", ".join(f"round({_score_sql(c, c + '_m', c + '_s')}, 6) AS {c}" for c in names)
     return sql(
@@ -320,7 +320,9 @@ def mtow_labelled(table: str) -> str:
 
 def in_segment(column: str) -> str:
     over = "OVER (PARTITION BY segment)"
-    return f"coalesce(({column} - avg({column}) {over}) / nullif(stddev_pop({column}) {over}, 0), 0.0)"
+    varied = f"min({column}) {over} < max({column}) {over}"
+    score = f"({column} - avg({column}) {over}) / nullif(stddev_pop({column}) {over}, 0)"
+    return f"coalesce(CASE WHEN {varied} THEN {score} END, 0.0)"
 
 
 _KEPT = ("flight_id", "aircraft_type", "flown_distance", "mtow_kg", "tow")

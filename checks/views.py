@@ -15,6 +15,8 @@ from skyload.settings import Course
 from skyload.sources.aircraft import aircraft_table
 
 COURSE = Course(ties=("event_id",))
+# Part and supplier keys lie below this.
+KEYS = 2**40
 
 AIRCRAFT_SQL = """
 SELECT * FROM (VALUES
@@ -90,15 +92,13 @@ def aircraft(spark: SparkSession) -> DataFrame:
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a flight; its first line item tells aircraft and destination."""
     t = {n: table(spark, sf_dir, n) for n in "orders lineitem part customer supplier nation region".split()}
-    lines = t["lineitem"].groupBy("l_orderkey").agg(
+    # First line and its key packed in one number: a plain minimum, combined before the shuffle.
+    line = F.col("l_linenumber").cast("long") * KEYS
+    lines = t["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_shipdate").alias("arrival_time"),
         F.sum("l_quantity").alias("qty"),
-        F.min(F.struct("l_linenumber", "l_partkey")).alias("_part"),
-        F.min(F.struct("l_linenumber", "l_suppkey")).alias("_supp"),
-    )
-    lines = lines.select(
-        F.col("l_orderkey").alias("o_orderkey"), "arrival_time", "qty",
-        F.col("_part.l_partkey").alias("p_partkey"), F.col("_supp.l_suppkey").alias("s_suppkey"),
+        (F.min(line + F.col("l_partkey")) % KEYS).alias("p_partkey"),
+        (F.min(line + F.col("l_suppkey")) % KEYS).alias("s_suppkey"),
     )
     places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     brand = F.substring("p_brand", 7, 10)
@@ -113,13 +113,14 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("r_name").alias(f"country_code_{role}"),
         )
 
-    origin = t["customer"].join(port("adep", "c_nationkey"), "c_nationkey", "left")
-    destination = t["supplier"].join(port("ades", "s_nationkey"), "s_nationkey", "left")
+    customers = t["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     joined = (
         t["orders"].join(lines, "o_orderkey", "left")
         .join(parts, "p_partkey", "left")
-        .join(origin.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left")
-        .join(destination, "s_suppkey", "left")
+        .join(customers, "o_custkey", "left")
+        .join(port("adep", "c_nationkey"), "c_nationkey", "left")
+        .join(t["supplier"].select("s_suppkey", "s_nationkey"), "s_suppkey", "left")
+        .join(port("ades", "s_nationkey"), "s_nationkey", "left")
     )
     status = F.col("o_orderstatus")
     return joined.select(

@@ -103,5 +103,6 @@ def scores(
 
 def standardise(points: np.ndarray) -> np.ndarray:
     """Population z-scores by column; columns without spread become 0."""
-    spread = points.std(axis=0)
-    return (points - points.mean(axis=0)) / np.where(spread > 0, spread, 1.0)
+    varied = np.ptp(points, axis=0) > 0
+    scaled = (points - points.mean(axis=0)) / np.where(varied, points.std(axis=0), 1.0)
+    return np.where(varied, scaled, 0.0)

@@ -183,11 +183,7 @@ def _clean_long_flights(
     Counts and moments have one row per long flight; those are few, so they are broadcast.
     """
     key, names = course.key, points.columns
-    per_flight = points.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[F.stddev_pop(c).alias(f"{c}_std") for c in columns],
-    )
+    per_flight = moments(points, columns, by=[key]).withColumnRenamed("n_rows", "_rows")
     scaled = points.join(F.broadcast(per_flight), key).withColumn(
         "_point", _scaled(points, columns, F.col)
     )

@@ -19,14 +19,29 @@ TEST_SHARE = 0.2
 MAX_ONE_HOT = 1_000
 
 
-def moments(df: DataFrame, columns: Sequence[str], ddof: int = 0) -> DataFrame:
-    """One row: ``n_rows``, ``<c>_mean`` and ``<c>_std`` (``ddof=1``: sample deviation)."""
-    deviation = F.stddev_samp if ddof else F.stddev_pop
-    return df.agg(
+def spread(value: Column, ddof: int = 0) -> Column:
+    """Standard deviation as an aggregate; exactly 0 when all values are equal.
+
+    Sums merged from several tasks would leave a rest of about 1e-16 there.
+    """
+    deviation = F.stddev_samp(value) if ddof else F.stddev_pop(value)
+    return F.when(F.min(value) == F.max(value), F.lit(0.0)).otherwise(deviation)
+
+
+def moment_columns(columns: Sequence[str], ddof: int = 0) -> list[Column]:
+    """Aggregates ``n_rows``, ``<c>_mean`` and ``<c>_std`` (``ddof=1``: sample deviation)."""
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[deviation(c).alias(f"{c}_std") for c in columns],
-    )
+        *[spread(F.col(f"`{c}`"), ddof).alias(f"{c}_std") for c in columns],
+    ]
+
+
+def moments(
+    df: DataFrame, columns: Sequence[str], ddof: int = 0, by: Sequence[str] = ()
+) -> DataFrame:
+    """Row count, means and deviations: one row, or one per group."""
+    return df.groupBy(*by).agg(*moment_columns(columns, ddof))
 
 
 def standard_score(value: Column, mean: Column, deviation: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 from skyload.constants import KEY, TARGET
 from skyload.functions.fdist import f_upper_tail
 from skyload.operators.columns import numeric_columns
+from skyload.operators.prepare import spread
 
 
 def correlations(df: DataFrame, columns: Sequence[str], target: str = TARGET) -> DataFrame:
@@ -24,7 +25,7 @@ def correlations(df: DataFrame, columns: Sequence[str], target: str = TARGET) ->
         both = F.col(c).isNotNull() & F.col(target).isNotNull()
         x = F.when(both, F.col(c).cast("double"))
         y = F.when(both, F.col(target).cast("double"))
-        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        r = F.try_divide(F.covar_pop(x, y), spread(x) * spread(y))
         found.append(
             F.struct(
                 F.lit(i).alias("position"),

@@ -11,7 +11,7 @@ from skyload.constants import DISTANCE_SEGMENTS, KEY, MTOW_SEGMENTS, TARGET
 from skyload.functions.bins import distance_bin, is_narrow_body, wide_body_label
 from skyload.operators.joins import targets_of
 from skyload.operators.ordering import exact_quantiles, with_row_index
-from skyload.operators.prepare import standard_score
+from skyload.operators.prepare import moments, standard_score
 
 SEGMENT = "segment"
 _QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -70,22 +70,13 @@ def label_by_distance(df: DataFrame, mtow: str = "mtow_kg") -> DataFrame:
     return df.withColumn(SEGMENT, label)
 
 
-def segment_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, means and population deviations by segment: one row per segment."""
-    return df.groupBy(SEGMENT).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[F.stddev_pop(c).alias(f"{c}_std") for c in columns],
-    )
-
-
 def standardise_in_segments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Standardise columns inside each segment; rows without a segment drop out.
 
     The moments have one row per segment (at most six), so they are broadcast.
     """
     df = df.where(F.col(SEGMENT).isNotNull())
-    found = segment_moments(df, columns).drop("n_rows")
+    found = moments(df, columns, by=[SEGMENT]).drop("n_rows")
     scores = {
         c: standard_score(F.col(c), F.col(f"{c}_mean"), F.col(f"{c}_std")) for c in columns
     }
@@ -132,11 +123,11 @@ def split_by_wake_class(
 
 def segment_summary(split: DataFrame, columns: Sequence[str] = (TARGET,)) -> DataFrame:
     """Size and moments of each segment in one grouped pass."""
-    return segment_moments(split.where(F.col(SEGMENT).isNotNull()), columns)
+    return moments(split.where(F.col(SEGMENT).isNotNull()), columns, by=[SEGMENT])
 
 
 __all__ = [
     "DISTANCE_SEGMENTS", "MTOW_SEGMENTS", "SEGMENT", "label_by_distance", "label_by_mtow",
-    "mtow_quartiles", "narrow_body_ntile", "segment_moments", "segment_summary", "segment_views",
+    "mtow_quartiles", "narrow_body_ntile", "segment_summary", "segment_views",
     "split_by_distance", "split_by_mtow", "split_by_wake_class", "standardise_in_segments",
 ]
