@@ -62,6 +62,28 @@ def l1(spark, sf):
     return tabular_features(views.flights(spark, sf), views.aircraft(spark), isolation=False)
 
 
+@check(
+    "l1_tabular_trajectory_features",
+    sql(
+        f"SELECT r.flight_id, round(r.tow, 6) AS tow, {_rounded_z(*_TABULAR, *FEATURE_NAMES)}, "
+        f"{encoded_columns()}, {_flag('L')}, {_flag('M')} FROM rows_ r {encoded_joins('rows_')}",
+        "enriched",
+        "trajectory",
+        valid=VALID,
+        **steps("balance", manual=True, source="valid"),
+        features=FEATURES_SQL,
+        rows_=f"SELECT * FROM (SELECT * FROM ({WITH_DURATION}) x WHERE {_COMPLETE}) y JOIN features USING (flight_id)",
+    ),
+)
+def l1_trajectory(spark, sf):
+    """With trajectories, phases by fixed altitudes."""
+    return tabular_features(
+        views.flights(spark, sf), views.aircraft(spark),
+        Settings(use_trajectory=True, manual_phases=True),
+        views.trajectory(spark, sf), views.COURSE, isolation=False,
+    )
+
+
 _NORMALISED = ("duration", "passengers", "roc_initial_climb", "v2_ias", *FEATURE_NAMES)
 
 

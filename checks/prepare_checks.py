@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,6 +222,16 @@ def m6(spark, sf):
     return prepare.one_hot(views.flights(spark, sf).select("flight_id", "wtc"))
 
 
+@check("m6_one_hot_vector", sql(f"SELECT flight_id, {_flag('H')}, {_flag('L')}, {_flag('M')} FROM flights", "flights"))
+def m6_vector(spark, sf):
+    """Elements of the vector by order of the values."""
+    rows = prepare.one_hot_vector(views.flights(spark, sf).select("flight_id", "wtc"))
+    flags = vector_to_array(F.col("wtc_encoded"))
+    return rows.select(
+        "flight_id", *[flags[i].cast("int").alias(f"wtc_{v}") for i, v in enumerate("HLM")]
+    )
+
+
 @check("m6_one_hot_drop_first", sql(f"SELECT flight_id, {_flag('L')}, {_flag('M')} FROM flights", "flights"))
 def m6_drop(spark, sf):
     return prepare.one_hot(views.flights(spark, sf).select("flight_id", "wtc"), always=(), drop_first=True)
@@ -341,6 +352,26 @@ def m11(spark, sf):
     return segments.split_by_mtow(enriched(spark, sf).select(*_KEPT))
 
 
+@check(
+    "m11_split_mtow_ntile",
+    sql(
+        f"SELECT segment, flight_id, aircraft_type, {rounded('flown_distance', 'tow')}, "
+        f"round({in_segment('mtow_kg')}, 6) AS mtow_kg FROM labelled WHERE segment IS NOT NULL",
+        "enriched",
+        labelled="""
+SELECT r.*, CASE WHEN quarter = 1 THEN 'very_low' WHEN quarter = 2 THEN 'low' WHEN quarter = 3 THEN 'medium'
+                 WHEN quarter = 4 THEN 'high' WHEN aircraft_type = 'B77W' THEN 'b77w'
+                 WHEN mtow_kg > 115680 THEN 'non_b77w' END AS segment
+FROM enriched r
+LEFT JOIN (SELECT flight_id, ntile(4) OVER (ORDER BY mtow_kg, flight_id) AS quarter
+           FROM enriched WHERE mtow_kg <= 115680) q USING (flight_id)
+""",
+    ),
+)
+def m11_ntile(spark, sf):
+    return segments.split_by_mtow(enriched(spark, sf).select(*_KEPT), method="ntile")
+
+
 @check(
     "w9_ntile",
     sql(

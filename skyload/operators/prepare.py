@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,6 +154,16 @@ def one_hot(
     return df.withColumns(flags).drop(column)
 
 
+def one_hot_vector(df: DataFrame, column: str = ONE_HOT_COLUMN) -> DataFrame:
+    """``<column>_index`` by order of the values, and ``<column>_encoded`` as a 0/1 vector."""
+    index, vector = f"{column}_index", f"{column}_encoded"
+    indexer = StringIndexer(
+        inputCol=column, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep"
+    )
+    encoder = OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True)
+    return Pipeline(stages=[indexer, encoder]).fit(df).transform(df)
+
+
 def split_hash(key: str = KEY, seed: str = "") -> Column:
     """Hash of the key; does not depend on where or when the row is read."""
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))

@@ -18,23 +18,24 @@ from skyload.operators.prepare import spread
 def correlations(df: DataFrame, columns: Sequence[str], target: str = TARGET) -> DataFrame:
     """Rows (position, feature, n, r): Pearson correlation with the target, in one pass.
 
-    NULL for a column without spread.
+    NULL for a column without spread. Values go in long form, so that a few aggregates
+    per feature are combined in each task, however many features there are.
     """
-    found = []
-    for i, c in enumerate(columns):
-        both = F.col(c).isNotNull() & F.col(target).isNotNull()
-        x = F.when(both, F.col(c).cast("double"))
-        y = F.when(both, F.col(target).cast("double"))
-        r = F.try_divide(F.covar_pop(x, y), spread(x) * spread(y))
-        found.append(
+    pairs = F.array(
+        *[
             F.struct(
                 F.lit(i).alias("position"),
                 F.lit(c).alias("feature"),
-                F.count(x).alias("n"),
-                r.alias("r"),
+                F.col(f"`{c}`").cast("double").alias("x"),
             )
-        )
-    return df.agg(F.array(*found).alias("found")).select(F.inline("found"))
+            for i, c in enumerate(columns)
+        ]
+    )
+    long = df.select(F.col(target).cast("double").alias("_y"), F.inline(pairs))
+    both = F.col("x").isNotNull() & F.col("_y").isNotNull()
+    x, y = F.when(both, F.col("x")), F.when(both, F.col("_y"))
+    r = F.try_divide(F.covar_pop(x, y), spread(x) * spread(y))
+    return long.groupBy("position", "feature").agg(F.count(x).alias("n"), r.alias("r"))
 
 
 @F.pandas_udf(DoubleType())

@@ -32,7 +32,7 @@ def label_by_mtow(df: DataFrame, mtow: str = "mtow_kg", method: str = "quantile"
     names = MTOW_SEGMENTS[:4]
     weight, narrow = F.col(mtow), is_narrow_body(F.col(mtow))
     if method == "ntile":
-        part = narrow_body_ntile(df, mtow).select(KEY, "ntile")
+        part = narrow_body_ntile(df.select(KEY, mtow), mtow).select(KEY, "ntile")
         df = df.join(part, KEY, "left")
         quarter = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("ntile"))
         label = F.when(narrow, quarter).when(~narrow, wide_body_label(F.col("aircraft_type")))

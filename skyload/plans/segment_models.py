@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,29 +22,43 @@ from skyload.sources.sinks import save_model
 LEARNERS = {"boosted": m.FIRST, "forest": m.SECOND}
 
 
+def train_segment(
+    rows: DataFrame, learners: Mapping[str, m.Learner], k: int = 15
+) -> m.Ensemble | None:
+    """Split, select and train on one segment; None without both train and test rows."""
+    rows = stable(rows)
+    train, test = train_test_split(rows)
+    if train.isEmpty() or test.isEmpty():
+        return None
+    train, test, _ = select_features(train, test, k)
+    return m.train_ensemble(train, test, learners)
+
+
 def train_segment_models(
     split: DataFrame,
     learners: Mapping[str, m.Learner] = LEARNERS,
     segments: Sequence[str] = MTOW_SEGMENTS,
     k: int = 15,
     model_path: str | None = None,
+    parallelism: int = 3,
 ) -> tuple[dict[str, m.Ensemble], DataFrame]:
     """Ensembles by segment, and a row (segment, model, errors) per model.
 
     The split table is computed once, and each segment's many passes read its own rows.
-    A segment without both train and test rows has no models.
+    ``parallelism`` segments are trained at a time; they share nothing.
     """
     split = stable(drop_features(complete_rows(split), final_drop=True))
-    trained = {}
-    for name in segments:
-        rows = stable(split.where(F.col(SEGMENT) == name).drop(SEGMENT))
-        train, test = train_test_split(rows)
-        if train.isEmpty() or test.isEmpty():
-            continue
-        train, test, _ = select_features(train, test, k)
-        trained[name] = m.train_ensemble(train, test, learners)
-        if model_path:
-            for learner, model in trained[name].models.items():
+
+    def of_segment(name: str) -> m.Ensemble | None:
+        return train_segment(split.where(F.col(SEGMENT) == name).drop(SEGMENT), learners, k)
+
+    with ThreadPool(parallelism) as pool:
+        session = split.sparkSession
+        found = pool.map(inheritable_thread_target(session)(of_segment), segments)
+    trained = {name: e for name, e in zip(segments, found, strict=True) if e is not None}
+    for name, ensemble in trained.items():
+        for learner, model in ensemble.models.items():
+            if model_path:
                 save_model(model, model_path, f"{name}_{learner}")
     tables = [e.metrics.select(F.lit(n).alias(SEGMENT), "*") for n, e in trained.items()]
     return trained, reduce(DataFrame.unionByName, tables)

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 
 from skyload.functions.times import add_duration
 from skyload.operators import models as m
-from skyload.operators.columns import complete_rows, drop_features
+from skyload.operators.columns import complete_rows, drop_features, valid_altitudes
 from skyload.operators.joins import enrich, known_types, with_flight_features
-from skyload.operators.outliers import clean
+from skyload.operators.outliers import clean, clean_trajectory
 from skyload.operators.prepare import label_encode, normalise, one_hot, train_test_split
 from skyload.operators.scores import select_features
 from skyload.operators.trajectory import trajectory_features
@@ -38,7 +38,13 @@ def tabular_features(
     if settings.use_external_data:
         rows = known_types(enrich(rows, aircraft), aircraft)
     if settings.use_trajectory:
-        features = trajectory_features(points, course, manual=settings.manual_phases)
+        if isolation:
+            points = clean_trajectory(points, settings.contamination, course)
+        else:
+            points = valid_altitudes(points)
+        features = trajectory_features(
+            points, course, settings.refine_phases, settings.manual_phases, settings.wind_factor
+        )
         rows = with_flight_features(rows, features)
     if not settings.use_all_features:
         rows = drop_features(rows)

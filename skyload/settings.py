@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from skyload.constants import KEY
+from skyload.constants import KEY, METRE_IN_FT
 
 
 @dataclass(frozen=True)
@@ -21,6 +21,7 @@ class Settings:
     n_trials: int = 50
     timeout: int = 600
     learner: str = "gbt"
+    wind_factor: float = METRE_IN_FT
 
 
 @dataclass(frozen=True)
