@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def weights_table(spark: SparkSession) -> DataFrame:
         for place, row in enumerate(cubic_weights(window)):
             windows.append(window)
             places.append(place)
-            weights.append(np.pad(row, (0, SMOOTHING_MAX_WINDOW - window)).tolist())
+            weights.append(row.tolist())
     return small_table(
         spark, {"_window": windows, "_place": places, "_weights": weights}
     ).select(F.col("_window").cast("int"), F.col("_place").cast("int"), "_weights")
@@ -46,10 +48,21 @@ def window_start(row_no: Column, n_points: Column, window: Column) -> Column:
     return F.greatest(F.lit(0).cast("long"), F.least(centred, n_points - window))
 
 
-def weighted_sum(values: Column, first: Column, weights: Column) -> Column:
-    """Sum of weights times values, starting at position ``first`` of ``values``."""
-    total = F.lit(0.0)
-    for j in range(SMOOTHING_MAX_WINDOW):
-        term = F.get(values, (first + j).cast("int")) * F.get(weights, F.lit(j))
-        total = total + F.coalesce(term, F.lit(0.0))
+def centred_fit(neighbour: Callable[[int], Column]) -> Column:
+    """Fit of a full window around a row; ``neighbour(d)`` is the value d rows on.
+
+    The weights are the same for all such rows, nearly all of a flight, and symmetric.
+    """
+    half = SMOOTHING_MAX_WINDOW // 2
+    weights = cubic_weights(SMOOTHING_MAX_WINDOW)[half, half:].tolist()
+    total = F.lit(weights[0]) * neighbour(0)
+    for d in range(1, half + 1):
+        total = total + F.lit(weights[d]) * (neighbour(-d) + neighbour(d))
     return total
+
+
+def edge_fit(values: Column, first: Column, window: Column, weights: Column) -> Column:
+    """Sum of weights times the ``window`` values from position ``first`` on."""
+    start = F.greatest(first + 1, F.lit(1)).cast("int")
+    products = F.zip_with(F.slice(values, start, window), weights, lambda v, w: v * w)
+    return F.aggregate(products, F.lit(0.0), lambda total, product: total + product)

@@ -31,14 +31,10 @@ class FlightRows:
 
     @staticmethod
     def whole(points: DataFrame, course: Course) -> FlightRows:
-        along = Window.partitionBy(course.key).orderBy(*course.order)
-        frame = points.withColumns(
-            {
-                ROW: F.row_number().over(along).cast("long") - 1,
-                LENGTH: F.count(F.lit(1)).over(Window.partitionBy(course.key)),
-            }
+        rows = FlightRows(points, course, in_pieces=False)
+        return rows.with_columns({ROW: F.row_number().over(rows.along()).cast("long") - 1}).with_flight_values(
+            {LENGTH: F.count(F.lit(1))}
         )
-        return FlightRows(frame, course, in_pieces=False)
 
     @staticmethod
     def numbered(points: DataFrame, course: Course) -> DataFrame:
@@ -91,7 +87,8 @@ class FlightRows:
         """Add aggregates over the whole flight to each of its rows."""
         key = self.course.key
         if not self.in_pieces:
-            flight = Window.partitionBy(key)
+            # Over the same order as everything else, so that Spark joins the windows into one.
+            flight = self.along().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             return self.with_columns({n: c.over(flight) for n, c in values.items()})
         per_flight = self._own().groupBy(key).agg(*[c.alias(n) for n, c in values.items()])
         return self.mapped(lambda frame: frame.join(F.broadcast(per_flight), key))

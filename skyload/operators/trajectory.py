@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from skyload.constants import (
     REFINED_CLIMB_ALTITUDE_SHARE,
     REFINED_CLIMB_QUANTILE,
     REFINED_TAKEOFF_QUANTILE,
+    SMOOTHING_MAX_WINDOW,
     SMOOTHING_MIN_WINDOW,
     TAKEOFF_END_QUANTILE,
     TOP_OF_CLIMB_SHARE,
@@ -23,6 +25,7 @@ from skyload.operators.columns import numeric_columns
 from skyload.operators.course import LENGTH, ROW, FlightRows, along_flights
 from skyload.settings import Course
 
+_TIME, _ALTITUDE = "_micros", "_altitude"
 _PHASES = ("in_takeoff", "in_climb", "in_cruise")
 
 
@@ -30,8 +33,23 @@ def _change(rows: FlightRows, value: Column) -> Column:
     return value - F.lag(value).over(rows.along())
 
 
-def _time(rows: FlightRows) -> Column:
-    return motion.micros(F.col(rows.course.time))
+def _prepared(points: DataFrame, course: Course) -> DataFrame:
+    """Points with what windows look at as plain columns, which lets Spark join windows.
+
+    A gap in the altitude must not shift the points after it, hence NaN there, not NULL.
+    """
+    return points.withColumns(
+        {
+            _TIME: motion.micros(F.col(course.time)),
+            _ALTITUDE: F.coalesce(F.col("altitude").cast("double"), F.lit(float("nan"))),
+        }
+    )
+
+
+def _over_flights(
+    points: DataFrame, course: Course, reach: int, step: Callable[[FlightRows], FlightRows]
+) -> DataFrame:
+    return along_flights(_prepared(points, course), course, reach, step).drop(_TIME, _ALTITUDE)
 
 
 def _airspeed(wind_factor: float) -> Column:
@@ -54,7 +72,7 @@ def _with_altitude_change(rows: FlightRows) -> FlightRows:
 def _with_rates(rows: FlightRows, values: dict[str, Column], rates: dict[str, str]) -> FlightRows:
     """Add ``values``, and for each (rate, value) in ``rates`` its change per second."""
     rows = rows.with_columns(values)
-    passed = _change(rows, _time(rows))
+    passed = _change(rows, F.col(_TIME))
     return rows.with_columns(
         {rate: motion.per_second(_change(rows, F.col(v)), passed) for rate, v in rates.items()}
     )
@@ -62,39 +80,44 @@ def _with_rates(rows: FlightRows, values: dict[str, Column], rates: dict[str, st
 
 def _with_smoothed_altitude(rows: FlightRows, name: str = "altitude_smooth") -> FlightRows:
     """Cubic least-squares smoothing; NULL for flights of fewer than five points."""
-    spark = rows.frame.sparkSession
-    reach = smoothing.REACH
-    seen = rows.along().rowsBetween(-reach, reach)
-    # A gap in the column must not shift the points after it, hence NaN, not NULL.
-    altitude = F.coalesce(F.col("altitude").cast("double"), F.lit(float("nan")))
-    window = smoothing.window_length(F.col(LENGTH))
-    start = smoothing.window_start(F.col(ROW), F.col(LENGTH), F.col("_window"))
-    rows = rows.with_columns({"_seen": F.collect_list(altitude).over(seen), "_window": window})
-    rows = rows.with_columns({"_start": start})
-    rows = rows.with_columns({"_place": (F.col(ROW) - F.col("_start")).cast("int")})
+    reach, half = smoothing.REACH, SMOOTHING_MAX_WINDOW // 2
+    along, row, length = rows.along(), F.col(ROW), F.col(LENGTH)
+    window = smoothing.window_length(length)
+    rows = rows.with_columns(
+        {
+            "_seen": F.collect_list(_ALTITUDE).over(along.rowsBetween(-reach, reach)),
+            "_centred": smoothing.centred_fit(lambda d: F.lag(_ALTITUDE, -d).over(along)),
+            "_window": window,
+            "_start": smoothing.window_start(row, length, window),
+        }
+    )
+    rows = rows.with_columns({"_place": (row - F.col("_start")).cast("int")})
+    weights = F.broadcast(smoothing.weights_table(rows.frame.sparkSession))
+    rows = rows.mapped(lambda frame: frame.join(weights, ["_window", "_place"], "left"))
     # Rows seen start at the flight's first row or at the first one within reach. A
     # copied row of a piece may see fewer; its result is dropped with it.
-    first_seen = F.greatest(F.lit(0).cast("long"), F.col(ROW) - F.lit(reach))
-    weights = F.broadcast(smoothing.weights_table(spark))
-    rows = rows.mapped(lambda frame: frame.join(weights, ["_window", "_place"], "left"))
-    fitted = smoothing.weighted_sum(F.col("_seen"), F.col("_start") - first_seen, F.col("_weights"))
-    known = F.nanvl(fitted, F.lit(None).cast("double"))
-    long_enough = F.col("_window") >= SMOOTHING_MIN_WINDOW
-    return rows.with_columns({name: F.when(long_enough, known)}).mapped(
-        lambda frame: frame.drop("_seen", "_window", "_start", "_place", "_weights")
+    first_seen = F.greatest(F.lit(0).cast("long"), row - F.lit(reach))
+    at_edge = smoothing.edge_fit(
+        F.col("_seen"), F.col("_start") - first_seen, F.col("_window"), F.col("_weights")
+    )
+    fitted = F.when((row >= half) & (row < length - half), F.col("_centred")).when(
+        F.col("_window") >= SMOOTHING_MIN_WINDOW, at_edge
     )
+    rows = rows.with_columns({name: F.nanvl(fitted, F.lit(None).cast("double"))})
+    working = ("_seen", "_centred", "_window", "_start", "_place", "_weights")
+    return rows.mapped(lambda frame: frame.drop(*working))
 
 
 def _with_rate_of_climb(rows: FlightRows, name: str = "ROC") -> FlightRows:
     """Gradient of the smoothed altitude over uneven time steps."""
-    rows = _with_smoothed_altitude(rows).with_columns({"_t": _time(rows)})
+    rows = _with_smoothed_altitude(rows)
     along = rows.along()
     rows = rows.with_columns(
         {
             "_before": F.lag("altitude_smooth").over(along),
             "_after": F.lead("altitude_smooth").over(along),
-            "_step_in": (F.col("_t") - F.lag("_t").over(along)) / F.lit(1e6),
-            "_step_out": (F.lead("_t").over(along) - F.col("_t")) / F.lit(1e6),
+            "_step_in": (F.col(_TIME) - F.lag(_TIME).over(along)) / F.lit(1e6),
+            "_step_out": (F.lead(_TIME).over(along) - F.col(_TIME)) / F.lit(1e6),
         }
     )
     here = F.col("altitude_smooth")
@@ -109,7 +132,7 @@ def _with_rate_of_climb(rows: FlightRows, name: str = "ROC") -> FlightRows:
     )
     rows = rows.with_columns({name: gradient})
     return rows.mapped(
-        lambda frame: frame.drop("_t", "_before", "_after", "_step_in", "_step_out")
+        lambda frame: frame.drop("_before", "_after", "_step_in", "_step_out")
     ).settled()
 
 
@@ -147,7 +170,7 @@ def _with_phases(rows: FlightRows, manual: bool) -> FlightRows:
 
 def _with_refined_phases(rows: FlightRows, manual: bool) -> FlightRows:
     """Take-off rows of above-median climb rate; climb rows that climb and are not yet high."""
-    rows = _with_phases(_with_rate_of_climb(rows), manual)
+    rows = _with_rate_of_climb(_with_phases(rows, manual))
     rate = F.col("ROC")
     rows = rows.with_flight_quantile(
         "_takeoff_rate", F.when(F.col("in_takeoff"), rate), REFINED_TAKEOFF_QUANTILE
@@ -167,7 +190,7 @@ def _with_refined_phases(rows: FlightRows, manual: bool) -> FlightRows:
 
 def altitude_change(points: DataFrame, course: Course = Course()) -> DataFrame:
     """``altitude_diff``: difference to the previous point of the flight."""
-    return along_flights(points, course, 1, _with_altitude_change)
+    return _over_flights(points, course, 1, _with_altitude_change)
 
 
 def horizontal_acceleration(
@@ -175,7 +198,7 @@ def horizontal_acceleration(
 ) -> DataFrame:
     """``V`` and ``dV_dt``: true airspeed and its change per second."""
     step = partial(_with_rates, values={"V": _airspeed(wind_factor)}, rates={"dV_dt": "V"})
-    return along_flights(points, course, 1, step)
+    return _over_flights(points, course, 1, step)
 
 
 def wind_acceleration(
@@ -183,17 +206,17 @@ def wind_acceleration(
 ) -> DataFrame:
     """``W_long`` and ``dWi_dt``: wind along the track and its change per second."""
     step = partial(_with_rates, values={"W_long": _wind(wind_factor)}, rates={"dWi_dt": "W_long"})
-    return along_flights(points, course, 1, step)
+    return _over_flights(points, course, 1, step)
 
 
 def smoothed_altitude(points: DataFrame, course: Course = Course()) -> DataFrame:
     """``altitude_smooth``: cubic least-squares smoothing over up to 21 points."""
-    return along_flights(points, course, smoothing.REACH, _with_smoothed_altitude)
+    return _over_flights(points, course, smoothing.REACH, _with_smoothed_altitude)
 
 
 def rate_of_climb(points: DataFrame, course: Course = Course()) -> DataFrame:
     """``altitude_smooth`` and ``ROC``, its gradient over time."""
-    return along_flights(points, course, smoothing.REACH + 1, _with_rate_of_climb)
+    return _over_flights(points, course, smoothing.REACH + 1, _with_rate_of_climb)
 
 
 def flight_phases(
@@ -205,7 +228,7 @@ def flight_phases(
     by rate of climb and altitude.
     """
     phases = _with_refined_phases if refine else _with_phases
-    return along_flights(points, course, smoothing.REACH + 1, partial(phases, manual=manual))
+    return _over_flights(points, course, smoothing.REACH + 1, partial(phases, manual=manual))
 
 
 def phase_rows(phases: DataFrame) -> dict[str, DataFrame]:
@@ -229,8 +252,8 @@ def thrust_minus_drag(
 
     def step(rows: FlightRows) -> FlightRows:
         rows = _with_altitude_change(rows)
-        rows = _with_refined_phases(rows, manual) if refine else _with_phases(
-            _with_rate_of_climb(rows), manual
+        rows = _with_refined_phases(rows, manual) if refine else _with_rate_of_climb(
+            _with_phases(rows, manual)
         )
         rows = rows.kept(F.col("in_takeoff") | F.col("in_climb"), reach=1)
         values = {
@@ -250,7 +273,7 @@ def thrust_minus_drag(
 
     reach = smoothing.REACH + 1
     working = ("altitude_smooth", "max_altitude", "takeoff_end", "top_of_climb", *_PHASES)
-    done = along_flights(points, course, reach, step)
+    done = _over_flights(points, course, reach, step)
     return done.drop(*working).where(F.col("T_minus_D").isNotNull())
 
 
