@@ -80,24 +80,28 @@ def grow(samples: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...
 
 
 def scores(
-    points: np.ndarray, forest: tuple[np.ndarray, ...], sample_rows: int, batch: int = 4096
+    points: np.ndarray, forest: tuple[np.ndarray, ...], sample_rows: int, batch: int = 2048
 ) -> np.ndarray:
     """Anomaly score in (0, 1]; the higher, the easier a row is to isolate."""
     feature, threshold, path = forest
     trees, size = feature.shape
-    base = np.arange(trees) * size
-    flat_feature, flat_threshold, flat_path = feature.ravel(), threshold.ravel(), path.ravel()
+    slots = np.arange(trees * size).reshape(trees, size)
+    leaf = feature < 0
+    # A leaf leads to itself: no value is above its threshold.
+    below = np.where(leaf, slots, 2 * slots - slots[:, :1] + 1).ravel()
+    column = np.where(leaf, 0, feature).ravel()
+    limit = np.where(leaf, np.inf, threshold).ravel()
+    length = path.ravel()
+    width = points.shape[1]
     found = np.empty(len(points))
     for start in range(0, len(points), batch):
-        part = points[start : start + batch]
-        rows = np.arange(len(part))[:, None]
-        node = np.zeros((len(part), trees), dtype="int64")
+        values = np.ascontiguousarray(points[start : start + batch]).ravel()
+        first = np.arange(0, len(values), width)[:, None]
+        at = np.repeat(slots[:, 0][None, :], len(first), axis=0)
         for _ in range(depth_limit(sample_rows)):
-            split = flat_feature[base + node]
-            right = part[rows, np.maximum(split, 0)] > flat_threshold[base + node]
-            node = np.where(split >= 0, 2 * node + 1 + right, node)
-        depth = flat_path[base + node].mean(axis=1)
-        found[start : start + batch] = depth
+            above = values.take(first + column.take(at)) > limit.take(at)
+            at = below.take(at) + above
+        found[start : start + batch] = length.take(at).mean(axis=1)
     return np.exp2(-found / max(float(average_path(sample_rows)), 1e-12))
 
 
