@@ -110,7 +110,7 @@ def p2(spark, sf):
     return columns.drop_features(views.flights(spark, sf), drop_key=True)
 
 
-_AIRCRAFT = "CAST(mtow_kg AS BIGINT) AS mtow_kg, passengers, roc_initial_climb, v2_ias"
+_AIRCRAFT = "mtow_kg, passengers, roc_initial_climb, v2_ias"
 
 
 @check("p3_numeric_only", sql(f"SELECT {NUMBERS}, {_AIRCRAFT} FROM enriched", "enriched"))
@@ -293,14 +293,14 @@ def h6(spark, sf):
     return views.trajectory(spark, sf).select("event_id", deviation.alias("delta_t"))
 
 
-@check("h7_wind_along", sql(f"SELECT event_id, round({wind_sql(3.28084)}, 6) AS w_long FROM trajectory", "trajectory"))
+@check("h7_wind_along", sql(f"SELECT event_id, round({wind_sql(3.28084)}, 6) + 0.0 AS w_long FROM trajectory", "trajectory"))
 def h7(spark, sf):
     return views.trajectory(spark, sf).select("event_id", _wind())
 
 
 @check(
     "h7_wind_along_knots",
-    sql(f"SELECT event_id, round({wind_sql(KNOT_IN_FT_PER_S)}, 6) AS w_long FROM trajectory", "trajectory"),
+    sql(f"SELECT event_id, round({wind_sql(KNOT_IN_FT_PER_S)}, 6) + 0.0 AS w_long FROM trajectory", "trajectory"),
 )
 def h7_knots(spark, sf):
     return views.trajectory(spark, sf).select("event_id", _wind(wind_factor=KNOT_IN_FT_PER_S))

@@ -21,7 +21,8 @@ _VIEWS = {
     "flights": FLIGHTS_SQL,
     "trajectory": TRAJECTORY_SQL,
     "enriched": """
-SELECT f.*, a.mtow_kg, a.passengers, a.roc_initial_climb, a.v2_ias
+SELECT f.*, CAST(a.mtow_kg AS BIGINT) AS mtow_kg, CAST(a.passengers AS BIGINT) AS passengers,
+       CAST(a.roc_initial_climb AS BIGINT) AS roc_initial_climb, CAST(a.v2_ias AS BIGINT) AS v2_ias
 FROM flights f LEFT JOIN aircraft a ON a.aircraft_type = f.aircraft_type
 """,
 }
@@ -39,9 +40,9 @@ def sql(select: str, *views: str, **more: str) -> str:
 
 
 def rounded(*columns: str, places: dict[str, int] | None = None) -> str:
-    """Select list of rounded columns."""
+    """Select list of rounded columns; adding 0 turns a negative zero into zero."""
     places = places or {}
-    return ", ".join(f'round("{c}", {places.get(c, PLACES)}) AS "{c}"' for c in columns)
+    return ", ".join(f'round("{c}", {places.get(c, PLACES)}) + 0.0 AS "{c}"' for c in columns)
 
 
 def round_doubles(df: DataFrame, places: dict[str, int] | None = None) -> DataFrame:

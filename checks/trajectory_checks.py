@@ -137,8 +137,8 @@ def w1(spark, sf):
 def _rate_sql(value: str, name: str, rate: str) -> str:
     return sql(
         f"""
-SELECT event_id, round(x, 6) AS {name},
-       round((x - lag(x) {_ALONG}) / nullif((us - lag(us) {_ALONG}) / 1e6, 0), 6) AS {rate}
+SELECT event_id, round(x, 6) + 0.0 AS {name},
+       round((x - lag(x) {_ALONG}) / nullif((us - lag(us) {_ALONG}) / 1e6, 0), 6) + 0.0 AS {rate}
 FROM (SELECT *, {value} AS x, epoch_us("timestamp") AS us FROM trajectory) p
 """,
         "trajectory",
