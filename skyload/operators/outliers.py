@@ -99,9 +99,11 @@ def anomaly_scores(
 
     ``key`` tells rows apart for sampling. All numeric columns count, the key included
     unless it is excluded. The forest (100 trees of at most 511 nodes) is fitted on
-    samples drawn in one pass and sent to the tasks that score.
+    samples drawn in one pass and sent to the tasks that score. Rows are read three
+    times and scoring is costly, so they are first computed once, in even partitions.
     """
     df = complete_rows(df)
+    df = stable(df.repartition(shuffle_partitions(df)))
     columns = numeric_columns(df, exclude)
     found = moments(df, columns).first()
     rows = found["n_rows"]
