@@ -12,7 +12,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
-    GeneralizedLinearRegression,
     LinearRegression,
     RandomForestRegressor,
 )
@@ -67,8 +66,6 @@ def estimator(learner: Learner, target: str = TARGET):
         return LinearRegression(**shared)
     if learner.kind == "lasso":
         return LinearRegression(**shared, regParam=1.0, elasticNetParam=1.0)
-    if learner.kind == "glm":
-        return GeneralizedLinearRegression(**shared)
     raise ValueError(f"no such learner: {learner.kind}")
 
 
