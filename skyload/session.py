@@ -1,8 +1,8 @@
-"""Session settings, and stable intermediate tables."""
+"""Session settings, and intermediate tables in a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,26 +18,42 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _use_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(shared)
-    elif context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="skyload-checkpoint-"))
+def shared_folder(spark: SparkSession) -> str:
+    """This session's folder for intermediate tables, removed when Spark ends.
+
+    It lies in ``spark.checkpoint.dir``; where that is unset, beside the tables of the
+    session's warehouse, which executors share as well.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/stages-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return files.makeQualified(path).toString()
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and go on from there.
+    """Write the rows as Parquet to the shared folder and go on from there.
 
-    Needed where rows carry values that depend on how they were partitioned: a
-    lost executor then reads the same rows again instead of making new ones.
+    Needed where rows are read many times, or carry values that depend on how they
+    were partitioned: a lost executor then reads the same rows again instead of
+    making new ones.
     """
-    _use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stage_path = path
+    return table
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete a table that :func:`stable` wrote, once nothing reads it any more."""
+    if df is not None and (written := getattr(df, "stage_path", None)):
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(written)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_table(spark: SparkSession, columns: dict[str, pa.Array | list]) -> DataFrame:
