@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from skyload.llm.archives import archive_pages
 from skyload.llm.chats import conversations_read_back
 from skyload.llm.decontaminate import contamination
+from skyload.llm.langid import predict_held_out
 from skyload.llm.licenses import license_scan
+from skyload.llm.lineruns import drop_repeated_runs
 from skyload.llm.mixing import mix, token_count
+from skyload.llm.neardup import near_duplicate_classes
 from skyload.llm.personal import personal_data
 from skyload.llm.quality import quality
 
@@ -59,16 +62,32 @@ def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(read(spark, sf_dir, "pages"))
 
 
+def op5_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its class: the smallest doc_id that links connect it with."""
+    classes = near_duplicate_classes(read(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "n_class", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 def op6_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversations_read_back(rows.union(spark.createDataFrame(extra, "conv_id bigint, turn bigint, role string, text string")))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_held_out(read(spark, sf_dir, "documents"))
+
+
 def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"))
 
 
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines deleted from each document, and the digest of the text that is left (NULL for a NULL text)."""
+    cleaned = drop_repeated_runs(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_deleted", "deleted", F.length("text").cast("bigint").alias("left_chars"), F.sha2("text", 256).alias("left_sha256"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read(spark, sf_dir, "documents"))
 
@@ -80,8 +99,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_mix_sources,
         op3_decontaminate,
         op4_warc_zip,
+        op5_prob_minhash,
         op6_reply_trees,
+        op7_language_id,
         op8_compression_bands,
+        op9_line_runs,
         op10_personal_data,
     )
 }

@@ -43,20 +43,21 @@ def map_texts(
     fields: dict[str, str],
     text: str,
     carry: list[Column | str],
+    text_as: str | None = None,
 ) -> DataFrame:
     """The columns ``carry`` and what ``compute`` makes of each piece of whole texts, row by row.
 
-    ``fields`` names the columns made, with their types.
+    ``fields`` names the columns made, with their types; ``text_as`` carries the text as well, under that name.
     """
-    named = df.select(*carry, F.col(f"`{text}`").cast("string").alias("__text"))
-    types = {f.name: f.dataType.simpleString() for f in named.schema[:-1]} | fields
+    named = df.select(*carry, F.col(f"`{text}`").cast("string").alias(text_as or "__text"))
+    types = {f.name: f.dataType.simpleString() for f in (named.schema if text_as else named.schema[:-1])} | fields
     schema = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 made = compute(piece.column(piece.num_columns - 1))
-                yield pa.RecordBatch.from_arrays(piece.columns[:-1] + made, names=list(types))
+                yield pa.RecordBatch.from_arrays((piece.columns if text_as else piece.columns[:-1]) + made, names=list(types))
 
     return named.mapInArrow(run, schema)
 
