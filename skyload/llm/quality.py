@@ -93,7 +93,7 @@ def quality(documents: DataFrame, id: str = "doc_id", text: str = "text", bands=
             cuts = [*range(0, len(raw), chunk_bytes)]
             if len(cuts) > 1 and len(raw) - cuts[-1] < chunk_bytes // 2:
                 cuts.pop()
-            chunks = [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
+            chunks = [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=False)]
             bad = 0
             for chunk in chunks if len(chunks) > 1 else []:
                 bad += not in_band(len(chunk), len(chunk) / len(press.compress(chunk)), bands)
