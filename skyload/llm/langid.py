@@ -65,8 +65,8 @@ class Grams:
         blank = np.array([32], np.uint32)
         parts = []
         for text in texts:
-            parts += [blank, np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32)]
-        sizes = np.array([len(p) for p in parts[1::2]], np.int64) + 1
+            parts += [blank, np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32), blank]
+        sizes = np.array([len(p) for p in parts[1::3]], np.int64) + 2
         codes, row = np.concatenate(parts), np.repeat(np.arange(len(texts)), sizes)
         letter = self.letters(codes)
         first = np.zeros(len(codes), bool)
