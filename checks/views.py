@@ -15,8 +15,6 @@ from skyload.settings import Course
 from skyload.sources.aircraft import aircraft_table
 
 COURSE = Course(ties=("event_id",))
-# Part and supplier keys lie below this.
-KEYS = 2**40
 
 AIRCRAFT_SQL = """
 SELECT * FROM (VALUES
@@ -92,16 +90,14 @@ def aircraft(spark: SparkSession) -> DataFrame:
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a flight; its first line item tells aircraft and destination."""
     t = {n: table(spark, sf_dir, n) for n in "orders lineitem part customer supplier nation region".split()}
-    # First line and its key packed in one number: a plain minimum, combined before the shuffle.
-    line = F.col("l_linenumber").cast("long") * KEYS
     lines = t["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_shipdate").alias("arrival_time"),
         F.sum("l_quantity").alias("qty"),
-        (F.min(line + F.col("l_partkey")) % KEYS).alias("p_partkey"),
-        (F.min(line + F.col("l_suppkey")) % KEYS).alias("s_suppkey"),
+        F.min_by("l_partkey", F.struct("l_linenumber", "l_partkey")).alias("p_partkey"),
+        F.min_by("l_suppkey", F.struct("l_linenumber", "l_suppkey")).alias("s_suppkey"),
     )
     places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    brand = F.substring("p_brand", 7, 10)
+    brand = F.substring("p_brand", F.lit(7), F.length("p_brand"))
     known = F.try_element_at(F.array(*[F.lit(x) for x in TYPE_BY_BRAND]), brand.cast("int"))
     parts = t["part"].select("p_partkey", F.coalesce(known, F.concat(F.lit("ZZ"), brand)).alias("aircraft_type"))
 

@@ -3,6 +3,9 @@
 Per-task helper: the samples come from Spark and hold at most 256 rows per tree. A
 tree is three arrays in heap order (children of i are 2i+1 and 2i+2): split
 feature (-1 in a leaf), threshold, and path length of a row that ends there.
+
+Nothing here depends on how rows lie in tasks: what a row draws follows from its identity
+alone, and what a node draws from its tree and place.
 """
 
 from __future__ import annotations
@@ -13,9 +16,55 @@ import numpy as np
 
 TREES = 100
 SAMPLE_ROWS = 256
+# Candidates per tree are drawn with a margin, then cut to the sample size.
+CANDIDATE_ROWS = SAMPLE_ROWS * 1.5
 EULER_GAMMA = 0.5772156649015329
 
 
+def scatter(x: np.ndarray) -> np.ndarray:
+    """Mix the bits of 64-bit numbers; one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _next(x: np.ndarray, step: np.ndarray | int) -> np.ndarray:
+    return scatter(x + (np.atleast_1d(step).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def uniform(x: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1] from 64 bits."""
+    return ((x >> np.uint64(11)).astype("float64") + 1.0) * 2.0**-53
+
+
+def candidates(identity: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which rows stand for which trees: (place, tree, order).
+
+    ``identity`` tells ``rows`` distinct rows apart, here some or all of them. Each stands for each tree with the same
+    chance, and a tree takes those of the least ``order``. A row skips from one of its trees to the
+    next, so it draws about as many numbers as it has trees.
+    """
+    chance = min(1.0, CANDIDATE_ROWS / max(rows, 1))
+    if chance == 1.0:
+        place = np.repeat(np.arange(len(identity)), TREES)
+        tree = np.tile(np.arange(TREES), len(identity))
+    else:
+        at, active, step, found = np.full(len(identity), -1), np.arange(len(identity)), 0, []
+        while len(active):
+            skip = np.floor(np.log(uniform(_next(identity[active], step))) / math.log1p(-chance))
+            at[active] += 1 + np.minimum(skip, TREES).astype(int)
+            active = active[at[active] < TREES]
+            found.append((active, at[active]))
+            step += 1
+        place, tree = (np.concatenate(parts) for parts in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 2
+    return place, tree, _next(scatter(identity[place]), tree)
+
+
+def tree_seeds(group: int) -> np.ndarray:
+    """A seed for each tree of a forest; ``group`` tells forests apart."""
+    return _next(np.full(TREES, group, dtype=np.uint64), np.arange(TREES))
+
+
 def average_path(rows: np.ndarray) -> np.ndarray:
     """Mean depth of an unsuccessful search among ``rows`` rows."""
     rows = np.asarray(rows, dtype="float64")
@@ -33,8 +82,8 @@ def _ranges(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low, np.maximum.reduceat(values, starts, axis=0) - low
 
 
-def grow(samples: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
-    """Grow one tree per entry of ``samples`` (trees x rows x features) at once."""
+def grow(samples: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Grow one tree per entry of ``samples`` (trees x rows x features) at once, each from its seed."""
     trees, rows, width = samples.shape
     limit = depth_limit(rows)
     size = 2 ** (limit + 1) - 1
@@ -55,8 +104,9 @@ def grow(samples: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...
         path.flat[nodes] = depth + average_path(counts)
         if depth == limit:
             break
+        drawn = _next(seeds[nodes // size], nodes % size)
         group = np.repeat(np.arange(len(starts)), counts)
-        chosen = rng.integers(width, size=len(starts))
+        chosen = (_next(drawn, 0) % np.uint64(width)).astype(int)
         low, spread = _ranges(points[row, chosen[group]], starts)
         # A feature without spread cannot split: draw again among those with spread.
         flat = np.flatnonzero((spread <= 0) & (counts > 1))
@@ -65,10 +115,11 @@ def grow(samples: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...
             inside = np.isin(group, flat)
             flat_starts = np.r_[0, np.cumsum(flat_counts)[:-1]]
             all_low, all_spread = _ranges(points[row[inside]], flat_starts)
-            again = np.where(all_spread > 0, rng.random(all_low.shape), -1.0).argmax(axis=1)
+            chances = uniform(_next(drawn[flat][:, None], 2 + np.arange(width)))
+            again = np.where(all_spread > 0, chances, -1.0).argmax(axis=1)
             at = np.arange(len(flat))
             chosen[flat], low[flat], spread[flat] = again, all_low[at, again], all_spread[at, again]
-        cut = low + rng.random(len(starts)) * spread
+        cut = low + (1.0 - uniform(_next(drawn, 1))) * spread
         splits = spread > 0
         feature.flat[nodes[splits]] = chosen[splits]
         threshold.flat[nodes[splits]] = cut[splits]
@@ -79,6 +130,18 @@ def grow(samples: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...
     return feature, threshold, path
 
 
+def forest(trees: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Arrays of all trees, each grown by itself, padded to one width."""
+    if len(trees) != TREES:
+        raise ValueError(f"{len(trees)} trees instead of {TREES}")
+    width = max(len(t[0]) for t in trees)
+    fills = (-1, 0.0, 0.0)
+    return tuple(
+        np.stack([np.pad(t[k], (0, width - len(t[k])), constant_values=fill) for t in trees])
+        for k, fill in enumerate(fills)
+    )
+
+
 def scores(
     points: np.ndarray, forest: tuple[np.ndarray, ...], sample_rows: int, batch: int = 2048
 ) -> np.ndarray:
@@ -105,8 +168,10 @@ def scores(
     return np.exp2(-found / max(float(average_path(sample_rows)), 1e-12))
 
 
-def standardise(points: np.ndarray) -> np.ndarray:
-    """Population z-scores by column; columns without spread become 0."""
-    varied = np.ptp(points, axis=0) > 0
-    scaled = (points - points.mean(axis=0)) / np.where(varied, points.std(axis=0), 1.0)
-    return np.where(varied, scaled, 0.0)
+def quantile(values: np.ndarray, probability: float) -> float:
+    """Linearly interpolated, to the bit as Spark's ``percentile``."""
+    ordered, position = np.sort(values), (len(values) - 1) * probability
+    low, high = math.floor(position), math.ceil(position)
+    if ordered[low] == ordered[high]:
+        return float(ordered[low])
+    return float((high - position) * ordered[low] + (position - low) * ordered[high])

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from skyload.operators.ordering import exact_quantiles, split_by_length, with_row_index
+from skyload.operators.ordering import exact_quantiles, join_on, split_by_length, with_row_index
 from skyload.session import stable
 from skyload.settings import Course
 
@@ -91,7 +91,7 @@ class FlightRows:
             flight = self.along().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             return self.with_columns({n: c.over(flight) for n, c in values.items()})
         per_flight = self._own().groupBy(key).agg(*[c.alias(n) for n, c in values.items()])
-        return self.mapped(lambda frame: frame.join(F.broadcast(per_flight), key))
+        return self.mapped(lambda frame: join_on(frame, per_flight, [key]))
 
     def with_flight_quantile(self, name: str, value: Column, probability: float) -> FlightRows:
         """Add an exact quantile of ``value`` over the whole flight to each of its rows."""
@@ -100,7 +100,7 @@ class FlightRows:
             return self.with_flight_values({name: F.percentile(value, F.lit(probability))})
         values = self._own().select(key, value.alias("_value"))
         per_flight = exact_quantiles(values, "_value", {name: probability}, [key])
-        return self.mapped(lambda frame: frame.join(F.broadcast(per_flight), key, "left"))
+        return self.mapped(lambda frame: join_on(frame, per_flight, [key], "left"))
 
     def kept(self, condition: Column, reach: int) -> FlightRows:
         """Keep some rows; neighbours are then the kept ones."""
@@ -118,6 +118,7 @@ def along_flights(
     Flights up to ``course.long_rows`` points share one exchange on the key; longer
     ones, if there are any, are cut into pieces.
     """
+    course = course.over(points.columns)
     usual, long = split_by_length(points, course.key, course.long_rows)
     done = step(FlightRows.whole(usual, course)).result()
     if long is None:

@@ -14,14 +14,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyload.session import SMALL_ROWS, stable
+from skyload.session import stable
 
-# Values that one task may hold for an exact percentile.
-PERCENTILE_ROWS = 1_000_000
+# Distinct values that one task may hold for an exact percentile. The result has the same bits beyond.
+PERCENTILE_VALUES = 1_000_000
+# Rows of a range or a group of work, about; tables get as many partitions as that takes.
+PARTITION_ROWS = 1_000_000
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def shuffle_partitions(df: DataFrame, rows: int = 0) -> int:
+    """The session's number of partitions, more if ``rows`` rows call for it."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, in which NULL equals NULL; the left side's are kept."""
+    if not keys:
+        return left.crossJoin(right)
+    named = right.select(*[F.col(f"`{k}`").alias(f"_on_{k}") for k in keys], *[f"`{c}`" for c in right.columns if c not in keys])
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_on_{k}`")) for k in keys]
+    return left.join(named, same, how).drop(*[f"_on_{k}" for k in keys])
 
 
 def _running(keys: Sequence[str]):
@@ -42,12 +54,11 @@ def with_row_index(
 ) -> DataFrame:
     """Add the 0-based place of each row in its key's order, and the key's row count.
 
-    ``order`` should be total. ``keys`` must have few distinct values (at most
-    ``SMALL_ROWS``): one count per key and range is broadcast.
+    ``order`` should be total. One count per key and range is joined back.
     """
     by = [*keys, *order]
     ranged = (
-        df.repartitionByRange(shuffle_partitions(df), *by)
+        df.repartitionByRange(shuffle_partitions(df, df.select(*keys).count()), *by)
         .sortWithinPartitions(*by)
         .withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
     )
@@ -63,40 +74,34 @@ def with_row_index(
         F.sum("_rows").over(Window.partitionBy(*keys)).alias(total),
     )
     return (
-        ranged.join(F.broadcast(spans), [*keys, "_range"])
+        join_on(ranged, spans, [*keys, "_range"])
         .withColumn(index, F.col("_before") + F.col("_place") - F.col("_first"))
         .select(*df.columns, index, total)
     )
 
 
 def long_groups(df: DataFrame, key: str, rows: int) -> DataFrame | None:
-    """Keys with more than ``rows`` rows, or None when there are none.
+    """Keys with more than ``rows`` rows as a table, or None when there are none.
 
-    Reads the key column only and counts before the shuffle. Only the ``SMALL_ROWS``
-    largest are listed: any other key then has less than 1 / ``SMALL_ROWS`` of all
-    rows, which is a fair share for one task.
+    Reads the key column only and counts before the shuffle.
     """
-    largest = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows)
-        .orderBy(F.desc("_rows"))
-        .limit(SMALL_ROWS)
-        .select(key)
-    )
-    found = largest.collect()
-    if not found:
-        return None
-    return df.sparkSession.createDataFrame(found, largest.schema)
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    found = stable(counted.where(F.col("_rows") > rows).select(key))
+    return None if found.isEmpty() else found
+
 
+def split_by_length(
+    df: DataFrame, key: str, rows: int, long_keys: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of groups that fit one task, and rows of the longer ones (or None); NULL is a key.
 
-def split_by_length(df: DataFrame, key: str, rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of groups that fit one task, and rows of the longer ones (or None)."""
-    long_keys = long_groups(df, key, rows)
+    Keys found before may be handed in. They are a stored table, so Spark broadcasts them if their size allows it.
+    """
+    if long_keys is None:
+        long_keys = long_groups(df, key, rows)
     if long_keys is None:
         return df, None
-    hint = F.broadcast(long_keys)
-    return df.join(hint, key, "left_anti"), df.join(hint, key, "left_semi")
+    return join_on(df, long_keys, [key], "left_anti"), join_on(df, long_keys, [key], "left_semi")
 
 
 def exact_quantiles(
@@ -104,25 +109,25 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     keys: Sequence[str] = (),
-    rows_in_task: int = PERCENTILE_ROWS,
+    values_in_task: int = PERCENTILE_VALUES,
 ) -> DataFrame:
     """Linearly interpolated quantiles of a column, one row per key.
 
-    ``probabilities`` maps result column to probability. ``keys`` must have few
-    distinct values. NULL values do not count. Tables that fit one task use the
-    built-in aggregate; in larger ones equal values are counted first, the distinct
-    values are range-partitioned, and only the ranges that hold a wanted rank are
-    looked into.
+    ``probabilities`` maps result column to probability. NULL values do not count. Equal values
+    are counted first, in one pass over ``df``. Up to ``values_in_task`` distinct ones go to the built-in aggregate with
+    their counts; more are range-partitioned, and only the ranges that hold a wanted rank are looked
+    into. Both give the same bits.
     """
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    if present.count() <= rows_in_task:
-        found = {name: F.percentile("_v", F.lit(p)) for name, p in probabilities.items()}
-        return present.groupBy(*keys).agg(*[c.alias(n) for n, c in found.items()])
-
     by = [*keys, "_v"]
-    counts = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = stable(present.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")))
+    distinct = counts.count()
+    if distinct <= values_in_task:
+        found = {name: F.percentile("_v", F.lit(p), F.col("_rows")) for name, p in probabilities.items()}
+        return counts.groupBy(*keys).agg(*[c.alias(n) for n, c in found.items()])
+
     ranged = stable(
-        counts.repartitionByRange(shuffle_partitions(df), *by).withColumn("_range", F.spark_partition_id())
+        counts.repartitionByRange(shuffle_partitions(df, distinct), *by).withColumn("_range", F.spark_partition_id())
     )
     spans = ranged.groupBy(*keys, "_range").agg(F.sum("_rows").alias("_in"))
     spans = spans.withColumns(
@@ -146,14 +151,14 @@ def exact_quantiles(
     spans = spans.where(holds(F.floor("_rank")) | holds(F.ceil("_rank")))
     in_range = Window.partitionBy(*keys, "_range", "_name").orderBy("_v")
     upto = F.col("_before") + F.sum("_rows").over(in_range)
-    looked = ranged.join(F.broadcast(spans), [*keys, "_range"]).withColumn("_upto", upto)
+    looked = join_on(ranged, spans, [*keys, "_range"]).withColumn("_upto", upto)
     low = F.when(F.col("_upto") > F.floor("_rank"), F.col("_v"))
     high = F.when(F.col("_upto") > F.ceil("_rank"), F.col("_v"))
-    share = F.col("_rank") - F.floor("_rank")
     ends = looked.groupBy(*keys, "_name", "_rank").agg(
         F.min(low).alias("_low"), F.min(high).alias("_high")
     )
-    placed = ends.withColumn("_q", F.col("_low") * (F.lit(1.0) - share) + F.col("_high") * share)
+    between = (F.ceil("_rank") - F.col("_rank")) * F.col("_low") + (F.col("_rank") - F.floor("_rank")) * F.col("_high")
+    placed = ends.withColumn("_q", F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(between))
     return placed.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == n, F.col("_q"))).alias(n) for n in probabilities]
     )

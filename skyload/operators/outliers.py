@@ -12,64 +12,52 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyload.constants import KEY
 from skyload.functions import isolation
 from skyload.operators.columns import complete_rows, numeric_columns, valid_altitudes
-from skyload.operators.ordering import exact_quantiles, shuffle_partitions, split_by_length
+from skyload.operators.ordering import exact_quantiles, join_on, shuffle_partitions, split_by_length
 from skyload.operators.prepare import moments, standard_score
 from skyload.session import stable
 from skyload.settings import Course
 
 SEED = 42
-# Rows that trees draw their samples from; larger tables are thinned to about this many.
-POOL_ROWS = 1_000_000
-# Candidates per tree are drawn with this margin, then cut to the sample size.
-_DRAWN = isolation.SAMPLE_ROWS * 1.5
-_HASH_SPAN = 2**30
 _TREE_SCHEMA = "tree int, sample_rows int, feature array<int>, threshold array<double>, path array<double>"
 
 
-def _chance(*values: Column) -> Column:
-    """A number in [0, 1) from a hash."""
-    return F.pmod(F.xxhash64(*values), F.lit(_HASH_SPAN)) / F.lit(float(_HASH_SPAN))
+def _identity(columns: Sequence[str]) -> Column:
+    """What tells rows apart for sampling: rows equal in these columns are one draw."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.lit(SEED))
 
 
-def _scaled(df: DataFrame, columns: Sequence[str], found) -> Column:
-    """Array of the standardised columns; ``found(name)`` gives a moment as a column."""
-    return F.array(
-        *[standard_score(F.col(c), found(f"{c}_mean"), found(f"{c}_std")) for c in columns]
-    )
+def _point(columns: Sequence[str]) -> Column:
+    """The columns as an array. They need no common scale: a split is drawn within one column's range."""
+    return F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
 
 
-def _candidates(df: DataFrame, key: Sequence[str], rows: Column, group: Sequence[str] = ()) -> DataFrame:
-    """(group, tree, draw, point) rows, a few hundred per tree, chosen by hash of the key.
+def _candidates(points: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """(group, tree, draw, point): some hundred distinct rows for each tree.
 
-    Rows of one key are one draw, however many there are.
+    ``points`` has ``_identity``, ``_point`` and ``_distinct``, the number of distinct identities of the group.
     """
-    pool = F.least(rows, F.lit(POOL_ROWS)).cast("double")
-    identity = F.xxhash64(*[F.col(c) for c in key], F.lit(SEED))
-    drawn = F.filter(
-        F.sequence(F.lit(0), F.lit(isolation.TREES - 1)),
-        lambda t: _chance(F.col("_identity"), t) * F.col("_pool") < F.lit(_DRAWN),
-    )
-    thinned = (
-        df.select(*group, "_point", rows.alias("_n"), pool.alias("_pool"), identity.alias("_identity"))
-        .where(_chance(F.col("_identity"), F.lit("pool")) * F.col("_n") < F.col("_pool"))
-        .select(*group, "_point", "_identity", F.explode(drawn).alias("tree"))
-    )
-    return (
-        thinned.withColumn("draw", F.xxhash64("_identity", "tree", F.lit("order")))
-        .groupBy(*group, "tree", "draw")
-        .agg(F.any_value("_point").alias("point"))
-    )
+    kinds = {c: points.schema[c].dataType.simpleString() for c in group}
+    schema = ", ".join([*[f"`{c}` {k}" for c, k in kinds.items()], "tree int, draw bigint, point array<double>"])
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for rows, part in batch.groupby("_distinct"):
+                place, tree, order = isolation.candidates(part["_identity"].to_numpy().view("uint64"), int(rows))
+                found = part.iloc[place]
+                yield found[list(group)].assign(tree=tree, draw=order.view("int64"), point=found["_point"])
+
+    drawn = points.select(*group, "_identity", "_point", "_distinct").mapInPandas(draw, schema)
+    return drawn.groupBy(*group, "tree", "draw").agg(F.any_value("point").alias("point"))
 
 
-def _grow_tree(candidates: pd.DataFrame) -> pd.DataFrame:
-    chosen = candidates.sort_values("draw").head(isolation.SAMPLE_ROWS)
-    sample = np.stack(chosen["point"].to_numpy())
-    tree = int(chosen["tree"].iloc[0])
-    rng = np.random.default_rng([SEED, tree])
-    feature, threshold, path = (part[0].tolist() for part in isolation.grow(sample[None], rng))
+def _grow_tree(candidates: pd.DataFrame, group: int = 0) -> pd.DataFrame:
+    order = candidates["draw"].to_numpy().view("uint64").argsort()[: isolation.SAMPLE_ROWS]
+    sample = np.stack(candidates["point"].to_numpy()[order])
+    tree = int(candidates["tree"].iloc[0])
+    grown = isolation.grow(sample[None], isolation.tree_seeds(group)[[tree]])
+    feature, threshold, path = (part[0].tolist() for part in grown)
     return pd.DataFrame(
         {
             "tree": [tree], "sample_rows": [len(sample)], "feature": [feature],
@@ -79,42 +67,38 @@ def _grow_tree(candidates: pd.DataFrame) -> pd.DataFrame:
 
 
 def _forest(trees: pd.DataFrame) -> tuple[tuple[np.ndarray, ...], int]:
-    """Arrays of all trees, padded to one width (samples may differ by a few rows)."""
+    """Arrays of all trees, and the size of the largest sample."""
     trees = trees.sort_values("tree")
-    width = max(map(len, trees["feature"]))
+    columns = [[np.asarray(a) for a in trees[name]] for name in ("feature", "threshold", "path")]
+    return isolation.forest(list(zip(*columns, strict=True))), int(trees["sample_rows"].max())
 
-    def padded(name: str, fill: float) -> np.ndarray:
-        return np.stack(
-            [np.pad(np.asarray(a), (0, width - len(a)), constant_values=fill) for a in trees[name]]
-        )
 
-    arrays = padded("feature", -1), padded("threshold", 0.0), padded("path", 0.0)
-    return arrays, int(trees["sample_rows"].max())
+def _seed_of(flight: object) -> int:
+    return zlib.crc32(str(flight).encode())
 
 
 def anomaly_scores(
-    df: DataFrame, key: Sequence[str] = (KEY,), exclude: Iterable[str] = ()
+    df: DataFrame, key: Sequence[str] | None = None, exclude: Iterable[str] = ()
 ) -> DataFrame:
     """Complete rows with an isolation-forest ``anomaly_score``.
 
-    ``key`` tells rows apart for sampling. All numeric columns count, the key included
-    unless it is excluded. The forest (100 trees of at most 511 nodes) is fitted on
-    samples drawn in one pass and sent to the tasks that score. Rows are read three
-    times and scoring is costly, so they are first computed once, in even partitions.
+    Rows are told apart by all columns, or by ``key`` where that is unique. All numeric columns
+    count, the key included unless it is excluded. The forest (100 trees of at most 511 nodes) is
+    fitted on samples drawn in one pass over all rows and sent to the tasks that score. Scoring is
+    costly, so rows are first computed once, in even partitions.
     """
-    df = complete_rows(df)
-    df = stable(df.repartition(shuffle_partitions(df)))
-    columns = numeric_columns(df, exclude)
-    found = moments(df, columns).first()
-    rows = found["n_rows"]
+    complete = stable(complete_rows(df))
+    rows = complete.count()
+    columns = numeric_columns(complete, exclude)
     if rows == 0:
-        return df.withColumn("anomaly_score", F.lit(0.0))
-    point = _scaled(df, columns, lambda name: F.lit(found[name]).cast("double"))
-    points = df.withColumn("_point", point)
+        return complete.withColumn("anomaly_score", F.lit(0.0))
+    even = complete.repartition(shuffle_partitions(df, rows))
+    points = even.withColumns({"_identity": _identity(key or complete.columns), "_point": _point(columns)})
+    distinct = points.select("_identity").distinct().count()
     trees = (
-        _candidates(points, key, F.lit(rows))
+        _candidates(points.withColumn("_distinct", F.lit(distinct)))
         .groupBy("tree")
-        .applyInPandas(_grow_tree, _TREE_SCHEMA)
+        .applyInPandas(lambda group: _grow_tree(group), _TREE_SCHEMA)
         .toPandas()
     )
     forest, sample_rows = _forest(trees)
@@ -127,39 +111,45 @@ def anomaly_scores(
             else:
                 yield pd.Series([], dtype="float64")
 
-    return points.withColumn("anomaly_score", score("_point")).drop("_point")
+    return points.withColumn("anomaly_score", score("_point")).drop("_point", "_identity")
 
 
 def clean(
     df: DataFrame,
     contamination: float = 0.01,
-    key: Sequence[str] = (KEY,),
+    key: Sequence[str] | None = None,
     exclude: Iterable[str] = (),
 ) -> DataFrame:
     """Complete rows without the share that an isolation forest finds most isolated."""
     scored = stable(anomaly_scores(df, key, exclude))
-    limit = exact_quantiles(scored, "anomaly_score", {"q": 1.0 - contamination}).first().q
-    if limit is None:
+    limit = exact_quantiles(scored, "anomaly_score", {"q": 1.0 - contamination}).first()
+    if limit is None or limit.q is None:
         return scored.drop("anomaly_score")
-    return scored.where(F.col("anomaly_score") <= F.lit(limit)).drop("anomaly_score")
+    return scored.where(F.col("anomaly_score") <= F.lit(limit.q)).drop("anomaly_score")
 
 
-def _clean_flight(contamination: float, columns: Sequence[str], order: Sequence[str], key: str):
+def _clean_flight(contamination: float, columns: Sequence[str], key: str):
     """Function that fits and applies a forest to one flight that fits a task."""
 
     def keep(points: pd.DataFrame) -> pd.DataFrame:
+        rows = points.drop(columns="_identity")
         if len(points) <= 1:
-            return points
-        points = points.sort_values(list(order))
-        data = isolation.standardise(points[list(columns)].to_numpy(dtype="float64"))
-        rng = np.random.default_rng([SEED, zlib.crc32(str(points[key].iloc[0]).encode())])
-        size = min(isolation.SAMPLE_ROWS, len(data))
-        drawn = np.stack(
-            [rng.choice(len(data), size, replace=False, shuffle=False) for _ in range(isolation.TREES)]
-        )
-        forest = isolation.grow(data[drawn], rng)
-        found = isolation.scores(data, forest, size)
-        return points[found <= np.quantile(found, 1.0 - contamination)]
+            return rows
+        data = points[list(columns)].to_numpy(dtype="float64")
+        identity, first = np.unique(points["_identity"].to_numpy().view("uint64"), return_index=True)
+        place, tree, order = isolation.candidates(identity, len(identity))
+        seeds = isolation.tree_seeds(_seed_of(rows[key].iloc[0]))
+        by_tree = np.lexsort((order, tree))
+        cuts = np.searchsorted(tree[by_tree], np.arange(1, isolation.TREES))
+        samples = [data[first[place[part[: isolation.SAMPLE_ROWS]]]] for part in np.split(by_tree, cuts)]
+        sizes = [len(s) for s in samples]
+        if min(sizes) == max(sizes):
+            forest = isolation.grow(np.stack(samples), seeds)
+        else:
+            grown = (isolation.grow(s[None], seeds[[t]]) for t, s in enumerate(samples))
+            forest = isolation.forest([tuple(part[0] for part in tree) for tree in grown])
+        found = isolation.scores(data, forest, max(sizes))
+        return rows[found <= isolation.quantile(found, 1.0 - contamination)]
 
     return keep
 
@@ -169,7 +159,7 @@ def _score_piece(columns: Sequence[str]):
 
     def score(points: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
         if points.empty:
-            return points.drop(columns=["_point", "_salt"]).assign(anomaly_score=[])
+            return points[list(columns)].assign(anomaly_score=[])
         forest, sample_rows = _forest(trees)
         found = isolation.scores(np.stack(points["_point"].to_numpy()), forest, sample_rows)
         return points[list(columns)].assign(anomaly_score=found)
@@ -182,41 +172,36 @@ def _clean_long_flights(
 ) -> DataFrame:
     """The same for flights too long for a task: sample, fit, score salted parts, cut.
 
-    Counts and moments have one row per long flight; those are few, so they are broadcast.
+    Samples, seeds, scores and limits are those that one task would find. ``points`` has ``_identity``.
     """
-    key, names = course.key, points.columns
-    per_flight = moments(points, columns, by=[key]).withColumnRenamed("n_rows", "_rows")
-    scaled = points.join(F.broadcast(per_flight), key).withColumn(
-        "_point", _scaled(points, columns, F.col)
-    )
-    salts = F.ceil(F.col("_rows") / F.lit(course.long_rows)).cast("int")
-    scaled = scaled.select(*names, "_point", "_rows", salts.alias("_salts"))
-    trees = (
-        _candidates(scaled, [key, *course.order], F.col("_rows"), [key])
-        .groupBy(key, "tree")
+    key, names = course.key, [c for c in points.columns if c != "_identity"]
+    distinct = points.select(key, "_identity").distinct().groupBy(key).agg(F.count(F.lit(1)).alias("_distinct"))
+    counts = points.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = stable(join_on(counts, distinct, [key]).withColumn("_salts", F.ceil(F.col("_rows") / F.lit(course.long_rows)).cast("int")))
+    pointed = join_on(points.withColumn("_point", _point(columns)), sizes, [key])
+    flight_type = points.schema[key].dataType.simpleString()
+    named = pointed.withColumnRenamed(key, "_flight")
+    trees = stable(
+        _candidates(named, ["_flight"])
+        .groupBy("_flight", "tree")
         .applyInPandas(
-            lambda group: _grow_tree(group).assign(**{key: group[key].iloc[0]}),
-            f"{_TREE_SCHEMA}, {key} {points.schema[key].dataType.simpleString()}",
+            lambda group: _grow_tree(group, _seed_of(group["_flight"].iloc[0])).assign(_flight=group["_flight"].iloc[0]),
+            f"{_TREE_SCHEMA}, _flight {flight_type}",
         )
+        .withColumnRenamed("_flight", key)
     )
-    salted_trees = trees.join(F.broadcast(per_flight.select(key, salts.alias("_salts"))), key).withColumn(
+    salted_trees = join_on(trees, sizes.select(key, "_salts"), [key]).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
     ).drop("_salts")
-    salted = scaled.withColumn(
-        "_salt", F.pmod(F.xxhash64(*names), F.col("_salts")).cast("int")
-    ).drop("_salts", "_rows")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+    salted = pointed.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.col("_salts")).cast("int")).select(*[f"`{c}`" for c in names], "_point", "_salt")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema if f.name in names)
     scored = stable(
         salted.groupBy(key, "_salt")
         .cogroup(salted_trees.groupBy(key, "_salt"))
         .applyInPandas(_score_piece(names), f"{fields}, anomaly_score double")
     )
     limits = exact_quantiles(scored, "anomaly_score", {"_limit": 1.0 - contamination}, [key])
-    return (
-        scored.join(F.broadcast(limits), key)
-        .where(F.col("anomaly_score") <= F.col("_limit"))
-        .select(*names)
-    )
+    return join_on(scored, limits, [key]).where(F.col("anomaly_score") <= F.col("_limit")).select(*[f"`{c}`" for c in names])
 
 
 def clean_trajectory(
@@ -228,12 +213,14 @@ def clean_trajectory(
     """Points of valid altitude without the most isolated ones of their flight.
 
     Flights of one point pass. A flight up to ``course.long_rows`` points is one
-    group; a longer one is sampled and scored in parts.
+    group; a longer one is sampled and scored in parts, with the same result. Points equal in all
+    columns are one draw.
     """
     points = valid_altitudes(points)
     columns = numeric_columns(points, exclude)
-    usual, long = split_by_length(points, course.key, course.long_rows)
-    keep = _clean_flight(contamination, columns, course.order, course.key)
+    told = points.withColumn("_identity", _identity(points.columns))
+    usual, long = split_by_length(told, course.key, course.long_rows)
+    keep = _clean_flight(contamination, columns, course.key)
     # The work is in the forests, not in the bytes, so partitions are not merged by size.
     spread = usual.repartition(shuffle_partitions(usual), course.key)
     cleaned = spread.groupBy(course.key).applyInPandas(keep, points.schema)
@@ -281,8 +268,8 @@ def clean_by_distance(
     far = centre_distances(df, k, exclude)
     if k > 1:
         far = stable(far)
-    limit = exact_quantiles(far, "distance", {"q": 1.0 - contamination}).first().q
-    return far.where(F.col("distance") <= F.lit(limit)).drop("distance")
+    limit = exact_quantiles(far, "distance", {"q": 1.0 - contamination}).first()
+    return far.where(F.col("distance") <= F.lit(limit.q if limit else None)).drop("distance")
 
 
 def clean_trajectory_by_distance(

@@ -39,7 +39,8 @@ def tabular_features(
         rows = known_types(enrich(rows, aircraft), aircraft)
     if settings.use_trajectory:
         if isolation:
-            points = clean_trajectory(points, settings.contamination, course)
+            # The points are read again to find long flights: the forests must not run twice.
+            points = stable(clean_trajectory(points, settings.contamination, course))
         else:
             points = valid_altitudes(points)
         features = trajectory_features(

@@ -32,7 +32,8 @@ def trajectory_flight_features(
     rows = enrich(add_duration(flights, exact=True), aircraft)
     if isolation:
         rows = clean(rows, settings.contamination)
-        points = clean_trajectory(points, settings.contamination, course)
+        # The points are read again to find long flights: the forests must not run twice.
+        points = stable(clean_trajectory(points, settings.contamination, course))
     else:
         rows, points = complete_rows(rows), valid_altitudes(points)
     features = trajectory_features(

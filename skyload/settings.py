@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from skyload.constants import KEY, METRE_IN_FT
 
@@ -29,7 +29,7 @@ class Course:
     """How points of one flight are told apart and put in order.
 
     ``ties`` are columns that break ties in ``time``, so that the order is
-    total. Flights with more than ``long_rows`` points are worked on in row
+    total; without any, all other columns do. Flights with more than ``long_rows`` points are worked on in row
     ranges of that length instead of in one task.
     """
 
@@ -38,6 +38,11 @@ class Course:
     ties: tuple[str, ...] = ()
     long_rows: int = 250_000
 
+    def over(self, columns: list[str]) -> Course:
+        """The same with ties: all other columns of a table in the order of their names, unless some are given."""
+        others = tuple(sorted(c for c in columns if c not in (self.key, self.time)))
+        return self if self.ties else replace(self, ties=others)
+
     @property
     def order(self) -> list[str]:
         return [self.time, *self.ties]

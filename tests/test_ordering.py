@@ -18,13 +18,13 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k int, v double, i int").repartition(13)
 
 
-@pytest.mark.parametrize("rows_in_task", [10, 10**6])
-def test_quantiles_equal_numpy(skewed, rows_in_task):
+@pytest.mark.parametrize("values_in_task", [10, 10**6])
+def test_quantiles_equal_numpy(skewed, values_in_task):
     table = skewed.toPandas().dropna()
-    found = exact_quantiles(skewed, "v", PROBABILITIES, rows_in_task=rows_in_task).first()
+    found = exact_quantiles(skewed, "v", PROBABILITIES, values_in_task=values_in_task).first()
     for name, p in PROBABILITIES.items():
         assert found[name] == pytest.approx(np.quantile(table.v, p), abs=1e-12)
-    by_key = exact_quantiles(skewed, "v", PROBABILITIES, ["k"], rows_in_task).collect()
+    by_key = exact_quantiles(skewed, "v", PROBABILITIES, ["k"], values_in_task).collect()
     assert len(by_key) == table.k.nunique()
     for row in by_key:
         for name, p in PROBABILITIES.items():
@@ -52,3 +52,21 @@ def test_long_groups(skewed):
     usual, long = split_by_length(skewed, "k", 1000)
     assert usual.where("k = 0").count() == 0
     assert usual.count() + long.count() == skewed.count()
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_quantiles_have_the_bits_of_the_built_in(spark, keys):
+    """Also on ties of numbers that no binary fraction holds, and for a NULL key."""
+    rows = [(None if i % 3 == 0 else i % 3, [0.1, 0.7, 1 / 3, 2.3][i % 4] if i % 5 else i / 7) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    probabilities = {f"p{i}": i / 97 for i in range(98)}
+    wanted = df.groupBy(*keys).agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in probabilities.items()]).collect()
+    for values_in_task in (10**6, 1):
+        found = exact_quantiles(df, "v", probabilities, keys, values_in_task=values_in_task).collect()
+        assert sorted(map(tuple, found), key=str) == sorted(map(tuple, wanted), key=str)
+
+
+def test_null_is_a_long_group(spark):
+    df = spark.createDataFrame([(None, i) for i in range(45)] + [(1, i) for i in range(5)], "k int, v int")
+    usual, long = split_by_length(df, "k", 10)
+    assert (usual.count(), long.count()) == (5, 45)

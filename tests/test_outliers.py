@@ -36,13 +36,34 @@ def test_forest_does_not_depend_on_partitioning(planted):
 def test_copies_of_a_row_are_one_draw(spark, planted):
     """A row copied to a third of the table does not fill a tree's group."""
     copies = spark.range(500).selectExpr("0L AS flight_id", "0.5D AS a", "0.5D AS b", "0.5D AS c")
-    candidates = outliers._candidates(
-        planted.unionByName(copies).selectExpr("*", "array(a, b, c) AS _point"),
-        ["flight_id"],
-        outliers.F.lit(1510),
-    )
+    points = planted.unionByName(copies).select("*", outliers._identity(planted.columns).alias("_identity"), outliers._point(["a", "b", "c"]).alias("_point"))
+    candidates = outliers._candidates(points.withColumn("_distinct", outliers.F.lit(1011)))
     sizes = [r["count"] for r in candidates.groupBy("tree").count().collect()]
-    assert len(sizes) == isolation.TREES and max(sizes) < 400 and min(sizes) > 150
+    assert len(sizes) == isolation.TREES and max(sizes) < 480 and min(sizes) > 290
+
+
+def test_repeated_keys_lose_their_share(spark):
+    """Keys say nothing about rows that share them; samples then still come from all rows."""
+    rng = np.random.default_rng(0)
+    rows = [(i % 2, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(3000, 2)))]
+    df = spark.createDataFrame(rows, "flight_id long, a double, b double")
+    assert outliers.clean(df, 0.01).count() == 2970
+
+
+def test_draws_are_fair():
+    """Each distinct row stands for each tree with the same chance, however it is batched."""
+    identity = isolation.scatter(np.arange(20000, dtype=np.uint64))
+    place, tree, order = isolation.candidates(identity, len(identity))
+    assert abs(len(place) / isolation.TREES - isolation.CANDIDATE_ROWS) < 10
+    assert np.bincount(tree, minlength=100).std() < 40 and len(set(zip(place.tolist(), tree.tolist()))) == len(place)
+    parts = [isolation.candidates(identity[i : i + 5000], len(identity)) for i in range(0, 20000, 5000)]
+    again = {(p + 5000 * i, t, o) for i, part in enumerate(parts) for p, t, o in zip(*part)}
+    assert again == set(zip(place, tree, order))
+
+
+def test_a_forest_lacking_trees_is_an_error():
+    with pytest.raises(ValueError, match="99 trees"):
+        isolation.forest([(np.zeros(1),) * 3] * 99)
 
 
 def test_incomplete_rows_drop_out(spark):
@@ -55,13 +76,13 @@ def test_paths_of_small_samples():
     assert isolation.average_path(np.array([1, 2])).tolist() == [0.0, 1.0]
     assert isolation.average_path(np.array([256]))[0] == pytest.approx(10.2448, abs=1e-3)
     same = np.ones((3, 8, 2))
-    feature, _, path = isolation.grow(same, np.random.default_rng(0))
+    feature, _, path = isolation.grow(same, isolation.tree_seeds(0)[:3])
     assert (feature == -1).all() and path[0, 0] == pytest.approx(isolation.average_path(np.array([8]))[0])
 
 
 def test_trees_split_every_row_apart():
     sample = np.random.default_rng(0).normal(size=(5, 8, 2))
-    forest = isolation.grow(sample, np.random.default_rng(1))
+    forest = isolation.grow(sample, isolation.tree_seeds(1)[:5])
     scores = isolation.scores(sample[0], forest, 8)
     assert ((scores > 0) & (scores <= 1)).all()
 
@@ -84,6 +105,17 @@ def test_per_flight(flights, long_rows):
     assert (table.temperature == 900).sum() == 0
 
 
+@pytest.mark.parametrize("share", [0.01, 0.1])
+def test_same_points_whole_and_in_parts(spark, share):
+    """Tied points, a NULL flight and flights of all lengths: ``long_rows`` changes nothing."""
+    parts = [flight(i, climb(n, i)) for i, n in ((1, 2), (2, 149), (3, 151), (4, 700), (5, 1500))]
+    df = points(spark, *parts, parts[3].iloc[:200])
+    unknown = df.where("flight_id = 4").withColumn("flight_id", outliers.F.lit(None).cast("long"))
+    df = df.unionByName(unknown)
+    whole, cut = (sorted(map(str, outliers.clean_trajectory(df, share, Course(long_rows=n)).collect())) for n in (10**6, 150))
+    assert whole == cut and len(whole) < df.count()
+
+
 def test_per_flight_is_repeatable(flights):
     course = Course(long_rows=150)
     first, again = (
