@@ -6,7 +6,10 @@ import random
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -16,23 +19,29 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyload.constants import KEY, TARGET
 from skyload.operators.columns import numeric_columns
-from skyload.operators.joins import join_predictions
-from skyload.operators.metrics import ensemble_mean, evaluate_models, regression_metrics
+from skyload.operators.metrics import ensemble_mean, evaluate_models
 from skyload.operators.prepare import split_hash
 
 SEED = 42
 FEATURES, HELD_OUT = "features", "_held_out"
+# The settings of the grid search, and the ranges that the random search draws from.
 GRID = {"maxIter": [1000, 2000], "stepSize": [0.01, 0.1], "maxDepth": [4, 6, 8]}
+ITERATIONS = {"boosted": (100, 1000), "boosted_deep": (500, 2000)}
+DEPTHS = {"boosted": (3, 10), "boosted_deep": (4, 10)}
 
 
 @dataclass(frozen=True)
 class Learner:
-    """Settings of a tree learner; ``kind`` is ``gbt``, ``forest``, ``linear`` or ``lasso``."""
+    """Settings of a learner; ``kind`` is ``gbt``, ``forest``, ``linear`` or ``lasso``.
+
+    Boosting with a test set stops at the first tree that does not lower its error by more than the share ``tolerance``. It has no
+    patience of several trees, as Spark's boosting looks at one at a time.
+    """
 
     kind: str = "gbt"
     depth: int = 6
@@ -40,6 +49,7 @@ class Learner:
     rate: float = 0.1
     subsample: float = 1.0
     column_share: str = "auto"
+    tolerance: float = 0.0
 
 
 # Defaults of the two learners of an ensemble, and of the tabular one.
@@ -54,7 +64,7 @@ def estimator(learner: Learner, target: str = TARGET):
     if learner.kind == "gbt":
         return GBTRegressor(
             **shared, seed=SEED, maxDepth=learner.depth, maxIter=learner.iterations,
-            stepSize=learner.rate, subsamplingRate=learner.subsample,
+            stepSize=learner.rate, subsamplingRate=learner.subsample, validationTol=learner.tolerance,
             featureSubsetStrategy="all" if learner.column_share == "auto" else learner.column_share,
         )
     if learner.kind == "forest":
@@ -93,28 +103,32 @@ def train(
     return Pipeline(stages=[assembler, regressor]).fit(rows.dropna("any"))
 
 
+def _complete(model: PipelineModel) -> Column:
+    """Whether a row has all features of a model."""
+    return reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in model.stages[0].getInputCols()], F.lit(True))
+
+
 def predict(
     model: PipelineModel, df: DataFrame, carry: Sequence[str] = (KEY,)
 ) -> DataFrame:
-    """Prediction per row; rows with a NULL feature have none."""
-    assembler = model.stages[0].copy()
-    assembler.setHandleInvalid("skip")
-    return model.stages[-1].transform(assembler.transform(df)).select(*carry, "prediction")
+    """Prediction per row; NULL where a feature is missing."""
+    return batch_predict({"": model}, df, carry).withColumnRenamed("tow_", "prediction")
 
 
-def batch_predict(models: Mapping[str, PipelineModel], df: DataFrame) -> DataFrame:
-    """One row per flight: key, and ``tow_<model>`` for each model, from chained transforms."""
+def batch_predict(models: Mapping[str, PipelineModel], df: DataFrame, carry: Sequence[str] = (KEY,)) -> DataFrame:
+    """One row per flight: ``carry``, and ``tow_<model>`` for each model, from chained transforms.
+
+    A prediction is NULL where the flight lacks a feature of that model.
+    """
     wide = df
-    spare: list[str] = []
     for i, (name, model) in enumerate(models.items()):
-        vector = f"_vector_{i}"
         assembler = model.stages[0].copy()
-        assembler.setHandleInvalid("keep").setOutputCol(vector)
+        assembler.setHandleInvalid("keep").setOutputCol(f"_vector_{i}")
         regressor = model.stages[-1].copy()
-        regressor.setFeaturesCol(vector).setPredictionCol(f"tow_{name}")
+        regressor.setFeaturesCol(f"_vector_{i}").setPredictionCol(f"_tow_{i}")
         wide = regressor.transform(assembler.transform(wide))
-        spare.append(vector)
-    return wide.select(KEY, *[f"tow_{name}" for name in models])
+    told = [F.when(_complete(model), F.col(f"_tow_{i}")).alias(f"tow_{name}") for i, (name, model) in enumerate(models.items())]
+    return wide.select(*carry, *told)
 
 
 def importances(model: PipelineModel, name: str = "importance") -> DataFrame:
@@ -172,7 +186,7 @@ def _trial_table(df: DataFrame, trials: list[dict], metric: str) -> DataFrame:
     names = sorted({n for t in trials for n in t["params"]})
     schema = ", ".join(["trial int", f"{metric} double", *[f"`{n}` double" for n in names]])
     rows = [
-        (i, float(t["score"]), *[float(t["params"][n]) if n in t["params"] else None for n in names])
+        (i, None if t["score"] is None else float(t["score"]), *[float(t["params"][n]) if n in t["params"] else None for n in names])
         for i, t in enumerate(trials)
     ]
     return df.sparkSession.createDataFrame(rows, schema)
@@ -204,12 +218,12 @@ def grid_search(
     return model, _trial_table(df, trials, "mse")
 
 
-def _random_settings(draw: random.Random, kind: str, scale: float) -> dict[str, float]:
-    """One draw from the search space; ``scale`` shrinks the number of trees."""
-    low, high = (500, 2000) if kind == "boosted_deep" else (100, 1000)
+def _random_settings(draw: random.Random, kind: str, iterations: tuple[int, int], depth: tuple[int, int]) -> dict[str, float]:
+    """One draw from the search space; trees in steps of a hundred, or of one where the range is shorter."""
+    low, high = iterations
     settings = {
-        "maxIter": max(1, int(draw.randrange(low, high + 1, 100) * scale)),
-        "maxDepth": draw.randint(4, 10) if kind == "boosted_deep" else draw.randint(3, 10),
+        "maxIter": draw.randrange(low, high + 1, 100 if high - low >= 100 else 1),
+        "maxDepth": draw.randint(*depth),
         "stepSize": 0.01 * (0.3 / 0.01) ** draw.random(),
     }
     if kind != "boosted_deep":
@@ -221,32 +235,45 @@ def _random_settings(draw: random.Random, kind: str, scale: float) -> dict[str,
 def random_search(
     df: DataFrame,
     trials: int = 50,
-    timeout: float = 600.0,
+    timeout: float | None = None,
     kind: str = "boosted",
     folds: int = 3,
     target: str = TARGET,
-    scale: float = 1.0,
-    max_depth: int = 10,
+    iterations: tuple[int, int] | None = None,
+    depth: tuple[int, int] | None = None,
+    parallelism: int = 4,
     features: Sequence[str] | None = None,
 ) -> tuple[dict, DataFrame]:
     """Best settings by cross-validated rmse, and a row per trial.
 
-    No trial starts after ``timeout`` seconds; the first one always runs.
+    ``iterations`` and ``depth`` are the ranges drawn from, by default those of ``ITERATIONS`` and ``DEPTHS``. With a ``timeout`` no
+    trial starts after so many seconds, but the first one always runs; the trials that did not are listed without an rmse.
     """
-    draw, started, done = random.Random(SEED), time.monotonic(), []
-    for _ in range(trials):
-        if done and time.monotonic() - started > timeout:
-            break
-        settings = _random_settings(draw, kind, scale)
-        settings["maxDepth"] = min(settings["maxDepth"], max_depth)
-        regressor = estimator(Learner("gbt"), target)
-        values = {
-            n: str(v) if n == "featureSubsetStrategy" else v for n, v in settings.items()
-        }
-        grid = [{regressor.getParam(n): v for n, v in values.items()}]
-        _, scores = _cross_validate(df, regressor, grid, target, "rmse", folds, 1, features)
-        done.append({"params": settings, "score": scores[0]})
-    best = min(done, key=lambda t: t["score"])
+    features = list(features or feature_columns(df, target))
+    draw, started = random.Random(SEED), time.monotonic()
+    settings = [_random_settings(draw, kind, iterations or ITERATIONS[kind], depth or DEPTHS[kind]) for _ in range(trials)]
+    rows = _folds(df, folds).dropna("any", subset=[*features, target])
+    assembled = VectorAssembler(inputCols=features, outputCol=FEATURES).transform(rows).select(FEATURES, target, "_fold").persist()
+    evaluator = RegressionEvaluator(labelCol=target, metricName="rmse")
+    regressor = estimator(Learner("gbt"), target)
+
+    def run(i: int) -> float | None:
+        if i and timeout is not None and time.monotonic() - started > timeout:
+            return None
+        values = {regressor.getParam(n): str(v) if n == "featureSubsetStrategy" else v for n, v in settings[i].items()}
+        errors = []
+        for fold in range(folds):
+            model = regressor.fit(assembled.where(F.col("_fold") != fold), values)
+            errors.append(evaluator.evaluate(model.transform(assembled.where(F.col("_fold") == fold))))
+        return sum(errors) / folds
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(inheritable_thread_target(df.sparkSession)(run), range(trials), chunksize=1)
+    finally:
+        assembled.unpersist()
+    done = [{"params": p, "score": s} for p, s in zip(settings, scores, strict=True)]
+    best = min((t for t in done if t["score"] is not None), key=lambda t: t["score"])
     return best["params"], _trial_table(df, done, "rmse")
 
 
@@ -285,18 +312,18 @@ def leaderboard(
 
 def evaluate(models: Mapping[str, PipelineModel], test: DataFrame, target: str = TARGET) -> DataFrame:
     """Errors of several models on one test set, a row per model."""
-    predictions = batch_predict(models, test.dropna("any")).join(test.select(KEY, target), KEY)
-    return evaluate_models(predictions, list(models), target)
+    return evaluate_models(batch_predict(models, test.dropna("any"), (KEY, target)), list(models), target)
 
 
 @dataclass(frozen=True)
 class Ensemble:
-    """Models of an ensemble with their errors, predictions and importances."""
+    """Models of an ensemble with their errors, predictions and importances, and the trials of a search by model."""
 
     models: Mapping[str, PipelineModel]
     metrics: DataFrame
     predictions: DataFrame
     top_features: DataFrame
+    trials: Mapping[str, DataFrame]
 
 
 def train_ensemble(
@@ -307,22 +334,20 @@ def train_ensemble(
     search_grid: Mapping[str, Sequence] | None = None,
 ) -> Ensemble:
     """Train the learners, average their predictions, and judge all of them."""
-    models = {}
+    models, trials = {}, {}
     for name, learner in learners.items():
         if search_grid is None:
             models[name] = train(train_rows, learner, test_rows, target)
         else:
-            models[name], _ = grid_search(train_rows, learner, search_grid, target=target)
-    complete = test_rows.dropna("any")
-    predictions = ensemble_mean(batch_predict(models, complete), list(models))
-    judged = predictions.join(complete.select(KEY, target), KEY)
+            models[name], trials[name] = grid_search(train_rows, learner, search_grid, target=target)
+    told = batch_predict(models, test_rows.dropna("any"), (KEY, target))
+    judged = ensemble_mean(told, list(models))
     metrics = evaluate_models(judged, [*models, "ensemble"], target)
-    return Ensemble(models, metrics, judged, mean_importances(models, top=10))
+    return Ensemble(models, metrics, judged, mean_importances(models, top=10), trials)
+
 
+def settings_table(spark: SparkSession, models: Mapping[str, PipelineModel]) -> DataFrame:
+    """(model, parameter, value): what each model was trained with."""
+    rows = [(name, p.name, str(v)) for name, model in models.items() for p, v in model.stages[-1].extractParamMap().items()]
+    return spark.createDataFrame(sorted(rows), "model string, parameter string, value string")
 
-__all__ = [
-    "FIRST", "SECOND", "TABULAR", "GRID", "Ensemble", "Learner", "batch_predict", "estimator",
-    "evaluate", "feature_columns", "grid_search", "importances", "join_predictions", "leaderboard",
-    "mean_importances", "predict", "random_search", "recursive_elimination", "regression_metrics",
-    "train", "train_ensemble",
-]

@@ -17,8 +17,6 @@ from skyload.session import SMALL_ROWS, small_table
 # A test row has the first four hex digits of its key's md5 below this: about 20 %.
 TEST_BELOW = "3333"
 TEST_SHARE = 0.2
-# More categories than this are no job for a column each.
-MAX_ONE_HOT = 1_000
 
 
 def spread(value: Column, ddof: int = 0) -> Column:
@@ -136,14 +134,16 @@ def one_hot(
     column: str = ONE_HOT_COLUMN,
     always: Sequence[str] = ("M", "H"),
     drop_first: bool = False,
+    most: int | None = None,
 ) -> DataFrame:
     """A 0/1 column ``<column>_<value>`` per value; ``always`` are there without rows too.
 
-    ``drop_first`` leaves out the smallest value found.
+    ``drop_first`` leaves out the smallest value found. With ``most``, more values than that are an error;
+    every value makes a column, so a column of very many suits :func:`one_hot_vector` better.
     """
-    found = [r.value for r in levels(df, [column]).limit(MAX_ONE_HOT + 1).collect()]
-    if len(found) > MAX_ONE_HOT:
-        raise ValueError(f"{column} has more than {MAX_ONE_HOT} values")
+    found = [r.value for r in levels(df, [column]).collect()]
+    if most is not None and len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
     values = sorted(found) if drop_first else sorted({*found, *always})
     if drop_first:
         values = values[1:]

@@ -80,9 +80,15 @@ def select_features(
     keep: Sequence[str] = (KEY, TARGET),
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sets with the k features that score best on the training set."""
-    chosen = best_features(f_scores(train, target=target), k)
+    return keep_features(train, test, best_features(f_scores(train, target=target), k), keep)
+
+
+def keep_features(
+    train: DataFrame, test: DataFrame, chosen: Sequence[str], keep: Sequence[str] = (KEY, TARGET)
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sets with the features chosen."""
 
     def narrow(df: DataFrame) -> DataFrame:
         return df.select(*[c for c in df.columns if c in chosen or c in keep])
 
-    return narrow(train), narrow(test), chosen
+    return narrow(train), narrow(test), list(chosen)

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyload.constants import DISTANCE_SEGMENTS, KEY, MTOW_SEGMENTS, TARGET
+from skyload.constants import KEY, MTOW_SEGMENTS, TARGET
 from skyload.functions.bins import distance_bin, is_narrow_body, wide_body_label
-from skyload.operators.joins import targets_of
 from skyload.operators.ordering import exact_quantiles, with_row_index
 from skyload.operators.prepare import moments, standard_score
 
@@ -116,8 +115,7 @@ def split_by_wake_class(
     views = {}
     for name in ("wtc_M", "wtc_H"):
         part = df.where(F.col(name) == 1)
-        features = part.drop(target, "wtc_H", "wtc_M")
-        views[name] = (features, targets_of(df, features, target))
+        views[name] = (part.drop(target, "wtc_H", "wtc_M"), part.select(KEY, target))
     return views
 
 
@@ -125,9 +123,3 @@ def segment_summary(split: DataFrame, columns: Sequence[str] = (TARGET,)) -> Dat
     """Size and moments of each segment in one grouped pass."""
     return moments(split.where(F.col(SEGMENT).isNotNull()), columns, by=[SEGMENT])
 
-
-__all__ = [
-    "DISTANCE_SEGMENTS", "MTOW_SEGMENTS", "SEGMENT", "label_by_distance", "label_by_mtow",
-    "mtow_quartiles", "narrow_body_ntile", "segment_summary", "segment_views",
-    "split_by_distance", "split_by_mtow", "split_by_wake_class", "standardise_in_segments",
-]

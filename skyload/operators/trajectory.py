@@ -231,9 +231,16 @@ def flight_phases(
     return _over_flights(points, course, smoothing.REACH + 1, partial(phases, manual=manual))
 
 
-def phase_rows(phases: DataFrame) -> dict[str, DataFrame]:
-    """Views of the phases; a boundary row is in both phases it bounds."""
-    return {name: phases.where(F.col(name)) for name in _PHASES}
+def phase_rows(phases: DataFrame, disjoint: bool = False) -> dict[str, DataFrame]:
+    """Views of the phases; a boundary row is in both phases it bounds.
+
+    If ``disjoint``, it is in the first of them alone.
+    """
+    views, earlier = {}, F.lit(False)
+    for name in _PHASES:
+        views[name] = phases.where(F.col(name) & ~earlier) if disjoint else phases.where(F.col(name))
+        earlier = earlier | F.col(name)
+    return views
 
 
 def thrust_minus_drag(
@@ -289,8 +296,9 @@ def flight_features(rows: DataFrame, course: Course = Course()) -> DataFrame:
 def trajectory_features(
     points: DataFrame, course: Course = Course(), refine: bool = False, manual: bool = False,
     wind_factor: float = METRE_IN_FT,
+    altitude_factor: float = 1.0,
 ) -> DataFrame:
     """Points to one feature row per flight."""
     return flight_features(
-        thrust_minus_drag(points, course, refine, manual, wind_factor), course
+        thrust_minus_drag(points, course, refine, manual, wind_factor, altitude_factor), course
     )

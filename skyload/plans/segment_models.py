@@ -10,14 +10,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyload.constants import MTOW_SEGMENTS
+from skyload.constants import MTOW_SEGMENTS, TARGET
 from skyload.operators import models as m
 from skyload.operators.columns import complete_rows, drop_features
 from skyload.operators.prepare import train_test_split
 from skyload.operators.scores import select_features
 from skyload.operators.segments import SEGMENT
 from skyload.session import stable
-from skyload.sources.sinks import save_model
+from skyload.sources.sinks import save_model, write_metrics, write_predictions
 
 LEARNERS = {"boosted": m.FIRST, "forest": m.SECOND}
 
@@ -41,9 +41,13 @@ def train_segment_models(
     k: int = 15,
     model_path: str | None = None,
     parallelism: int = 3,
+    folder: str | None = None,
 ) -> tuple[dict[str, m.Ensemble], DataFrame]:
     """Ensembles by segment, and a row (segment, model, errors) per model.
 
+    Models go below ``model_path``; below ``folder`` go each segment's ``predictions``, and its ``metrics`` with the
+    parameters of each model.
+
     The split table is computed once, and each segment's many passes read its own rows.
     ``parallelism`` segments are trained at a time; they share nothing.
     """
@@ -60,5 +64,8 @@ def train_segment_models(
         for learner, model in ensemble.models.items():
             if model_path:
                 save_model(model, model_path, f"{name}_{learner}")
+        if folder:
+            write_predictions(ensemble.predictions.drop(TARGET), f"{folder}/predictions/{name}")
+            write_metrics(ensemble.metrics, f"{folder}/metrics/{name}", m.settings_table(split.sparkSession, ensemble.models))
     tables = [e.metrics.select(F.lit(n).alias(SEGMENT), "*") for n, e in trained.items()]
     return trained, reduce(DataFrame.unionByName, tables)

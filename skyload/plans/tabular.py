@@ -14,10 +14,11 @@ from skyload.operators.columns import complete_rows, drop_features, valid_altitu
 from skyload.operators.joins import enrich, known_types, with_flight_features
 from skyload.operators.outliers import clean, clean_trajectory
 from skyload.operators.prepare import label_encode, normalise, one_hot, train_test_split
-from skyload.operators.scores import select_features
+from skyload.operators.scores import best_features, f_scores, keep_features
 from skyload.operators.trajectory import trajectory_features
 from skyload.session import stable
 from skyload.settings import Course, Settings
+from skyload.sources.sinks import save_model, write_feature_reports, write_metrics, write_predictions, write_stage
 
 
 def tabular_features(
@@ -44,7 +45,8 @@ def tabular_features(
         else:
             points = valid_altitudes(points)
         features = trajectory_features(
-            points, course, settings.refine_phases, settings.manual_phases, settings.wind_factor
+            points, course, settings.refine_phases, settings.manual_phases, settings.wind_factor,
+            settings.altitude_factor,
         )
         rows = with_flight_features(rows, features)
     if not settings.use_all_features:
@@ -68,15 +70,27 @@ def run_tabular(
     features: DataFrame,
     settings: Settings = Settings(),
     learners: Mapping[str, m.Learner] | None = None,
+    folder: str | None = None,
 ) -> TabularRun:
-    """Split, select, train, judge and predict."""
-    features = stable(features)
+    """Split, select, train, judge and predict; with a ``folder``, write what came out.
+
+    Below the folder go the feature table (``features``), the reports of the selection, ``predictions``,
+    ``metrics`` with the parameters of each model, and the ``models``.
+    """
+    features = write_stage(features, folder, "features") if folder else stable(features)
     train, test = train_test_split(features)
-    train, test, selected = select_features(train, test, settings.num_features)
+    scores = stable(f_scores(train))
+    selected = best_features(scores, settings.num_features)
+    train, test, _ = keep_features(train, test, selected)
     models = {
         name: m.train(train, learner, test)
         for name, learner in (learners or {settings.learner: m.TABULAR}).items()
     }
-    return TabularRun(
-        models, selected, m.evaluate(models, test), m.batch_predict(models, test)
-    )
+    metrics, predictions = m.evaluate(models, test), m.batch_predict(models, test)
+    if folder:
+        write_feature_reports(scores, selected, folder)
+        write_predictions(predictions, f"{folder}/predictions")
+        write_metrics(metrics, f"{folder}/metrics", m.settings_table(features.sparkSession, models))
+        for name, model in models.items():
+            save_model(model, f"{folder}/models", name)
+    return TabularRun(models, selected, metrics, predictions)

@@ -37,7 +37,8 @@ def trajectory_flight_features(
     else:
         rows, points = complete_rows(rows), valid_altitudes(points)
     features = trajectory_features(
-        points, course, settings.refine_phases, settings.manual_phases, settings.wind_factor
+        points, course, settings.refine_phases, settings.manual_phases, settings.wind_factor,
+        settings.altitude_factor,
     )
     # Moments, codes and the result are three passes over the joined rows.
     rows = stable(with_flight_features(rows, features, settings.use_trajectory))

@@ -19,9 +19,10 @@ class Settings:
     num_features: int = 15
     contamination: float = 0.01
     n_trials: int = 50
-    timeout: int = 600
+    timeout: float | None = None
     learner: str = "gbt"
     wind_factor: float = METRE_IN_FT
+    altitude_factor: float = 1.0
 
 
 @dataclass(frozen=True)

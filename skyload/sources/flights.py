@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyload.functions.times import add_duration
@@ -30,21 +31,32 @@ FLIGHT_SCHEMA = T.StructType(
 )
 
 
-def _columns_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line; no data is scanned."""
-    return spark.read.option("header", True).csv(path).columns
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files below a path, by their first line."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.where(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return {r["header"]: r["files"] for r in first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()}
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
     """A flight table with a header. Columns are found by name, types are not inferred.
 
-    Columns that are no part of the known schema are read as text.
+    Files of a folder may have their columns in different orders, and lack some; each is read by
+    its own header. Columns that are no part of the known schema are read as text.
     """
     known = {f.name: f for f in FLIGHT_SCHEMA}
-    schema = T.StructType(
-        [known.get(c, T.StructField(c, T.StringType())) for c in _columns_of(spark, path)]
-    )
-    return spark.read.schema(schema).option("header", True).csv(path)
+    table = None
+    for header, files in sorted(_files_by_header(spark, path).items()):
+        names = spark.read.option("header", True).csv(files[0]).columns
+        schema = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in names])
+        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(files)
+        table = part if table is None else table.unionByName(part, allowMissingColumns=True)
+    if table is None:
+        raise ValueError(f"no lines below {path}")
+    return table
 
 
 def read_scoring_flights(spark: SparkSession, path: str) -> DataFrame:

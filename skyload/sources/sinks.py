@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyload.operators.scores import with_p_values
 
@@ -35,8 +36,14 @@ def write_feature_reports(scores: DataFrame, chosen: list[str], folder: str) ->
     ).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/feature_scores")
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """One JSON object per model."""
+def write_metrics(metrics: DataFrame, path: str, settings: DataFrame | None = None) -> None:
+    """One JSON object per model: its errors, and the ``parameters`` it was trained with where ``settings`` has them.
+
+    ``settings`` has (model, parameter, value) rows; an ensemble has none.
+    """
+    if settings is not None:
+        pairs = F.sort_array(F.collect_list(F.struct("parameter", "value")))
+        metrics = metrics.join(settings.groupBy("model").agg(F.map_from_entries(pairs).alias("parameters")), "model", "left")
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
 

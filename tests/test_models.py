@@ -36,11 +36,14 @@ def test_train_predict_and_save(spark, data, tmp_path):
     assert sorted(again.collect()) == sorted(found.collect())
 
 
-def test_predictions_skip_incomplete_rows(data):
+def test_predictions_are_null_for_incomplete_rows(data):
     train, test = data
     model = models.train(train, models.Learner("linear"))
     holed = test.withColumn("a", F.when(F.col("flight_id") % 2 == 0, F.col("a")))
-    assert models.predict(model, holed).count() == holed.where("a IS NOT NULL").count()
+    for found, name in ((models.predict(model, holed), "prediction"), (models.batch_predict({"m": model}, holed), "tow_m")):
+        rows = {r.flight_id: r[name] for r in found.collect()}
+        assert len(rows) == holed.count()
+        assert all((value is None) == (key % 2 == 1) for key, value in rows.items())
 
 
 def test_ensemble(data):
@@ -72,11 +75,12 @@ def test_grid_search_covers_the_grid(data):
 
 
 def test_random_search(data):
-    best, trials = models.random_search(data[0], trials=2, scale=0.005, max_depth=3)
+    best, trials = models.random_search(data[0], trials=3, iterations=(1, 3), depth=(2, 3))
     rows = trials.collect()
-    assert len(rows) == 2
+    assert len(rows) == 3
     assert best["stepSize"] == pytest.approx(min(rows, key=lambda r: r.rmse).stepSize)
-    assert models.random_search(data[0], trials=5, timeout=0, scale=0.005, max_depth=3)[1].count() == 1
+    cut = models.random_search(data[0], trials=4, timeout=0, iterations=(1, 2), depth=(2, 2), parallelism=1)[1].collect()
+    assert [r.rmse is None for r in sorted(cut, key=lambda r: r.trial)] == [False, True, True, True]
 
 
 def test_recursive_elimination(data):
@@ -93,19 +97,31 @@ def test_leaderboard(data):
         models.estimator(models.Learner("unknown"))
 
 
-def test_tabular_run(data):
+def test_tabular_run(spark, data, tmp_path):
+    """What is written can be read again."""
     train, test = data
-    run = run_tabular(train.unionByName(test), Settings(num_features=2), {"gbt": GBT, "forest": FOREST})
+    folder = str(tmp_path)
+    run = run_tabular(train.unionByName(test), Settings(num_features=2), {"gbt": GBT, "forest": FOREST}, folder)
     assert run.selected == ["a", "b"]
     assert run.predictions.columns == ["flight_id", "tow_gbt", "tow_forest"]
     assert run.metrics.count() == 2
+    assert spark.read.parquet(f"{folder}/features").count() == 400
+    written = spark.read.option("header", True).csv(f"{folder}/predictions")
+    assert written.columns == run.predictions.columns and written.count() == test.count()
+    report = {r.model: r for r in spark.read.json(f"{folder}/metrics").collect()}
+    assert report["gbt"].parameters.maxIter == "4" and report["forest"].parameters.numTrees == "4"
+    assert report["gbt"].rmse == pytest.approx({r.model: r.rmse for r in run.metrics.collect()}["gbt"])
+    assert spark.read.option("header", True).csv(f"{folder}/feature_scores").count() == 4
+    assert load_model(spark, f"{folder}/models", "gbt").stages[-1].getMaxIter() == 4
 
 
-def test_segment_models(data, tmp_path):
+def test_segment_models(spark, data, tmp_path):
     train, test = data
     split = train.unionByName(test).withColumn(
         "segment", F.when(F.col("flight_id") % 2 == 0, "low").otherwise("b77w")
     )
-    trained, table = train_segment_models(split, {"boosted": GBT, "forest": FOREST}, k=2, model_path=str(tmp_path))
+    trained, table = train_segment_models(split, {"boosted": GBT, "forest": FOREST}, k=2, model_path=str(tmp_path), folder=f"{tmp_path}/out")
+    assert sorted(p.name for p in (tmp_path / "out/predictions").iterdir()) == ["b77w", "low"]
+    assert spark.read.json(f"{tmp_path}/out/metrics/low").count() == 3
     assert set(trained) == {"low", "b77w"} and table.count() == 6
     assert (tmp_path / "low_boosted").is_dir() and (tmp_path / "b77w_forest").is_dir()

@@ -95,3 +95,12 @@ def test_sinks(spark, tmp_path):
     metrics = spark.createDataFrame([("gbt", 1.5)], "model string, rmse double")
     sinks.write_metrics(metrics, f"{folder}/metrics")
     assert spark.read.json(f"{folder}/metrics").first().rmse == 1.5
+
+
+def test_flight_files_of_unlike_column_order(spark, tmp_path):
+    folder = tmp_path / "flights"
+    folder.mkdir()
+    (folder / "a.csv").write_text("flight_id,tow,flown_distance,extra\n1,10.5,3.0,x\n")
+    (folder / "b.csv").write_text("flown_distance,flight_id,tow\n4.0,2,20.5\n")
+    found = sorted((r.flight_id, r.tow, r.flown_distance, r.extra) for r in flights.read_flights(spark, str(folder)).collect())
+    assert found == [(1, 10.5, 3.0, "x"), (2, 20.5, 4.0, None)]
