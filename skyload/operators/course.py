@@ -93,6 +93,18 @@ class FlightRows:
         per_flight = self._own().groupBy(key).agg(*[c.alias(n) for n, c in values.items()])
         return self.mapped(lambda frame: join_on(frame, per_flight, [key]))
 
+    def with_flight_ends(self, first: str, last: str, value: Column, count: int) -> FlightRows:
+        """Add the values of the flight's first and last ``count`` rows, as arrays, to each of its rows."""
+        row, length = F.col(ROW), F.col(LENGTH)
+        ends = {first: row < count, last: row >= length - count}
+        if not self.in_pieces:
+            return self.with_flight_values({n: F.collect_list(F.when(at, value)) for n, at in ends.items()})
+        sorted_values = {
+            n: F.transform(F.array_sort(F.collect_list(F.when(at, F.struct(row.alias("row"), value.alias("value"))))), lambda s: s["value"])
+            for n, at in ends.items()
+        }
+        return self.with_flight_values(sorted_values)
+
     def with_flight_quantile(self, name: str, value: Column, probability: float) -> FlightRows:
         """Add an exact quantile of ``value`` over the whole flight to each of its rows."""
         key = self.course.key

@@ -80,12 +80,13 @@ def _with_rates(rows: FlightRows, values: dict[str, Column], rates: dict[str, st
 
 def _with_smoothed_altitude(rows: FlightRows, name: str = "altitude_smooth") -> FlightRows:
     """Cubic least-squares smoothing; NULL for flights of fewer than five points."""
-    reach, half = smoothing.REACH, SMOOTHING_MAX_WINDOW // 2
+    half = SMOOTHING_MAX_WINDOW // 2
     along, row, length = rows.along(), F.col(ROW), F.col(LENGTH)
     window = smoothing.window_length(length)
+    # The first and last rows of a flight share one window each.
+    rows = rows.with_flight_ends("_first", "_last", F.col(_ALTITUDE), SMOOTHING_MAX_WINDOW)
     rows = rows.with_columns(
         {
-            "_seen": F.collect_list(_ALTITUDE).over(along.rowsBetween(-reach, reach)),
             "_centred": smoothing.centred_fit(lambda d: F.lag(_ALTITUDE, -d).over(along)),
             "_window": window,
             "_start": smoothing.window_start(row, length, window),
@@ -94,17 +95,18 @@ def _with_smoothed_altitude(rows: FlightRows, name: str = "altitude_smooth") ->
     rows = rows.with_columns({"_place": (row - F.col("_start")).cast("int")})
     weights = F.broadcast(smoothing.weights_table(rows.frame.sparkSession))
     rows = rows.mapped(lambda frame: frame.join(weights, ["_window", "_place"], "left"))
-    # Rows seen start at the flight's first row or at the first one within reach. A
-    # copied row of a piece may see fewer; its result is dropped with it.
-    first_seen = F.greatest(F.lit(0).cast("long"), row - F.lit(reach))
+    at_start, zero = F.col("_start") == 0, F.lit(0).cast("long")
     at_edge = smoothing.edge_fit(
-        F.col("_seen"), F.col("_start") - first_seen, F.col("_window"), F.col("_weights")
+        F.when(at_start, F.col("_first")).otherwise(F.col("_last")),
+        F.when(at_start, zero).otherwise(F.col("_start") - F.greatest(zero, length - SMOOTHING_MAX_WINDOW)),
+        F.col("_window"),
+        F.col("_weights"),
     )
     fitted = F.when((row >= half) & (row < length - half), F.col("_centred")).when(
         F.col("_window") >= SMOOTHING_MIN_WINDOW, at_edge
     )
     rows = rows.with_columns({name: F.nanvl(fitted, F.lit(None).cast("double"))})
-    working = ("_seen", "_centred", "_window", "_start", "_place", "_weights")
+    working = ("_first", "_last", "_centred", "_window", "_start", "_place", "_weights")
     return rows.mapped(lambda frame: frame.drop(*working))
 
 

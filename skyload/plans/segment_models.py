@@ -26,7 +26,6 @@ def train_segment(
     rows: DataFrame, learners: Mapping[str, m.Learner], k: int = 15
 ) -> m.Ensemble | None:
     """Split, select and train on one segment; None without both train and test rows."""
-    rows = stable(rows)
     train, test = train_test_split(rows)
     if train.isEmpty() or test.isEmpty():
         return None
@@ -48,10 +47,10 @@ def train_segment_models(
     Models go below ``model_path``; below ``folder`` go each segment's ``predictions``, and its ``metrics`` with the
     parameters of each model.
 
-    The split table is computed once, and each segment's many passes read its own rows.
+    The split table is computed once and written by segment, so each segment's many passes read its own rows.
     ``parallelism`` segments are trained at a time; they share nothing.
     """
-    split = stable(drop_features(complete_rows(split), final_drop=True))
+    split = stable(drop_features(complete_rows(split), final_drop=True), SEGMENT)
 
     def of_segment(name: str) -> m.Ensemble | None:
         return train_segment(split.where(F.col(SEGMENT) == name).drop(SEGMENT), learners, k)

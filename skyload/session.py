@@ -34,16 +34,16 @@ def shared_folder(spark: SparkSession) -> str:
     return files.makeQualified(path).toString()
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Write the rows as Parquet to the shared folder and go on from there.
+def stable(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Write the rows as Parquet to the shared folder and go on from there, partitioned by some columns if named.
 
     Needed where rows are read many times, or carry values that depend on how they
     were partitioned: a lost executor then reads the same rows again instead of
     making new ones.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
     table.stage_path = path
     return table
 
