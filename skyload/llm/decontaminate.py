@@ -9,21 +9,14 @@ be equal word for word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyload.llm.texts import Words, map_texts, mix, row_key, run_hashes
+from skyload.llm.texts import Words, key_filter, map_texts, may_hold, row_key, run_hashes
 from skyload.session import stable
 
-# Bits of the filter of benchmark fingerprints that tasks get, at most: 16 MB. Sixteen bits are
-# taken for each fingerprint up to there; beyond, more windows pass it and the join sorts them out.
-FILTER_BITS = 1 << 27
-LEAST_BITS = 1 << 16
-
 _WINDOWS = "array<struct<size:int,at:bigint,fingerprint:bigint,words:string>>"
 
 
@@ -42,11 +35,6 @@ def _fingerprints(words: Words, hashes: np.ndarray, span: int) -> tuple[np.ndarr
     return at, least
 
 
-def _bits(fingerprints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    low = fingerprints & np.uint64(bits - 1)
-    return low, mix(fingerprints ^ np.uint64(0x5DEECE66D)) & np.uint64(bits - 1)
-
-
 def _windows_type() -> pa.DataType:
     return pa.list_(
         pa.struct([("size", pa.int32()), ("at", pa.int64()), ("fingerprint", pa.int64()), ("words", pa.string())])
@@ -76,39 +64,18 @@ def benchmark_windows(items: DataFrame, span: int = 10, id: str = "item_id", tex
     return made.select("item", F.explode("windows").alias("w")).select("item", "w.size", "w.fingerprint", "w.words").distinct()
 
 
-def _filter(windows: DataFrame) -> np.ndarray:
-    """A bitmap with two bits for each fingerprint, as 64-bit words."""
-    prints = windows.select("fingerprint").distinct()
-    bits = LEAST_BITS
-    while bits < min(FILTER_BITS, 16 * prints.count()):
-        bits *= 2
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = np.concatenate(_bits(batch.column(0).to_numpy().view(np.uint64), bits))
-            yield pa.RecordBatch.from_arrays([(both >> np.uint64(6)).view(np.int64), (np.uint64(1) << (both & np.uint64(63))).view(np.int64)], names=["block", "bit"])
-
-    set_bits = prints.mapInArrow(blocks, "block bigint, bit bigint").groupBy("block").agg(F.bit_or("bit").alias("bit")).toArrow()
-    bitmap = np.zeros(bits // 64, np.uint64)
-    bitmap[set_bits.column("block").to_numpy()] = set_bits.column("bit").to_numpy().view(np.uint64)
-    return bitmap
-
-
 def document_hits(documents: DataFrame, windows: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents as (id, key, n_words), and benchmark windows in them as (key, size, at, words)."""
     spark = documents.sparkSession
     sizes = [r[0] for r in windows.select("size").distinct().orderBy("size").collect()]  # at most one for each word of a span
-    held = spark.sparkContext.broadcast(_filter(windows))
+    held = spark.sparkContext.broadcast(key_filter(windows.select("fingerprint").distinct()))
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         words, bitmap = Words(texts), held.value
-        bits = len(bitmap) * 64
         hashes, out = words.hashes(), [[] for _ in range(len(texts))]
         for size in sizes:
             at, least = _fingerprints(words, hashes, size)
-            known = np.ones(len(at), bool)
-            for bit in _bits(least, bits):
-                known &= (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+            known = may_hold(bitmap, least)
             for a, f in zip(at[known].tolist(), least[known].view(np.int64).tolist(), strict=True):
                 row = words.row[a]
                 out[row].append((size, a - int(words.first[row]), f, words.run(a, size)))

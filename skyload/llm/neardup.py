@@ -8,7 +8,9 @@ shingles draw one number.
 
 Texts equal word for word are one node. Nodes that agree in a band of components are candidates, and those are
 verified on all their shingles. Instead of all pairs in a bucket, its members are compared with one centre, and
-then only members that are still in different classes with the next one, until none is left to compare.
+then, where they are still in different classes, with further ones in each round, until none is left to compare.
+In large buckets most pairs are left out beforehand: by a bound, as shingles that a text shares with
+none of the others there count against every partner, and by how many components of the signatures agree.
 """
 
 from __future__ import annotations
@@ -17,22 +19,33 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyload.llm.graphs import components
-from skyload.llm.texts import Words, free_name, map_texts, mix, row_key, run_hashes
+from skyload.llm.texts import Words, free_name, key_filter, map_texts, may_hold, mix, pieces, row_key, run_hashes
 from skyload.session import release, stable
 
 WORDS, LEAST_SIMILARITY = 5, 0.8
-# Twenty bands of four components miss three pairs in 100,000 of probability Jaccard 0.8.
-BANDS, ROWS = 20, 4
-# A candidate whose signatures agree in a share this much below the threshold is not looked at: over five standard deviations.
-MARGIN = 0.25
+# Forty bands of seven components miss eight pairs in 100,000 of probability Jaccard 0.8, and bring together
+# one pair in sixteen of 0.4, such as texts that share a long passage.
+BANDS, ROWS = 40, 7
 # Buckets of at most so many members are finished in one round.
-SMALL_BUCKET = 16
+SMALL_BUCKET = 32
+# Centres of a larger bucket in the second round, about; each further round has twice as many.
+CENTRES = 256
+# In large buckets, pairs of texts without repeated shingles whose signatures agree in a share this much below the
+# threshold are no candidates: over four standard deviations. Signatures keep four bits of each component there.
+MARGIN = 0.1
+NIBBLES = 16
+# Parts of a large bucket that are worked on apart.
+SALTS = 32
+# Shingles of one range, about, when those that occur once are looked for.
+RANGE_SHINGLES = 1 << 20
 
 
 def shingles(words: Words, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,19 +68,25 @@ def shingles(words: Words, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, n
 def prob_minhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, rows: int, size: int) -> np.ndarray:
     """Signatures (rows x size): in each component the element that arrives there first; 0 for a row without elements."""
     first, winner = np.full(rows * size, np.inf), np.zeros(rows * size, np.uint64)
-    latest, time, active, draw = np.full(rows, np.inf), np.zeros(len(element)), np.arange(len(element)), 0
+    latest, time, active, draws = np.full(rows, np.inf), np.zeros(len(element)), np.arange(len(element)), 0
     while len(active):
-        seeds = mix(element[active] + np.uint64((0x632BE59BD9B4E019 * (draw + 1)) % 2**64))
-        uniform = ((seeds >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
-        time[active] -= np.log(uniform) / weight[active]
-        early = time[active] < latest[row[active]]
-        active, seeds = active[early], seeds[early]
-        place = row[active] * size + (mix(seeds ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(size)).astype(np.int64)
-        np.minimum.at(first, place, time[active])
-        won = first[place] == time[active]
-        winner[place[won]] = element[active][won]
-        latest = first.reshape(rows, size).max(axis=1)
-        draw += 1
+        # Few elements draw several numbers at a time; one that is too late changes nothing.
+        some = max(1, min(size, 16384 // len(active)))
+        steps = np.arange(draws + 1, draws + 1 + some, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)
+        seeds = mix(element[active][:, None] + steps)
+        gaps = -np.log(((seeds >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53) / weight[active][:, None]
+        times = np.cumsum(np.concatenate([time[active][:, None], gaps], axis=1), axis=1)[:, 1:]
+        time[active] = times[:, -1]
+        at, _ = early = np.nonzero(times < latest[row[active]][:, None])
+        which, when = active[at], times[early]
+        place = row[which] * size + (mix(seeds[early] ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(size)).astype(np.int64)
+        np.minimum.at(first, place, when)
+        won = first[place] == when
+        winner[place[won]] = element[which[won]]
+        touched = np.unique(row[which])
+        latest[touched] = first.reshape(rows, size)[touched].max(axis=1)
+        active = active[time[active] < latest[row[active]]]
+        draws += some
     return winner.reshape(rows, size)
 
 
@@ -121,90 +140,231 @@ def _word_digests(words: Words) -> list[str | None]:
 
 
 def signatures(documents: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, key, digest, bands, signature); digest and bands are NULL for texts without words."""
-    components_of_all = BANDS * ROWS
+    """(id, key, digest, bands, signature); digest and bands are NULL for texts without words.
+
+    ``signature`` has four bits of each component, sixteen components in a number.
+    """
+    size = BANDS * ROWS
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         words = Words(texts)
         row, gram, count = shingles(words)
-        made = prob_minhash(row, gram, 1 + np.log(count), len(texts), components_of_all)
+        made = prob_minhash(row, gram, 1 + np.log(count), len(texts), size)
         bands = np.zeros((len(texts), BANDS), np.uint64)
         for i in range(ROWS):
             bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + made[:, i::ROWS])
         bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)).view(np.int64)
-        held = words.counts > 0
-        short = (made >> np.uint64(48)).astype(np.uint16)
         return [
             pa.array(_word_digests(words), pa.string()),
-            pa.array([b if h else None for b, h in zip(bands.tolist(), held, strict=True)], pa.list_(pa.int64())),
-            pa.array([s.tobytes() for s in short], pa.binary()),
+            pa.array([b if h else None for b, h in zip(bands.tolist(), words.counts > 0, strict=True)], pa.list_(pa.int64())),
+            pa.array(packed(made).view(np.int64).tolist(), pa.list_(pa.int64())),
         ]
 
     carry = [F.col(f"`{id}`").alias("__id"), row_key(id, text).alias("key")]
-    return stable(map_texts(documents, compute, {"digest": "string", "bands": "array<bigint>", "signature": "binary"}, text, carry))
+    return stable(map_texts(documents, compute, {"digest": "string", "bands": "array<bigint>", "signature": "array<bigint>"}, text, carry))
+
+
+def packed(made: np.ndarray) -> np.ndarray:
+    """The highest four bits of each component, sixteen to a number; the last number is filled up with zeros."""
+    bits = made >> np.uint64(60)
+    bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % NIBBLES))).reshape(len(made), -1, NIBBLES)
+    return (bits << (np.arange(NIBBLES, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+
+
+def differing(x: Column, y: Column) -> Column:
+    """How many components of two packed signatures differ."""
+
+    def of_number(a: Column, b: Column) -> Column:
+        apart = a.bitwiseXOR(b)
+        apart = apart.bitwiseOR(F.shiftrightunsigned(apart, 1))
+        apart = apart.bitwiseOR(F.shiftrightunsigned(apart, 2))
+        return F.bit_count(apart.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.aggregate(F.zip_with(x, y, of_number), F.lit(0), lambda total, n: total + n)
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """(bucket, node) of buckets that at least two nodes are in."""
+    buckets = nodes.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    shared = stable(buckets.where("n > 1").select("bucket"))
+    held = nodes.sparkSession.sparkContext.broadcast(key_filter(shared))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column(1)
+            bucket, node = bands.flatten(), batch.column(0).take(pc.list_parent_indices(bands))
+            kept = pa.array(may_hold(held.value, bucket.to_numpy()))
+            yield pa.RecordBatch.from_arrays([bucket.filter(kept), node.filter(kept)], names=["bucket", "node"])
+
+    likely = nodes.select("node", "bands").mapInArrow(run, "bucket bigint, node bigint")
+    return stable(likely.join(shared, "bucket", "left_semi"))
 
 
 def _shingle_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
     """(node, grams, counts) of the nodes wanted (key, node): sorted shingles, by 32 bits of their hashes, and counts."""
+    held = documents.sparkSession.sparkContext.broadcast(key_filter(wanted.select(F.xxhash64("key"))))
 
-    def compute(texts: pa.Array) -> list[pa.Array]:
-        words = Words(texts)
-        row, gram, count = shingles(words)
-        cuts = np.searchsorted(row, np.arange(1, len(texts)))
-        grams = [(g >> np.uint64(32)).astype(np.uint32) for g in np.split(gram, cuts)]
-        return [pa.array([g.tobytes() for g in grams], pa.binary()), pa.array([c.astype(np.uint32).tobytes() if (c > 1).any() else b"" for c in np.split(count, cuts)], pa.binary())]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            likely = batch.filter(pa.array(may_hold(held.value, batch.column(0).to_numpy())))
+            for piece in pieces(likely):
+                row, gram, count = shingles(Words(piece.column(2)))
+                cuts = np.searchsorted(row, np.arange(1, piece.num_rows))
+                grams = [(g >> np.uint64(32)).astype(np.uint32).tobytes() for g in np.split(gram, cuts)]
+                counts = [c.astype(np.uint32).tobytes() if (c > 1).any() else b"" for c in np.split(count, cuts)]
+                yield pa.RecordBatch.from_arrays([piece.column(1), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())], names=["key", "grams", "counts"])
 
-    keyed = documents.select(row_key(id, text).alias("key"), F.col(f"`{text}`").cast("string").alias("body"))
-    return stable(map_texts(keyed.join(wanted, "key"), compute, {"grams": "binary", "counts": "binary"}, "body", ["node"]).dropDuplicates(["node"]))
+    key = row_key(id, text)
+    sent = documents.select(F.xxhash64(key).alias("hash"), key.alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    made = sent.mapInArrow(run, "key string, grams binary, counts binary")
+    return stable(made.join(wanted, "key").select("node", "grams", "counts").dropDuplicates(["node"]))
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs whose signatures agree often enough."""
-    of = lambda name: nodes.select(F.col("node").alias(name), F.col("signature").alias(f"sig_{name}"))
+def _one(grams: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    held = np.frombuffer(grams, np.uint32)
+    return held, np.frombuffer(counts, np.uint32) if counts else np.ones(len(held), np.uint32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _bounds(sets: DataFrame) -> DataFrame:
+    """What bounds the similarity of nodes with each other: (node, n, own, mass, own_mass, heaviest).
+
+    ``n`` shingles of weight ``mass``; ``own`` of them, of weight ``own_mass``, are in no other node here; ``heaviest`` is the
+    largest weight of one. Shingles go to ranges of their hashes. Those that repeat within a batch go there once, so a shingle
+    of very many nodes does not fill its range.
+    """
+    ranges = max(64, sets.count() * 500 // RANGE_SHINGLES)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-            yield batch.select(["a", "b"]).filter(pa.array((left == right).mean(axis=1) >= least - MARGIN))
+            each = [_one(g, c) for g, c in zip(batch.column("grams").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+            gram = np.concatenate([g for g, _ in each])
+            node = np.repeat(batch.column("node").to_numpy(), [len(g) for g, _ in each])
+            weight = 1 + np.log(np.concatenate([c for _, c in each]))
+            order = np.argsort(gram, kind="stable")
+            gram, node, weight = gram[order], node[order], weight[order]
+            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            often = np.diff(np.r_[first, len(gram)]) > 1
+            gram, node, weight = gram[first], np.where(often, -1, node[first]), weight[first]
+            place = (gram.astype(np.uint64) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            cuts = np.searchsorted(place, np.arange(1, ranges))
+            split = [[part.tobytes() for part in np.split(values, cuts)] for values in (gram, node, weight)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int64()), *[pa.array(s, pa.binary()) for s in split]], names=["range", "grams", "nodes", "weights"])
+
+    def single(parts: pd.DataFrame) -> pd.DataFrame:
+        gram, node, weight = (np.frombuffer(b"".join(parts[c]), kind) for c, kind in (("grams", np.uint32), ("nodes", np.int64), ("weights", np.float64)))
+        _, first, count = np.unique(gram, return_index=True, return_counts=True)
+        own = first[count == 1]
+        own = own[node[own] >= 0]
+        return pd.DataFrame({"node": node[own], "weight": weight[own]}).groupby("node", as_index=False).agg(own=("weight", "size"), own_mass=("weight", "sum"))
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            weights = [1 + np.log(_one(g, c)[1]) for g, c in zip(batch.column("grams").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+            made = [pa.array([f(w) for w in weights], kind) for f, kind in ((len, pa.int64()), (np.sum, pa.float64()), (lambda w: w.max(initial=1.0), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *made], names=["node", "n", "mass", "heaviest"])
+
+    parts = sets.mapInArrow(spread, "range bigint, grams binary, nodes binary, weights binary")
+    found = parts.groupBy("range").applyInPandas(single, "node bigint, own bigint, own_mass double")
+    own = found.groupBy("node").agg(F.sum("own").alias("own"), F.sum("own_mass").alias("own_mass"))
+    zero = [F.coalesce("own", F.lit(0).cast("bigint")).alias("own"), F.coalesce("own_mass", F.lit(0.0)).alias("own_mass")]
+    return stable(sets.mapInArrow(totals, "node bigint, n bigint, mass double, heaviest double").join(own, "node", "left").select("node", "n", "mass", "heaviest", *zero))
 
-    return stable(pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint"))
+
+def _possible(x: Column, y: Column, least: float) -> Column:
+    """Whether two nodes with these bounds can be similar enough.
+
+    What x shares with y is without x's own shingles, and their union has those of y besides x; likewise for weights.
+    """
+    slack = least - 1e-9
+    plain = (x["n"] - x["own"]) >= slack * (x["n"] + y["own"])
+    weighed = (x["mass"] - x["own_mass"]) >= slack * (x["mass"] + y["own_mass"] / y["heaviest"])
+    return plain | weighed
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Pairs whose similarity reaches the threshold."""
     of = lambda name: sets.select(F.col("node").alias(name), F.col("grams").alias(f"grams_{name}"), F.col("counts").alias(f"counts_{name}"))
 
-    def one(grams: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-        held = np.frombuffer(grams, np.uint32)
-        return held, np.frombuffer(counts, np.uint32) if counts else np.ones(len(held), np.uint32)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [batch.column(c) for c in ("grams_a", "counts_a", "grams_b", "counts_b")]
-            near = [similarity(one(w[0].as_py(), w[1].as_py()), one(w[2].as_py(), w[3].as_py())) >= least for w in zip(*sides, strict=True)]
+            near = [similarity(_one(w[0].as_py(), w[1].as_py()), _one(w[2].as_py(), w[3].as_py())) >= least for w in zip(*sides, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    # A bucket's centre is on the side a: its shingles are sent once, and its many partners can be split among tasks.
     met = pairs.join(of("b"), "b").join(of("a"), "a")
     return stable(met.select("a", "b", "grams_a", "counts_a", "grams_b", "counts_b").mapInArrow(run, "a bigint, b bigint"))
 
 
-def _next_pairs(open_members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare now, and members (bucket, node, class) of buckets that need a further round.
+def _next_pairs(members: DataFrame, turn: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) to compare now, and members of buckets that need a further round.
 
-    The least member of a bucket is compared with those of other classes, and is through. Small buckets are finished.
+    ``members`` has (bucket, node, bounds, class). In buckets of more than one class the centres of this round are paired with members of
+    other classes, and are through: in the first round one node, so that a group of copies falls together, then
+    some that a hash chooses from all but the largest class, whose members need no comparison with each other. Small
+    buckets are finished. Pairs that their bounds rule out are none.
+    """
+    parts = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes"), F.max("n").alias("most"), F.max_by("class", F.struct("n", "class")).alias("largest"))
+    met = members.join(sizes.where("classes > 1"), "bucket")
+    outside = F.col("class") != F.col("largest")
+    if turn:
+        drawn = outside & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) < F.lit(float(CENTRES << 29 + turn)) / (F.col("n") - F.col("most")))
+    else:
+        drawn = ~outside
+    chosen = stable(met.select("bucket", "node", "bounds", "class", F.when(F.col("n") <= SMALL_BUCKET, outside).otherwise(drawn).alias("centre"), (F.col("n") > SMALL_BUCKET).alias("large")))
+    # The members of a large bucket go to several tasks, and its centres to each of them.
+    salt = F.when(F.col("large"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0)
+    salts = F.explode(F.sequence(F.lit(0), F.when(F.col("large"), SALTS - 1).otherwise(0)))
+    centres = chosen.where("centre").select(F.col("bucket").alias("other_bucket"), salts.alias("other_salt"), F.col("node").alias("other"), F.col("class").alias("other_class"), F.col("bounds").alias("other_bounds"))
+    x, y = F.col("bounds"), F.col("other_bounds")
+    # So many components may differ in the four bits kept; one in sixteen of those that differ does not there.
+    most = (1 - (least - MARGIN)) * 15 / 16 * BANDS * ROWS
+    repeats = (x["heaviest"] > 1) | (y["heaviest"] > 1)
+    alike = repeats | (differing(x["signature"], y["signature"]) <= most)
+    possible = F.coalesce(_possible(x, y, least) & _possible(y, x, least) & alike, F.lit(True))
+    apart = (F.col("class") != F.col("other_class")) & (~F.col("centre") | (F.col("node") < F.col("other")))
+    met = chosen.withColumn("salt", salt).join(centres, (F.col("bucket") == F.col("other_bucket")) & (F.col("salt") == F.col("other_salt")) & apart & possible)
+    pairs = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return pairs, chosen.where("large and not centre").select("bucket", "node", "bounds")
+
+
+def _merged(members: DataFrame) -> DataFrame:
+    """Large buckets with the same largest class as one, so that two nodes meet in it once."""
+    parts = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("bucket").agg(F.max_by("class", F.struct("n", "class")).alias("largest"))
+    named = members.join(largest, "bucket").groupBy(F.col("largest").alias("bucket"), "node")
+    return stable(named.agg(F.any_value("bounds").alias("bounds"), F.any_value("class").alias("class")))
+
+
+def _bounded(members: DataFrame, nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Members (bucket, node, bounds) without those that no other member of a large bucket can be similar to.
+
+    Bounds hold among the nodes of large buckets, and are NULL in the others.
     """
-    sizes = open_members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre"), F.min("class").alias("low"), F.max("class").alias("high"))
-    met = open_members.join(sizes.where("low <> high").drop("low", "high"), "bucket")
-    centre = met.where("node = centre").select("bucket", F.col("class").alias("centre_class"))
-    large = met.where(F.col("n") > SMALL_BUCKET)
-    stars = large.where("node <> centre").join(centre, "bucket").where("class <> centre_class").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-    few = met.where(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "class")
-    other = few.select("bucket", F.col("node").alias("b"), F.col("class").alias("class_b"))
-    crossed = few.join(other, "bucket").where("node < b and class <> class_b").select(F.col("node").alias("a"), "b")
-    return stars.union(crossed).distinct(), large.where("node <> centre").select("bucket", "node")
+    sizes = members.groupBy("bucket").agg((F.count(F.lit(1)) > SMALL_BUCKET).alias("wide"))
+    marked = stable(members.join(sizes, "bucket"))
+    crowded = marked.where("wide").select("node").distinct()
+    found = _bounds(sets.join(crowded, "node", "left_semi")).join(nodes.select("node", "signature"), "node")
+    named = found.select("node", F.struct("n", "own", "mass", "own_mass", "heaviest", "signature").alias("found"))
+    bounds = F.when(F.col("wide"), F.col("found"))
+    alone = F.struct(F.lit(0).alias("own"), F.lit(0.0).alias("own_mass"), F.lit(1.0).alias("heaviest"))
+    out = marked.join(named, "node", "left").select("bucket", "node", bounds.alias("bounds"))
+    return stable(out.where(F.coalesce(_possible(F.col("bounds"), alone, least), F.lit(True))))
+
+
+def _joined(classes: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Classes (node, class) after further links; a node without a row is a class of its own."""
+    if classes is None:
+        return stable(components(links).withColumnRenamed("least", "class"))
+    of = lambda name: classes.select(F.col("node").alias(name), F.col("class").alias(f"class_{name}"))
+    lifted = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b"))
+    moved = stable(components(lifted))
+    kept = classes.join(moved.withColumnRenamed("node", "class"), "class", "left").select("node", F.coalesce("least", "class").alias("class"))
+    # Nodes that had no row so far are those of the new links that were classes themselves.
+    new = moved.withColumnRenamed("least", "class").join(classes.select("node"), "node", "left_anti")
+    return stable(kept.unionByName(new))
 
 
 def near_duplicate_classes(documents: DataFrame, id: str = "doc_id", text: str = "text", least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -221,33 +381,29 @@ def near_duplicate_classes(documents: DataFrame, id: str = "doc_id", text: str =
         read.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("key").alias("key"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = stable(banded.join(shared, "bucket"))
+    members = _members(nodes)
     sets = _shingle_sets(documents, nodes.join(members.select("node").distinct(), "node", "left_semi").select("key", "node"), id, text)
 
-    links = classes = None
-    waiting = members
-    tested = None
-    while True:
+    classes = tested = None
+    waiting, turn = _bounded(members, nodes, sets, least), 0
+    while not waiting.isEmpty():
         # Which class a member is in so far.
         if classes is None:
             known = waiting.withColumn("class", F.col("node"))
         else:
-            known = waiting.join(classes, "node", "left").select("bucket", "node", F.coalesce("least", "node").alias("class"))
-        pairs, rest = _next_pairs(stable(known))
+            known = waiting.join(classes, "node", "left").select("bucket", "node", "bounds", F.coalesce("class", "node").alias("class"))
+        pairs, rest = _next_pairs(_merged(known) if turn == 1 else known, turn, least)
         pairs = stable(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
-            new = _verified(_likely(pairs, nodes, least), sets, least)
-            links = new if links is None else links.union(new)
+            links = _verified(pairs, sets, least)
             tested = pairs if tested is None else tested.union(pairs)
-            classes = components(links)
-        waiting = stable(rest)
-        if waiting.isEmpty():
-            break
+            if not links.isEmpty():
+                classes = _joined(classes, links)
+        old, waiting, turn = waiting, stable(rest), turn + 1
+        release(old)
     named = nodes.select("digest", "node")
     if classes is not None:
-        named = named.join(classes, "node", "left").select("digest", F.coalesce("least", "node").alias("node"))
+        named = named.join(classes, "node", "left").select("digest", F.coalesce("class", "node").alias("node"))
     placed = read.select("__id", "key", "digest").join(named, "digest", "left")
     # Rows without words have a class each.
     group = F.when(F.col("node").isNotNull(), F.col("node").cast("string")).otherwise(F.concat(F.lit("empty "), F.monotonically_increasing_id()))

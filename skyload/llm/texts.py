@@ -142,3 +142,40 @@ def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     for i in range(size):
         out = out * BASE + hashes[i : i + count]
     return mix(out)
+
+
+# Bits of a filter of 64-bit keys that tasks get, at most: 16 MB. Sixteen bits are taken for each key up
+# to there; beyond, more rows pass the filter than need to, and the join after it sorts them out.
+FILTER_BITS = 1 << 27
+LEAST_BITS = 1 << 16
+
+
+def _places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    spread = mix(keys)
+    return spread & np.uint64(bits - 1), (spread >> np.uint64(32)) & np.uint64(bits - 1)
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap with two bits for each key of a table of one bigint column, as 64-bit words."""
+    bits = LEAST_BITS
+    while bits < min(FILTER_BITS, 16 * keys.count()):
+        bits *= 2
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = np.concatenate(_places(batch.column(0).to_numpy().view(np.uint64), bits))
+            bit = np.uint64(1) << (places & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([(places >> np.uint64(6)).view(np.int64), bit.view(np.int64)], names=["block", "bit"])
+
+    held = keys.mapInArrow(blocks, "block bigint, bit bigint").groupBy("block").agg(F.bit_or("bit").alias("bit")).toArrow()
+    bitmap = np.zeros(bits // 64, np.uint64)
+    bitmap[held.column("block").to_numpy()] = held.column("bit").to_numpy().view(np.uint64)
+    return bitmap
+
+
+def may_hold(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys a filter may hold; never leaves one out that it does."""
+    held = np.ones(len(keys), bool)
+    for place in _places(keys.view(np.uint64), len(bitmap) * 64):
+        held &= (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return held
