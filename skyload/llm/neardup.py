@@ -300,20 +300,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 def _next_pairs(members: DataFrame, turn: int, least: float) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) to compare now, and members of buckets that need a further round.
 
-    ``members`` has (bucket, node, bounds, class). In buckets of more than one class the centres of this round are paired with members of
-    other classes, and are through: in the first round one node, so that a group of copies falls together, then
-    some that a hash chooses from all but the largest class, whose members need no comparison with each other. Small
+    ``members`` has (bucket, node, bounds, degree, class), ``degree`` the number of a node's buckets. In buckets of more than one class the centres of this round are paired with members of
+    other classes, and are through: in the first round the node that is in most buckets, as the others of a group of copies
+    are most like that one, then some that a hash chooses from all but the largest class, whose members need no comparison with each other. Small
     buckets are finished. Pairs that their bounds rule out are none.
     """
-    parts = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
-    sizes = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes"), F.max("n").alias("most"), F.max_by("class", F.struct("n", "class")).alias("largest"))
+    parts = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.max("degree").alias("degree"))
+    sizes = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes"), F.max("n").alias("most"), F.max_by("class", F.struct("n", "degree", "class")).alias("largest"))
     met = members.join(sizes.where("classes > 1"), "bucket")
     outside = F.col("class") != F.col("largest")
     if turn:
         drawn = outside & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) < F.lit(float(CENTRES << 29 + turn)) / (F.col("n") - F.col("most")))
     else:
         drawn = ~outside
-    chosen = stable(met.select("bucket", "node", "bounds", "class", F.when(F.col("n") <= SMALL_BUCKET, outside).otherwise(drawn).alias("centre"), (F.col("n") > SMALL_BUCKET).alias("large")))
+    chosen = stable(met.select("bucket", "node", "bounds", "degree", "class", F.when(F.col("n") <= SMALL_BUCKET, outside).otherwise(drawn).alias("centre"), (F.col("n") > SMALL_BUCKET).alias("large")))
     # The members of a large bucket go to several tasks, and its centres to each of them.
     salt = F.when(F.col("large"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0)
     salts = F.explode(F.sequence(F.lit(0), F.when(F.col("large"), SALTS - 1).otherwise(0)))
@@ -327,7 +327,7 @@ def _next_pairs(members: DataFrame, turn: int, least: float) -> tuple[DataFrame,
     apart = (F.col("class") != F.col("other_class")) & (~F.col("centre") | (F.col("node") < F.col("other")))
     met = chosen.withColumn("salt", salt).join(centres, (F.col("bucket") == F.col("other_bucket")) & (F.col("salt") == F.col("other_salt")) & apart & possible)
     pairs = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    return pairs, chosen.where("large and not centre").select("bucket", "node", "bounds")
+    return pairs, chosen.where("large and not centre").select("bucket", "node", "bounds", "degree")
 
 
 def _merged(members: DataFrame) -> DataFrame:
@@ -335,11 +335,11 @@ def _merged(members: DataFrame) -> DataFrame:
     parts = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
     largest = parts.groupBy("bucket").agg(F.max_by("class", F.struct("n", "class")).alias("largest"))
     named = members.join(largest, "bucket").groupBy(F.col("largest").alias("bucket"), "node")
-    return stable(named.agg(F.any_value("bounds").alias("bounds"), F.any_value("class").alias("class")))
+    return stable(named.agg(F.any_value("bounds").alias("bounds"), F.any_value("degree").alias("degree"), F.any_value("class").alias("class")))
 
 
 def _bounded(members: DataFrame, nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Members (bucket, node, bounds) without those that no other member of a large bucket can be similar to.
+    """Members (bucket, node, bounds, degree) without those that no other member of a large bucket can be similar to.
 
     Bounds hold among the nodes of large buckets, and are NULL in the others.
     """
@@ -350,7 +350,8 @@ def _bounded(members: DataFrame, nodes: DataFrame, sets: DataFrame, least: float
     named = found.select("node", F.struct("n", "own", "mass", "own_mass", "heaviest", "signature").alias("found"))
     bounds = F.when(F.col("wide"), F.col("found"))
     alone = F.struct(F.lit(0).alias("own"), F.lit(0.0).alias("own_mass"), F.lit(1.0).alias("heaviest"))
-    out = marked.join(named, "node", "left").select("bucket", "node", bounds.alias("bounds"))
+    degrees = members.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    out = marked.join(named, "node", "left").join(degrees, "node").select("bucket", "node", bounds.alias("bounds"), "degree")
     return stable(out.where(F.coalesce(_possible(F.col("bounds"), alone, least), F.lit(True))))
 
 
@@ -391,7 +392,7 @@ def near_duplicate_classes(documents: DataFrame, id: str = "doc_id", text: str =
         if classes is None:
             known = waiting.withColumn("class", F.col("node"))
         else:
-            known = waiting.join(classes, "node", "left").select("bucket", "node", "bounds", F.coalesce("class", "node").alias("class"))
+            known = waiting.join(classes, "node", "left").select("bucket", "node", "bounds", "degree", F.coalesce("class", "node").alias("class"))
         pairs, rest = _next_pairs(_merged(known) if turn == 1 else known, turn, least)
         pairs = stable(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
