@@ -91,7 +91,8 @@ def earlier_runs(levels: list[DataFrame]) -> DataFrame:
         met = stable(state.join(next_lines, F.col("pos") + F.col("length") == F.col("__next"), "left").drop("__next"))
         group = ["length", "first", "rank"]
         longer = met.where(F.col("rank").isNotNull()).groupBy(*group).agg(F.min("pos").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        both = met.join(longer, group, "left")
+        # Rows that share no further lines stay as they are, and would be one key of the join.
+        both = met.where(F.col("rank").isNotNull()).join(longer, group, "left").unionByName(met.where(F.col("rank").isNull()).withColumn("least", F.lit(None).cast("bigint")))
         stays = F.struct("pos", "length", "first", "stands")
         new_length = (F.col("length") + 2**k).alias("length")
         moves = F.struct("pos", new_length, F.col("least").alias("first"), (F.col("pos") == F.col("least")).alias("stands"))
