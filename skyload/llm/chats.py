@@ -53,14 +53,19 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     base = stable(known.select("tree", "message", F.col("up").alias("to"), "score"))
     limit = max(1, base.count()).bit_length()
 
-    # jumps[i]: from a message 2**i replies up, and the scores passed on the way; NULL where the root was reached.
-    jumps = [stable(base.select("message", "to", F.col("score").alias("total"), F.lit(1).cast("bigint").alias("n")))]
-    while len(jumps) <= limit and jumps[-1].where(F.col("to").isNotNull()).limit(1).count():
-        last = jumps[-1]
-        far = last.select(F.col("message").alias("to"), F.col("to").alias("far"), F.col("total").alias("more"), F.col("n").alias("n_more"))
-        step = last.join(far, "to", "left")
-        jumps.append(stable(step.select("message", F.col("far").alias("to"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("n") + F.coalesce("n_more", F.lit(0).cast("bigint"))).alias("n"))))
-    reached = jumps[-1].where(F.col("to").isNull())
+    # jumps[i]: from a message 2**i replies up, where there are so many, and the scores passed on the way. A message
+    # whose jump ends below so many others is done: its path goes on as that of the message reached.
+    active = stable(base.where(F.col("to").isNotNull()).select("message", "to", F.col("score").alias("total"), F.lit(1).cast("bigint").alias("n")))
+    reached = stable(base.where(F.col("to").isNull()).select("message", F.col("score").alias("total"), F.lit(1).cast("bigint").alias("n")))
+    jumps: list[DataFrame] = []
+    while len(jumps) <= limit and not active.isEmpty():
+        jumps.append(active)
+        ahead = active.select(F.col("message").alias("to"), F.col("to").alias("far"), F.col("total").alias("more"), F.col("n").alias("n_more"))
+        whole = reached.select(F.col("message").alias("to"), F.col("total").alias("more"), F.col("n").alias("n_more"))
+        summed = ["message", (F.col("total") + F.col("more")).alias("total"), (F.col("n") + F.col("n_more")).alias("n")]
+        ended = active.join(ahead.select("to"), "to", "left_anti")
+        reached = reached.unionByName(stable(ended.join(whole, "to").select(*summed)))
+        active = stable(active.join(ahead, "to").select(*summed, F.col("far").alias("to")))
     replied = base.where(F.col("to").isNotNull()).select(F.col("to").alias("message")).distinct()
     leaves = reached.join(replied, "message", "left_anti").join(base.select("tree", "message"), "message")
     scored = leaves.select("tree", F.col("message").alias("leaf"), (F.col("total") / F.col("n")).alias("score"))
@@ -72,8 +77,7 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 
     paths = stable(chosen.select("tree", "leaf", "rank", F.lit(0).cast("bigint").alias("below"), F.col("leaf").alias("message")))
     for i, jump in enumerate(jumps):
-        hop = jump.where(F.col("to").isNotNull()).select("message", "to")
-        higher = paths.join(hop, "message").select("tree", "leaf", "rank", (F.col("below") + 2**i).alias("below"), F.col("to").alias("message"))
+        higher = paths.join(jump.select("message", "to"), "message").select("tree", "leaf", "rank", (F.col("below") + 2**i).alias("below"), F.col("to").alias("message"))
         old, paths = paths, stable(paths.unionByName(higher))
         release(old)
     for jump in jumps:
