@@ -7,7 +7,8 @@ their weights. A shingle is dropped once it arrives later than all components ha
 shingles draw one number.
 
 Texts equal word for word are one node. Nodes that agree in a band of components are candidates, and those are
-verified on all their shingles. Instead of all pairs in a bucket, its members are compared with one centre, and
+verified on all their shingles. Texts with repeated shingles have a second signature with all weights 1, as a plain
+Jaccard can be far above the probability Jaccard there. Instead of all pairs in a bucket, its members are compared with one centre, and
 then, where they are still in different classes, with further ones in each round, until none is left to compare.
 In large buckets most pairs are left out beforehand: by a bound, as shingles that a text shares with
 none of the others there count against every partner, and by how many components of the signatures agree.
@@ -31,7 +32,7 @@ from skyload.llm.texts import Words, free_name, key_filter, map_texts, may_hold,
 from skyload.session import release, stable
 
 WORDS, LEAST_SIMILARITY = 5, 0.8
-# Forty bands of seven components miss eight pairs in 100,000 of probability Jaccard 0.8, and bring together
+# Forty bands of seven components miss eight pairs in 100,000 of Jaccard 0.8, of either kind, and bring together
 # one pair in sixteen of 0.4, such as texts that share a long passage.
 BANDS, ROWS = 40, 7
 # Buckets of at most so many members are finished in one round.
@@ -142,7 +143,9 @@ def _word_digests(words: Words) -> list[str | None]:
 def signatures(documents: DataFrame, id: str, text: str) -> DataFrame:
     """(id, key, digest, bands, signature); digest and bands are NULL for texts without words.
 
-    ``signature`` has four bits of each component, sixteen components in a number.
+    A text with repeated shingles has the bands of two signatures, with its weights and with all weights 1: the first
+    meet texts of a like probability Jaccard, the second of a like plain one. Without repeats both are the same.
+    ``signature`` is the first, with four bits of each component, sixteen components in a number.
     """
     size = BANDS * ROWS
 
@@ -150,13 +153,17 @@ def signatures(documents: DataFrame, id: str, text: str) -> DataFrame:
         words = Words(texts)
         row, gram, count = shingles(words)
         made = prob_minhash(row, gram, 1 + np.log(count), len(texts), size)
-        bands = np.zeros((len(texts), BANDS), np.uint64)
-        for i in range(ROWS):
-            bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + made[:, i::ROWS])
-        bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)).view(np.int64)
+        bands = banded(made)
+        listed = [b if h else None for b, h in zip(bands.tolist(), words.counts > 0, strict=True)]
+        repeats = np.unique(row[count > 1])
+        if len(repeats):
+            mine = np.isin(row, repeats)
+            even = banded(prob_minhash(np.searchsorted(repeats, row[mine]), gram[mine], np.ones(mine.sum()), len(repeats), size))
+            for r, more in zip(repeats.tolist(), even, strict=True):
+                listed[r] += more[more != bands[r]].tolist()
         return [
             pa.array(_word_digests(words), pa.string()),
-            pa.array([b if h else None for b, h in zip(bands.tolist(), words.counts > 0, strict=True)], pa.list_(pa.int64())),
+            pa.array(listed, pa.list_(pa.int64())),
             pa.array(packed(made).view(np.int64).tolist(), pa.list_(pa.int64())),
         ]
 
@@ -164,6 +171,14 @@ def signatures(documents: DataFrame, id: str, text: str) -> DataFrame:
     return stable(map_texts(documents, compute, {"digest": "string", "bands": "array<bigint>", "signature": "array<bigint>"}, text, carry))
 
 
+def banded(made: np.ndarray) -> np.ndarray:
+    """The bands of signatures: a hash of the components of each, and of its place."""
+    bands = np.zeros((len(made), BANDS), np.uint64)
+    for i in range(ROWS):
+        bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + made[:, i::ROWS])
+    return mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)).view(np.int64)
+
+
 def packed(made: np.ndarray) -> np.ndarray:
     """The highest four bits of each component, sixteen to a number; the last number is filled up with zeros."""
     bits = made >> np.uint64(60)

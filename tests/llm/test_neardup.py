@@ -37,6 +37,27 @@ def test_same_classes_as_brute_force(spark):
     assert all(n == wanted.count(c) for c, n in got.values())
 
 
+def _repeats():
+    """Pairs of a plain Jaccard of 0.8 or more and a far lower probability Jaccard, and some below both."""
+    run = lambda name, n: [f"{name}v{k}" for k in range(n)]
+    texts = []
+    for i in range(24):
+        loop, rest = run(f"a{i}", 20), run(f"b{i}", 100)
+        texts += [" ".join(loop * n + loop[:4] + rest) for n in (1, 100)]
+        shared = run(f"c{i}", 224)
+        texts += [" ".join(loop * 50 + loop[:4] + shared) for loop in (run(f"d{i}", 18), run(f"e{i}", 18))]
+        texts += [" ".join(loop * 50 + loop[:4] + run(f"f{i}", 40)) for loop in (run(f"g{i}", 18), run(f"h{i}", 18))]
+    return texts
+
+
+def test_plain_similarity_of_repeats_as_brute_force(spark):
+    texts = _repeats()
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicate_classes(spark.createDataFrame([(i, t, "n", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    wanted = brute.near_duplicates(texts)
+    assert got == dict(enumerate(wanted))
+    assert len(set(wanted)) == 24 * 4
+
+
 def test_large_group_and_chain(spark):
     """A bucket of many members, and links that only a chain connects."""
     base = [f"t{i}" for i in range(200)]
