@@ -106,14 +106,19 @@ class Scanner:
                 low = max(0, end + 1 - size - at - notice.edits - 1)
                 high = low + len(notice.words) + 3 * notice.edits + 2
                 mine = areas.setdefault(i, [])
-                if mine and low <= mine[-1][1]:
-                    mine[-1] = [min(low, mine[-1][0]), max(high, mine[-1][1])]
-                else:
-                    mine.append([low, high])
+                while mine and low <= mine[-1][1]:
+                    before = mine.pop()
+                    low, high = min(low, before[0]), max(high, before[1])
+                mine.append([low, high])
         out = []
         for i, mine in areas.items():
-            for low, high in mine:
-                for m in self.patterns[i].finditer(text, low, min(high, len(text))):
+            least = len(self.notices[i].words) - self.notices[i].edits
+            # The best match of an area comes first; others may stand before it as well as after it.
+            parts = [(low, min(high, len(text))) for low, high in mine]
+            while parts:
+                low, high = parts.pop()
+                if high - low >= least and (m := self.patterns[i].search(text, low, high)):
+                    parts += [(low, m.start() - 1), (m.end(), high)]
                     if self._apart(text, m.start(), m.end()):
                         out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
         return out

@@ -71,5 +71,47 @@ def test_any_edit_within_the_limit_is_found():
         assert scanner.scan(f"so {text} so"), text
 
 
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        before, row = row, [i + 1]
+        for j, y in enumerate(b):
+            row.append(min(before[j + 1] + 1, row[j] + 1, before[j] + (x != y)))
+    return row[-1]
+
+
+def _spans(notice, text):
+    """All runs of words near a notice, those of fewest edits first, without any that overlap them."""
+    starts = [0] + [k + 1 for k, c in enumerate(text) if c == " "]
+    ends = [k - 1 for k in starts[1:]] + [len(text)]
+    near = [(a, b) for a in starts for b in ends if abs(b - a - len(notice.words)) <= notice.edits]
+    out = []
+    for edits, a, b in sorted((_edits(notice.words, text[a:b]), a, b) for a, b in near):
+        if edits <= notice.edits and all(b <= c or a >= d for c, d, _ in out):
+            out.append((a, b, edits))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("text", ["gnu leser general public license and gnu lesser general public license", "x all rihts reserved foo all rights reserved"])
+def test_worse_match_before_a_better_one(text):
+    scanner = Scanner(NOTICES)
+    assert [m[3] for m in sorted(scanner.scan(text), key=lambda m: m[1]) if NOTICES[m[0]].label in ("lgpl", "all-rights-reserved")] == [1, 0]
+
+
+@pytest.mark.parametrize("notice", [n for n in NOTICES if n.label in ("lgpl", "all-rights-reserved", "cc0", "mpl")])
+def test_copies_in_a_row_as_brute_force(notice):
+    draw, scanner = random.Random(9), Scanner((notice,))
+    for _ in range(40):
+        words = []
+        for _ in range(draw.randint(2, 5)):
+            letters = list(notice.words)
+            for _ in range(draw.randint(0, notice.edits)):
+                at = draw.choice([k for k in range(1, len(letters) - 1) if letters[k].isalpha()])
+                letters[at] = draw.choice(["q", letters[at] + "z"])
+            words += ["".join(letters)] + ["xkj"] * draw.randint(1, 8)
+        text = " ".join(words)
+        assert sorted(m[1:] for m in scanner.scan(text)) == _spans(notice, text), text
+
+
 def test_empty_table(spark):
     assert license_scan(spark.createDataFrame([], SCHEMA)).count() == 0
