@@ -60,6 +60,25 @@ def _card(match: Column) -> Column:
     return _count(13, 19)(match) & luhn(_digits(match))
 
 
+# How long an account number is, by country; others are as long as their groups go on.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Groups of four, or none: of the length that the country has, so that no word after it is taken along, or else of any."""
+    four, fixed = r"(?:\x20?[A-Z0-9]{4})", []
+    for length, codes in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        fixed.append(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}{four}{{{groups}}}{tail}")
+    other = rf"[A-Z]{{2}}[0-9]{{2}}{four}{{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*fixed, other])})(?![A-Za-z0-9])"
+
+
 @dataclass(frozen=True)
 class Kind:
     """A kind of personal data.
@@ -85,7 +104,7 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9][.][0-9]", _small_parts, 0.6, r"\bip\b|host|server|address", r"version|release"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][ -]?[0-9]", _card, 0.6, r"card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"[+][0-9]", _count(9, 15), 0.6, r"phone|call|tel\b|mobile|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}[ A-Z0-9]", lambda m: F.length(F.regexp_replace(m, " ", "")).between(15, 34) & mod97(m), 0.8, r"iban|account|bank", base=False),
+    Kind("iban", _iban(), "[A-Z]{2}[0-9]{2}[ A-Z0-9]", lambda m: F.length(F.regexp_replace(m, " ", "")).between(15, 34) & mod97(m), 0.8, r"iban|account|bank", base=False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]-[0-9]", lambda m: ~m.rlike("^(000|666|9)|-00-|-0000$"), 0.2, r"\bssn\b|social security", base=False),
 )
 

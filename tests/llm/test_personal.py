@@ -53,6 +53,21 @@ def test_spans_of_the_method(spark, text, spans):
     assert personal_data(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()["spans"] == spans
 
 
+@pytest.mark.parametrize(
+    "text, spans",
+    [
+        ("IBAN BE68 5390 0754 7034 BIC GKCCBEBB", "iban:5:24"),
+        ("ES9121000418450200051332 EUR 100", "iban:0:24"),
+        ("BE68 5390 0754 7034 ES91 2100 0418 4502 0005 1332 BANK", "iban:0:19,iban:20:49"),
+        ("NO93 8601 1117 947 SEK", "iban:0:18"),
+        ("BE69 5390 0754 7034 BIC", ""),
+    ],
+)
+def test_words_after_an_account_number(spark, text, spans):
+    found = personal_data(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()["spans"]
+    assert ",".join(s for s in found.split(",") if s.startswith("iban")) == spans
+
+
 def test_context_moves_the_score(spark):
     texts = [(1, "at 10.0.0.1"), (2, "server address 10.0.0.1"), (3, "release version 10.0.0.1")]
     got = {r["key"]: r["score"] for r in find_spans(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
