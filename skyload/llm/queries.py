@@ -15,8 +15,11 @@ from skyload.llm.licenses import license_scan
 from skyload.llm.lineruns import drop_repeated_runs
 from skyload.llm.mixing import mix, token_count
 from skyload.llm.neardup import near_duplicate_classes
+from skyload.llm.packing import pack
 from skyload.llm.personal import personal_data
+from skyload.llm.phrases import collocations
 from skyload.llm.quality import quality
+from skyload.llm.repair import repair_damaged
 
 # The mixture's tree: domains by the last digit of a source's name, and weights of the nodes that differ from 1.
 DOMAINS = {"web": "012", "books": "345", "wiki": "67"}
@@ -92,6 +95,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read(spark, sf_dir, "documents"))
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(read(spark, sf_dir, "conversations"))
+
+
+def op12_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -105,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_compression_bands,
         op9_line_runs,
         op10_personal_data,
+        op11_repair_conversations,
+        op12_pack_sequences,
+        op13_phrase_collocations,
     )
 }
 
@@ -188,9 +207,85 @@ e AS (SELECT *, CASE WHEN share > 0 THEN n_full + CASE WHEN upto <= share - n_fu
 SELECT doc_id, domain, lang, source, n_tokens, CAST(n_epochs AS BIGINT) AS n_epochs FROM e WHERE n_epochs > 0
 """
 
+
+def _add(value: str, cost: str, letter: str) -> str:
+    return f"lpad(CAST(CAST(left({value}, 12) AS BIGINT) + {cost} AS VARCHAR), 12, '0') || '{letter}' || substr({value}, 13)"
+
+
+# States of the role grammar: the state a kept row leads to by its initial, and that of an inserted or re-roled one.
+_KEPT = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+_GIVEN = (2, 2, 3, 2)
+
+
+def _base(state: int) -> str:
+    keeps = " ".join(f"WHEN lower(y) = '{role}' THEN {_add(f'v{to}', 'cut', 'K')}" for role, to in _KEPT[state].items())
+    return f"least({_add(f'v{state}', '3', 'D')}, CASE {keeps} END, CASE WHEN y <> 'x' THEN {_add(f'v{_GIVEN[state]}', '2 + cut', 'R')} END)"
+
+
+def _with_inserts(state: int) -> str:
+    once = _GIVEN[state]
+    return f"least(b{state}, {_add(f'b{once}', '2', 'I')}, {_add(f'b{_GIVEN[once]}', '4', 'II')})"
+
+
+_ZERO = "0" * 12
+_SPACES = r"\x20\x09-\x0D"
+_REPAIR = rf"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+       xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(unicode(c) AS BIGINT))),
+           lambda h, c: list_reduce([xor(h, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS draw FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+             CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN draw = 3 THEN [1, 2] ELSE [1] END) AS copy
+      FROM o WHERE draw <> 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text)) AS i,
+             regexp_extract(text, '([^{_SPACES}])[{_SPACES}]*$', 1) AS ending FROM d),
+f AS (SELECT *, CASE WHEN ending = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN ending NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+             CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM r),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+             count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+             list(CASE WHEN fault IN ('b', 'd') THEN 'x' WHEN fault = 't' THEN upper(initial) ELSE initial END ORDER BY i) AS symbols,
+             list(role ORDER BY i) AS roles, list(text ORDER BY i) AS texts FROM f GROUP BY conv_id),
+v AS (SELECT conv_id, symbols, len(symbols) AS i, '{_ZERO}' AS v0, '{_ZERO[:-1]}4II' AS v1, '{_ZERO[:-1]}2I' AS v2, '{_ZERO}' AS v3 FROM c
+      UNION ALL
+      SELECT conv_id, symbols, i - 1, {", ".join(_with_inserts(s) for s in range(4))}
+      FROM (SELECT conv_id, symbols, i, {", ".join(f"{_base(s)} AS b{s}" for s in range(4))}
+            FROM (SELECT *, symbols[i] AS y, CASE WHEN symbols[i] = upper(symbols[i]) THEN 1 ELSE 0 END AS cut FROM v WHERE i > 0) y) b),
+a AS (SELECT c.*, CAST(left(v0, 12) AS BIGINT) AS cost, substr(v0, 13) AS audit FROM c JOIN v ON v.conv_id IS NOT DISTINCT FROM c.conv_id AND v.i = 0),
+w AS (SELECT conv_id, audit, roles, texts, 1 AS p, 0 AS i, 0 AS state, CAST([] AS VARCHAR[]) AS lines FROM a
+      UNION ALL
+      SELECT conv_id, audit, roles, texts, p + 1, CASE WHEN edit = 'I' THEN i ELSE i + 1 END, CASE WHEN edit = 'D' THEN state ELSE to_state END,
+             CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, roles[i + 1] || ':' || texts[i + 1])
+                       ELSE list_append(lines, CASE to_state WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || CASE edit WHEN 'R' THEN texts[i + 1] ELSE '' END) END
+      FROM (SELECT *, substr(audit, p, 1) AS edit,
+                   CASE WHEN state = 2 THEN 3 WHEN state = 0 AND substr(audit, p, 1) = 'K' AND left(roles[i + 1], 1) = 's' THEN 1 ELSE 2 END AS to_state FROM w WHERE p <= length(audit)) e),
+s AS (SELECT conv_id, sha256(array_to_string(lines, chr(10))) AS repaired_sha256 FROM w WHERE p = length(audit) + 1)
+SELECT n.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) n LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM n.conv_id
+"""
+
+_COLLOCATIONS = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+      FROM (SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM w CROSS JOIN (SELECT unnest(range(1, 6)) AS size) s WHERE len(w) >= size) x),
+f AS (SELECT lang, size, phrase, count(*) AS a FROM g GROUP BY lang, size, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS tail
+      FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM f WHERE size > 1) x),
+s AS (SELECT c.lang, c.size, c.phrase, c.a, l.a AS l, r.a AS r, n.n, CAST(1000 AS HUGEINT) * c.a * n.n // (CAST(l.a AS HUGEINT) * r.a) AS score,
+             row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY CAST(1000 AS HUGEINT) * c.a * n.n // (CAST(l.a AS HUGEINT) * r.a), k) AS place
+      FROM c JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.tail JOIN n ON n.lang = c.lang),
+o AS (SELECT * FROM s WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM f q WHERE q.lang = s.lang AND q.size > s.size AND q.a >= s.a AND contains(' ' || q.phrase || ' ', ' ' || s.phrase || ' '))),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM t WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mix_sources": _MIX,
     "op3_decontaminate": _DECONTAMINATE,
     "op4_warc_zip": _WARC,
     "op6_reply_trees": _REPLIES,
+    "op11_repair_conversations": _REPAIR,
+    "op13_phrase_collocations": _COLLOCATIONS,
 }
