@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
 
 from checks import views
 from checks.flight_checks import FLIGHT_COLUMNS
@@ -16,10 +19,13 @@ from checks.registry import check, rounded, sql
 from checks.trajectory_checks import FEATURE_NAMES, FEATURES_SQL, VALID, steps
 from skyload.constants import LABEL_COLUMNS
 from skyload.operators import models as m
+from skyload.operators.columns import scoring_set
+from skyload.operators.fitted import apply_preparation, fit_preparation
 from skyload.operators.prepare import train_test_split
 from skyload.plans.segment_models import train_segment_models
-from skyload.plans.tabular import run_tabular, tabular_features
+from skyload.plans.tabular import run_tabular, score_flights, tabular_features, tabular_rows, train_for_scoring
 from skyload.plans.trajectory import segmented_features
+from skyload.session import shared_folder
 from skyload.settings import Settings
 
 # Few trees, as two thousand take hours here: the queries' parameter. Rows, folds and settings are all used.
@@ -181,3 +187,59 @@ def l3(spark, sf):
     )
     learners = {"boosted": m.Learner("gbt", 2, 2, 0.15), "forest": m.Learner("forest", 2, 2)}
     return train_segment_models(split, learners)[1]
+
+
+_IS_TEST = "substr(md5(CAST(flight_id AS VARCHAR)), 1, 4) < '3333'"
+_SCALED = ("duration", "flown_distance", "mtow_kg", "passengers", "roc_initial_climb", "v2_ias")
+
+
+def _of_training(column: str) -> str:
+    score = f"CASE WHEN s.\"{column}_std\" > 0 THEN (r.\"{column}\" - s.\"{column}_mean\") / s.\"{column}_std\" ELSE 0.0 END"
+    return f'round(CASE WHEN r."{column}" IS NOT NULL THEN {score} END, 6) + 0.0 AS "{column}"'
+
+
+def training_and_scoring(spark, sf):
+    """Complete flights to train on, and other ones to score."""
+    rows = tabular_rows(views.flights(spark, sf), views.aircraft(spark), isolation=False)
+    return train_test_split(rows)
+
+
+@check(
+    "s2_scoring_features",
+    sql(
+        f"SELECT r.flight_id, {', '.join(_of_training(c) for c in _SCALED)}, "
+        + ", ".join(f"CASE WHEN r.{c} IS NOT NULL THEN CAST(coalesce(e{i}.code, -1) AS INT) END AS {c}_encoded" for i, c in enumerate(LABEL_COLUMNS))
+        + f", {_flag('L')}, {_flag('M')} FROM scored r CROSS JOIN scales s {encoded_joins('trained')}",
+        "enriched",
+        rows_=f"SELECT * FROM ({WITH_DURATION}) x WHERE {_COMPLETE}",
+        trained=f"SELECT * FROM rows_ WHERE NOT ({_IS_TEST})",
+        scored=f"SELECT * FROM rows_ WHERE {_IS_TEST}",
+        scales="SELECT "
+        + ", ".join(f'avg({c}) AS "{c}_mean", CASE WHEN min({c}) < max({c}) THEN stddev_pop({c}) ELSE 0 END AS "{c}_std"' for c in _SCALED)
+        + " FROM trained",
+    ),
+)
+def s2_features(spark, sf):
+    """Scales, codes and flags of training flights on flights that were not among them."""
+    train, scored = training_and_scoring(spark, sf)
+    prepared = fit_preparation(train, drop_first=True)
+    return scoring_set(apply_preparation(scored, prepared))
+
+
+@check(
+    "s2_scored_flights",
+    sql(
+        "SELECT flight_id, arrival_time IS NOT NULL AND actual_offblock_time IS NOT NULL AND flown_distance IS NOT NULL AND mtow_kg IS NOT NULL "
+        "AND adep IS NOT NULL AND country_code_adep IS NOT NULL AND ades IS NOT NULL AND country_code_ades IS NOT NULL "
+        "AND aircraft_type IS NOT NULL AND airline IS NOT NULL AS is_scored FROM enriched",
+        "enriched",
+    ),
+)
+def s2_scored(spark, sf):
+    """All flights scored by a model and a preparation that were written and read again."""
+    folder = f"{shared_folder(spark)}/scoring-{uuid.uuid4().hex}"
+    flights, aircraft = views.flights(spark, sf), views.aircraft(spark)
+    settings = Settings(num_features=100)
+    train_for_scoring(flights, aircraft, folder, settings, {"linear": m.Learner("linear")}, isolation=False)
+    told = score_flights(flights, aircraft, folder, ["linear"], settings)
+    return told.select("flight_id", F.col("tow_linear").isNotNull().alias("is_scored"))
