@@ -86,8 +86,9 @@ def long_groups(df: DataFrame, key: str, rows: int) -> DataFrame | None:
     Reads the key column only and counts before the shuffle.
     """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    found = stable(counted.where(F.col("_rows") > rows).select(key))
-    return None if found.isEmpty() else found
+    found = counted.where(F.col("_rows") > rows).select(key)
+    # Mostly there are none, and nothing is written.
+    return None if found.isEmpty() else stable(found)
 
 
 def split_by_length(
