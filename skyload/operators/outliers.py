@@ -222,7 +222,7 @@ def clean_trajectory(
     usual, long = split_by_length(told, course.key, course.long_rows)
     keep = _clean_flight(contamination, columns, course.key)
     # The work is in the forests, not in the bytes, so partitions are not merged by size.
-    spread = usual.repartition(shuffle_partitions(usual), course.key)
+    spread = usual.repartition(shuffle_partitions(usual, usual.select(course.key).count()), course.key)
     cleaned = spread.groupBy(course.key).applyInPandas(keep, points.schema)
     if long is None:
         return cleaned
