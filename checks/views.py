@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyload.operators.course import FlightRows
@@ -76,10 +76,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Type by brand number, 1 to 23; brands 24 and 25 have none.
-TYPE_BY_BRAND = """
-B738 A333 B77W B38M A320 E190 CRJ9 A21N A20N B739 BCS3 E195
-A321 A359 A319 A332 B788 B789 BCS1 B763 AT76 B772 B752
-""".split()
+TYPE_BY_BRAND = [
+    "B738", "A333", "B77W", "B38M", "A320", "E190", "CRJ9", "A21N", "A20N", "B739", "BCS3", "E195",
+    "A321", "A359", "A319", "A332", "B788", "B789", "BCS1", "B763", "AT76", "B772", "B752",
+]
 
 
 def aircraft(spark: SparkSession) -> DataFrame:
@@ -87,14 +87,21 @@ def aircraft(spark: SparkSession) -> DataFrame:
     return aircraft_table(spark).where(F.col("aircraft_type").isin(TYPE_BY_BRAND))
 
 
+def first_line(key: str) -> Column:
+    """``key`` of the smallest line number: both as one number, as a hash aggregate cannot hold a struct."""
+    shift = F.lit("100000000000000000000").cast("decimal(21,0)")
+    both = (F.col("l_linenumber").cast("decimal(10,0)") * shift).cast("decimal(38,0)") + F.col(key).cast("decimal(19,0)")
+    return F.pmod(F.min(both.cast("decimal(38,0)")), shift).cast("bigint")
+
+
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a flight; its first line item tells aircraft and destination."""
     t = {n: table(spark, sf_dir, n) for n in "orders lineitem part customer supplier nation region".split()}
     lines = t["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_shipdate").alias("arrival_time"),
         F.sum("l_quantity").alias("qty"),
-        F.min_by("l_partkey", F.struct("l_linenumber", "l_partkey")).alias("p_partkey"),
-        F.min_by("l_suppkey", F.struct("l_linenumber", "l_suppkey")).alias("s_suppkey"),
+        first_line("l_partkey").alias("p_partkey"),
+        first_line("l_suppkey").alias("s_suppkey"),
     )
     places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     brand = F.substring("p_brand", F.lit(7), F.length("p_brand"))
