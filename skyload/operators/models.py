@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import time
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -23,9 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyload.constants import KEY, TARGET
+from skyload.operators.boosting import Boosting, HistogramModel, train_histogram
 from skyload.operators.columns import numeric_columns
 from skyload.operators.metrics import ensemble_mean, evaluate_models
 from skyload.operators.prepare import split_hash
+from skyload.session import stable
+
+Model = PipelineModel | HistogramModel
 
 SEED = 42
 FEATURES, HELD_OUT = "features", "_held_out"
@@ -37,10 +42,11 @@ DEPTHS = {"boosted": (3, 10), "boosted_deep": (4, 10)}
 
 @dataclass(frozen=True)
 class Learner:
-    """Settings of a learner; ``kind`` is ``gbt``, ``forest``, ``linear`` or ``lasso``.
+    """Settings of a learner; ``kind`` is ``gbt``, ``histogram``, ``forest``, ``linear`` or ``lasso``.
 
-    Boosting with a test set stops at the first tree that does not lower its error by more than the share ``tolerance``. It has no
-    patience of several trees, as Spark's boosting looks at one at a time.
+    With a test set ``gbt`` stops at the first tree that does not lower its error by more than the share ``tolerance``, as Spark's
+    boosting looks at one at a time. ``histogram`` (:mod:`skyload.operators.boosting`) ends ``patience`` trees after the best one and is cut there;
+    it alone has the penalty ``l2``. A forest has no rate.
     """
 
     kind: str = "gbt"
@@ -50,11 +56,13 @@ class Learner:
     subsample: float = 1.0
     column_share: str = "auto"
     tolerance: float = 0.0
+    l2: float = 1.0
+    patience: int = 50
 
 
 # Defaults of the two learners of an ensemble, and of the tabular one.
 FIRST = Learner("gbt", depth=9, iterations=2000, rate=0.15)
-SECOND = Learner("forest", depth=8, iterations=2000, rate=0.05)
+SECOND = Learner("histogram", depth=8, iterations=2000, rate=0.05)
 TABULAR = Learner("gbt", depth=6, iterations=5000, rate=0.1)
 
 
@@ -90,9 +98,11 @@ def train(
     test: DataFrame | None = None,
     target: str = TARGET,
     features: Sequence[str] | None = None,
-) -> PipelineModel:
+) -> Model:
     """Fit on complete rows of ``df``. Boosting stops early on ``test`` when given."""
     features = list(features or feature_columns(df, target))
+    if learner.kind == "histogram":
+        return train_histogram(df, boosting_of(learner), test, target, features)
     regressor = estimator(learner, target)
     rows = df.select(KEY, *features, target)
     if test is not None and learner.kind == "gbt":
@@ -103,25 +113,39 @@ def train(
     return Pipeline(stages=[assembler, regressor]).fit(rows.dropna("any"))
 
 
-def _complete(model: PipelineModel) -> Column:
+def boosting_of(learner: Learner) -> Boosting:
+    """What histogram boosting takes of a learner's settings."""
+    share = 1.0 if learner.column_share in ("auto", "all") else float(learner.column_share)
+    return Boosting(learner.depth, learner.iterations, learner.rate, learner.l2, learner.subsample, share, learner.patience, SEED)
+
+
+def inputs(model: Model) -> list[str]:
+    """The features of a model."""
+    return model.features if isinstance(model, HistogramModel) else model.stages[0].getInputCols()
+
+
+def _complete(model: Model) -> Column:
     """Whether a row has all features of a model."""
-    return reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in model.stages[0].getInputCols()], F.lit(True))
+    return reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in inputs(model)], F.lit(True))
 
 
 def predict(
-    model: PipelineModel, df: DataFrame, carry: Sequence[str] = (KEY,)
+    model: Model, df: DataFrame, carry: Sequence[str] = (KEY,)
 ) -> DataFrame:
     """Prediction per row; NULL where a feature is missing."""
     return batch_predict({"": model}, df, carry).withColumnRenamed("tow_", "prediction")
 
 
-def batch_predict(models: Mapping[str, PipelineModel], df: DataFrame, carry: Sequence[str] = (KEY,)) -> DataFrame:
+def batch_predict(models: Mapping[str, Model], df: DataFrame, carry: Sequence[str] = (KEY,)) -> DataFrame:
     """One row per flight: ``carry``, and ``tow_<model>`` for each model, from chained transforms.
 
     A prediction is NULL where the flight lacks a feature of that model.
     """
     wide = df
-    for i, (name, model) in enumerate(models.items()):
+    for i, model in enumerate(models.values()):
+        if isinstance(model, HistogramModel):
+            wide = model.predict(wide, f"_tow_{i}", wide.columns)
+            continue
         assembler = model.stages[0].copy()
         assembler.setHandleInvalid("keep").setOutputCol(f"_vector_{i}")
         regressor = model.stages[-1].copy()
@@ -131,15 +155,17 @@ def batch_predict(models: Mapping[str, PipelineModel], df: DataFrame, carry: Seq
     return wide.select(*carry, *told)
 
 
-def importances(model: PipelineModel, name: str = "importance") -> DataFrame:
+def importances(model: Model, name: str = "importance") -> DataFrame:
     """Rows (feature, <name>); a row per feature of the model."""
+    if isinstance(model, HistogramModel):
+        return model.importances(name)
     features = model.stages[0].getInputCols()
     values = model.stages[-1].featureImportances.toArray().tolist()
     rows = list(zip(features, values, strict=True))
     return SparkSession.active().createDataFrame(rows, f"feature string, `{name}` double")
 
 
-def mean_importances(models: Mapping[str, PipelineModel], top: int | None = None) -> DataFrame:
+def mean_importances(models: Mapping[str, Model], top: int | None = None) -> DataFrame:
     """Importances of several models side by side with their mean, largest first."""
     table = None
     for name, model in models.items():
@@ -200,8 +226,10 @@ def grid_search(
     target: str = TARGET,
     parallelism: int = 4,
     features: Sequence[str] | None = None,
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[Model, DataFrame]:
     """Best model by mean squared error over the folds, and a row per setting tried."""
+    if learner.kind == "histogram":
+        return _grid_of_histograms(df, learner, grid, folds, target, parallelism, features)
     regressor = estimator(learner, target)
     names = {"numTrees": "maxIter"} if learner.kind == "forest" else {}
     builder = ParamGridBuilder()
@@ -218,6 +246,27 @@ def grid_search(
     return model, _trial_table(df, trials, "mse")
 
 
+def _grid_of_histograms(df, learner, grid, folds, target, parallelism, features):
+    features = list(features or feature_columns(df, target))
+    rows = stable(_folds(df, folds).select(KEY, *features, target, "_fold").dropna("any"))
+    named = {"maxIter": "iterations", "stepSize": "rate", "maxDepth": "depth", "l2": "l2"}
+    settings = [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
+    learners = [replace(learner, **{named[n]: v for n, v in s.items()}) for s in settings]
+
+    def error(job: tuple[int, int]) -> float:
+        model = train(rows.where(F.col("_fold") != job[1]), learners[job[0]], target=target, features=features)
+        told = model.predict(rows.where(F.col("_fold") == job[1]), carry=[target])
+        return told.agg(F.avg((F.col("prediction") - F.col(target)) ** 2)).first()[0]
+
+    jobs = [(i, fold) for i in range(len(settings)) for fold in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        errors = pool.map(inheritable_thread_target(df.sparkSession)(error), jobs, chunksize=1)
+    scores = [sum(errors[i * folds : (i + 1) * folds]) / folds for i in range(len(settings))]
+    best = learners[scores.index(min(scores))]
+    trials = [{"params": p, "score": s} for p, s in zip(settings, scores, strict=True)]
+    return train(rows, best, target=target, features=features), _trial_table(df, trials, "mse")
+
+
 def _random_settings(draw: random.Random, kind: str, iterations: tuple[int, int], depth: tuple[int, int]) -> dict[str, float]:
     """One draw from the search space; trees in steps of a hundred, or of one where the range is shorter."""
     low, high = iterations
@@ -303,14 +352,14 @@ def recursive_elimination(
 
 def leaderboard(
     train_rows: DataFrame, test_rows: DataFrame, learners: Mapping[str, Learner], target: str = TARGET
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[Model, DataFrame]:
     """Train the candidates and rank them by rmse on the test rows; also the best model."""
     models = {name: train(train_rows, learner, target=target) for name, learner in learners.items()}
     found = evaluate(models, test_rows, target).orderBy("rmse")
     return models[found.first().model], found
 
 
-def evaluate(models: Mapping[str, PipelineModel], test: DataFrame, target: str = TARGET) -> DataFrame:
+def evaluate(models: Mapping[str, Model], test: DataFrame, target: str = TARGET) -> DataFrame:
     """Errors of several models on one test set, a row per model."""
     return evaluate_models(batch_predict(models, test.dropna("any"), (KEY, target)), list(models), target)
 
@@ -319,7 +368,7 @@ def evaluate(models: Mapping[str, PipelineModel], test: DataFrame, target: str =
 class Ensemble:
     """Models of an ensemble with their errors, predictions and importances, and the trials of a search by model."""
 
-    models: Mapping[str, PipelineModel]
+    models: Mapping[str, Model]
     metrics: DataFrame
     predictions: DataFrame
     top_features: DataFrame
@@ -333,7 +382,10 @@ def train_ensemble(
     target: str = TARGET,
     search_grid: Mapping[str, Sequence] | None = None,
 ) -> Ensemble:
-    """Train the learners, average their predictions, and judge all of them."""
+    """Train the learners, average their predictions, and judge all of them.
+
+    Without a search, boosting stops early on the same test rows that it is judged on, so those errors are a little low.
+    """
     models, trials = {}, {}
     for name, learner in learners.items():
         if search_grid is None:
@@ -346,8 +398,13 @@ def train_ensemble(
     return Ensemble(models, metrics, judged, mean_importances(models, top=10), trials)
 
 
-def settings_table(spark: SparkSession, models: Mapping[str, PipelineModel]) -> DataFrame:
+def settings_table(spark: SparkSession, models: Mapping[str, Model]) -> DataFrame:
     """(model, parameter, value): what each model was trained with."""
-    rows = [(name, p.name, str(v)) for name, model in models.items() for p, v in model.stages[-1].extractParamMap().items()]
+    rows = []
+    for name, model in models.items():
+        if isinstance(model, HistogramModel):
+            rows.append((name, "trees", str(len(model.trees))))
+        else:
+            rows += [(name, p.name, str(v)) for p, v in model.stages[-1].extractParamMap().items()]
     return spark.createDataFrame(sorted(rows), "model string, parameter string, value string")
 

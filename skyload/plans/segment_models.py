@@ -19,7 +19,7 @@ from skyload.operators.segments import SEGMENT
 from skyload.session import stable
 from skyload.sources.sinks import save_model, write_metrics, write_predictions
 
-LEARNERS = {"boosted": m.FIRST, "forest": m.SECOND}
+LEARNERS = {"boosted": m.FIRST, "histogram": m.SECOND}
 
 
 def train_segment(

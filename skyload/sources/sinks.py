@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyload.operators.boosting import HistogramModel
 from skyload.operators.scores import with_p_values
 
 
@@ -47,12 +48,19 @@ def write_metrics(metrics: DataFrame, path: str, settings: DataFrame | None = No
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
 
-def save_model(model: PipelineModel, path: str, name: str) -> str:
+def save_model(model: PipelineModel | HistogramModel, path: str, name: str) -> str:
     """Save under ``<path>/<name>`` on any file system Spark can write to."""
     target = f"{path.rstrip('/')}/{name}"
-    model.write().overwrite().save(target)
+    if isinstance(model, HistogramModel):
+        model.save(SparkSession.active(), target)
+    else:
+        model.write().overwrite().save(target)
     return target
 
 
-def load_model(spark: SparkSession, path: str, name: str) -> PipelineModel:
-    return PipelineModel.load(f"{path.rstrip('/')}/{name}")
+def load_model(spark: SparkSession, path: str, name: str) -> PipelineModel | HistogramModel:
+    target = f"{path.rstrip('/')}/{name}"
+    nodes = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/nodes")
+    if nodes.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(nodes):
+        return HistogramModel.load(spark, target)
+    return PipelineModel.load(target)
