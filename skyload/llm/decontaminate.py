@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyload.llm.texts import Words, key_filter, map_texts, may_hold, row_key, run_hashes
+from skyload.llm.texts import Words, free_name, key_filter, map_texts, may_hold, row_key, run_hashes
 from skyload.session import stable
 
 _WINDOWS = "array<struct<size:int,at:bigint,fingerprint:bigint,words:string>>"
@@ -131,7 +131,12 @@ def contamination(
 
 
 def drop_contaminated(documents: DataFrame, items: DataFrame, span: int = 10, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents with no word of a benchmark window, all columns as they were."""
+    """Documents with no word of a benchmark window, all columns as they were, whatever their names.
+
+    NULL and empty texts have no words, so they stay, as do rows with a NULL id and without a hit; rows that repeat go or stay together.
+    Without items all documents stay; an empty table gives no rows.
+    """
     _, hits = document_hits(documents, stable(benchmark_windows(items, span)), id, text)
-    keyed = documents.withColumn("__llm_key", row_key(id, text))
-    return keyed.join(hits.select(F.col("key").alias("__llm_key")).distinct(), "__llm_key", "left_anti").select(*[f"`{c}`" for c in documents.columns])
+    key = free_name(documents, "__key")
+    keyed = documents.withColumn(key, row_key(id, text))
+    return keyed.join(hits.select(F.col("key").alias(key)).distinct(), key, "left_anti").select(*[f"`{c}`" for c in documents.columns])

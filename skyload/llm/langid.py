@@ -8,6 +8,7 @@ apart then makes the scores probabilities.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,21 +17,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyload.llm.texts import free_name, map_texts, mix, pieces
+from skyload.llm.texts import free_name, map_texts, mix, one_by_one, pieces
+from skyload.session import release, stable
 
 BUCKETS = 1 << 15
 LONGEST = 3
 UNKNOWN = "und"
 # Labelled rows per language that the weights are fitted on, about; all rows count for document frequencies.
 ROWS_PER_LANGUAGE = 2000
-# Weights are held for each bucket and language, so there must be no more languages than this.
-MOST_LANGUAGES = 1000
+# Weights are held for each bucket and language: of more labels than this the most frequent are learned, the others are left out.
+MOST_LANGUAGES = 500
+# Rows of all languages that the weights are fitted on, about; fewer for each language if there are many.
+ROWS_IN_ALL = 100_000
+# Characters of a text from which on it is counted in blocks of so many; products of counts and weights worked out at once.
+LONG_TEXT, PRODUCTS = 1 << 20, 1 << 22
 # Follow-the-regularised-leader: step size, its smoothing, the two penalties, passes over the sample.
 STEP, SMOOTH, L1, L2, PASSES = 2.0, 1.0, 0.02, 0.02, 3
 # One in so many rows of the sample is kept apart for the temperature.
 KEPT_APART = 8
 # Rows whose counts are laid out densely at once.
-BLOCK = 128
+BLOCK = 32
+_WHITE = re.compile(r"\s")
 
 
 @dataclass(frozen=True)
@@ -62,6 +69,9 @@ class Grams:
 
     def counts(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Blocks of rows as (first row, row in the block, bucket, count); rows without a letter have none."""
+        if len(texts) == 1 and len(texts[0] or "") > LONG_TEXT:
+            yield from self._counts_of_long(texts[0])
+            return
         blank = np.array([32], np.uint32)
         parts = []
         for text in texts:
@@ -102,12 +112,40 @@ class Grams:
             yield i * BLOCK, found // BUCKETS, found % BUCKETS, count
 
 
+    def _counts_of_long(self, text: str) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Like :meth:`counts` for one text, a block of it at a time."""
+        total, before, letters, at = np.zeros(BUCKETS, np.int64), np.array([32], np.uint64), False, 0
+        after_letter = False
+        while at <= len(text):
+            cut = _WHITE.search(text, at + LONG_TEXT // 4)
+            last = cut.end() if cut else len(text)
+            block = text[at:last].lower() + ("" if cut else " ")
+            codes = np.frombuffer(block.encode("utf-32-le", "replace"), np.uint32)
+            letter = self.letters(codes)
+            kept = letter | np.r_[after_letter, letter[:-1]]
+            after_letter, letters = bool(letter[-1]), letters or bool(letter.any())
+            line = np.concatenate([before, np.where(letter, codes, 32)[kept].astype(np.uint64)])
+            hashes = np.zeros(len(line), np.uint64)
+            for n in range(1, LONGEST + 1):
+                count = len(line) - n + 1
+                if count <= 0:
+                    break
+                hashes = hashes[:count] * np.uint64(0x9E3779B97F4A7C15) + line[n - 1 :]
+                new = max(0, len(before) - n + 1)  # those that end in this block
+                inside = hashes[new:] if n > 1 else hashes[new:][line[new:] != 32]
+                total += np.bincount((mix(inside + np.uint64(n)) >> np.uint64(49)).astype(np.int64), minlength=BUCKETS)
+            before, at = line[1 - LONGEST :], last if cut else len(text) + 1
+        found = np.flatnonzero(total)
+        if letters:
+            yield 0, np.zeros(len(found), np.int64), found, total[found]
+
+
 def _frequencies(labelled: DataFrame, text: str) -> np.ndarray:
     """In how many rows each bucket occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, total = Grams(), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in one_by_one(batches):
             for piece in pieces(batch):
                 for _, _, bucket, _ in grams.counts(piece.column(0).to_pylist()):
                     total += np.bincount(bucket, minlength=BUCKETS)
@@ -172,28 +210,31 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def train(labelled: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "text", rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
+def train(
+    labelled: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "text", rows_per_language: int = ROWS_PER_LANGUAGE, rows_in_all: int = ROWS_IN_ALL, most_languages: int = MOST_LANGUAGES
+) -> Model:
     """Learn from rows with a label; those whose label or text is NULL are not looked at.
 
-    Document frequencies are of all rows. Weights are fitted in one task on about ``rows_per_language`` rows of each language,
-    chosen by a hash of id and text, so it holds that many rows for each language and no more when the table grows. No rows give a model without languages.
+    Document frequencies are of all rows. Weights are fitted in one task on about ``rows_per_language`` rows of each language, and no more than
+    about ``rows_in_all`` together, chosen by a hash of id and text, so the task holds no more when the table grows. Of more than ``most_languages`` labels
+    those of the most rows are learned, of equal ones the first by name, and never predicted is any other. No rows give a model without languages.
     """
     rows = labelled.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(F.col(f"`{label}`").cast("string").alias("label"), F.xxhash64(F.col(f"`{id}`").cast("string"), F.col(f"`{text}`")).alias("draw"), F.col(f"`{text}`").alias("text"))
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counted = stable(rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+    sizes = {r["label"]: r["n"] for r in counted.orderBy(F.desc("n"), "label").limit(most_languages).collect()}
     languages = sorted(sizes)
     frequency = _frequencies(rows, "text")
-    idf = np.log((1 + sum(sizes.values())) / (1 + frequency)) + 1
+    idf = np.log((1 + (counted.agg(F.sum("n")).first()[0] or 0)) / (1 + frequency)) + 1
+    release(counted)
     if not languages:
         return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    limits = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, rows_per_language / sizes[k])))])
+    limits = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, min(rows_per_language, rows_in_all / len(languages)) / sizes[k])))])
     # All of the hash's bits but the lowest eight tell whether a row is drawn.
     chosen = rows.where(F.shiftrightunsigned("draw", 8) < limits[F.col("label")] * float(1 << 56))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for batch in batches:
+        for batch in one_by_one(batches):
             for piece in pieces(batch):
                 for first, row, bucket, n in grams.counts(piece.column(2).to_pylist()):
                     held = np.unique(row)
@@ -254,7 +295,12 @@ def identify(documents: DataFrame, model: Model, text: str = "text", carry: list
             value = (1 + np.log(count)) * idf[bucket]
             starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
             norm = np.sqrt(np.add.reduceat(value * value, starts))
-            logits = np.add.reduceat(value[:, None] * weights[bucket], starts, axis=0) / norm[:, None] + bias
+            sums, group = np.zeros((len(starts), len(languages))), np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(row)]))
+            some = max(1, PRODUCTS // len(languages))
+            for low in range(0, len(row), some):
+                here = group[low : low + some]
+                sums[here[0] : here[-1] + 1] += np.add.reduceat(value[low : low + some, None] * weights[bucket[low : low + some]], np.flatnonzero(np.r_[True, here[1:] != here[:-1]]), axis=0)
+            logits = sums / norm[:, None] + bias
             p = softmax(logits / temperature)
             best = p.argmax(axis=1)
             for at, b, s in zip((first + row[starts]).tolist(), best.tolist(), p.max(axis=1).tolist(), strict=True):
@@ -276,7 +322,11 @@ def predict_held_out(documents: DataFrame, id: str = "doc_id", text: str = "text
 
 
 def keep_identified(documents: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
-    """Documents whose language is told with a probability of at least ``least``, all columns as they were."""
+    """Documents whose language is told with a probability of at least ``least``, all columns as they were, whatever their names.
+
+    NULL texts and those without a letter go. Learned is from labelled rows that are not held out, so a table without any loses all
+    its documents; rows that repeat go or stay together; a NULL id is kept but not learned from.
+    """
     known = documents.where(F.col(f"`{id}`").isNotNull() & ~in_fold(id))
     names = (free_name(documents, "__lang"), free_name(documents, "__score"))
     rest = [F.col(f"`{c}`") for c in documents.columns if c != text]

@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyload.llm.graphs import components
-from skyload.llm.texts import Words, free_name, key_filter, map_texts, may_hold, mix, pieces, row_key, run_hashes
+from skyload.llm.texts import Words, free_name, key_filter, map_texts, may_hold, mix, one_by_one, pieces, row_key, run_hashes
 from skyload.session import release, stable
 
 WORDS, LEAST_SIMILARITY = 5, 0.8
@@ -43,8 +43,10 @@ CENTRES = 256
 # threshold are no candidates: over four standard deviations. Signatures keep four bits of each component there.
 MARGIN = 0.1
 NIBBLES = 16
-# Parts of a large bucket that are worked on apart.
+# Parts of a large bucket, or of a large class, that are worked on apart.
 SALTS = 32
+# Elements whose arrivals are drawn at once, and bytes of shingles that are laid out at once.
+DRAWN, SET_BYTES = 1 << 16, 1 << 21
 # Shingles of one range, about, when those that occur once are looked for.
 RANGE_SHINGLES = 1 << 20
 
@@ -52,6 +54,12 @@ RANGE_SHINGLES = 1 << 20
 def shingles(words: Words, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct runs of ``size`` words of each text: (row, hash, count), by row and hash. A shorter text is one run."""
     hashes, rows, grams = words.hashes(), [], []
+    if len(words.counts) == 1 and words.counts[0] >= size:  # a long text is alone
+        gram = run_hashes(hashes, size)
+        del hashes
+        gram.sort()
+        first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+        return np.zeros(len(first), np.int64), gram[first], np.diff(np.r_[first, len(gram)])
     for n in range(1, size + 1):
         at = words.starts_of(n) if n == size else words.first[:-1][words.counts == n]
         if len(at):
@@ -68,8 +76,15 @@ def shingles(words: Words, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, n
 
 def prob_minhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, rows: int, size: int) -> np.ndarray:
     """Signatures (rows x size): in each component the element that arrives there first; 0 for a row without elements."""
-    first, winner = np.full(rows * size, np.inf), np.zeros(rows * size, np.uint64)
-    latest, time, active, draws = np.full(rows, np.inf), np.zeros(len(element)), np.arange(len(element)), 0
+    first, winner, latest = np.full(rows * size, np.inf), np.zeros(rows * size, np.uint64), np.full(rows, np.inf)
+    for at in range(0, len(element), DRAWN):
+        _arrivals(row[at : at + DRAWN], element[at : at + DRAWN], weight[at : at + DRAWN], size, first, winner, latest)
+    return winner.reshape(rows, size)
+
+
+def _arrivals(row: np.ndarray, element: np.ndarray, weight: np.ndarray, size: int, first: np.ndarray, winner: np.ndarray, latest: np.ndarray) -> None:
+    """Draw arrivals of some elements until all are later than what their rows have; ``first``, ``winner`` and ``latest`` are brought up to date."""
+    time, active, draws = np.zeros(len(element)), np.arange(len(element)), 0
     while len(active):
         # Few elements draw several numbers at a time; one that is too late changes nothing.
         some = max(1, min(size, 16384 // len(active)))
@@ -85,10 +100,9 @@ def prob_minhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, rows:
         won = first[place] == when
         winner[place[won]] = element[which[won]]
         touched = np.unique(row[which])
-        latest[touched] = first.reshape(rows, size)[touched].max(axis=1)
+        latest[touched] = first.reshape(-1, size)[touched].max(axis=1)
         active = active[time[active] < latest[row[active]]]
         draws += some
-    return winner.reshape(rows, size)
 
 
 def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -205,7 +219,7 @@ def _members(nodes: DataFrame) -> DataFrame:
     held = nodes.sparkSession.sparkContext.broadcast(key_filter(shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             bands = batch.column(1)
             bucket, node = bands.flatten(), batch.column(0).take(pc.list_parent_indices(bands))
             kept = pa.array(may_hold(held.value, bucket.to_numpy()))
@@ -220,7 +234,7 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str) -
     held = documents.sparkSession.sparkContext.broadcast(key_filter(wanted.select(F.xxhash64("key"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             likely = batch.filter(pa.array(may_hold(held.value, batch.column(0).to_numpy())))
             for piece in pieces(likely):
                 row, gram, count = shingles(Words(piece.column(2)))
@@ -247,15 +261,14 @@ def _bounds(sets: DataFrame) -> DataFrame:
     largest weight of one. Shingles go to ranges of their hashes. Those that repeat within a batch go there once, so a shingle
     of very many nodes does not fill its range.
     """
-    ranges = max(64, sets.count() * 500 // RANGE_SHINGLES)
+    held = sets.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
+    ranges = max(64, held // 4 // RANGE_SHINGLES)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            each = [_one(g, c) for g, c in zip(batch.column("grams").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+        for part in (p for b in one_by_one(batches) for p in pieces(b.select(["node", "counts", "grams"]), SET_BYTES)):
+            each = [_one(g.as_py(), c.as_py()) for g, c in zip(part.column("grams"), part.column("counts"), strict=True)]
             gram = np.concatenate([g for g, _ in each])
-            node = np.repeat(batch.column("node").to_numpy(), [len(g) for g, _ in each])
+            node = np.repeat(part.column("node").to_numpy(), [len(g) for g, _ in each])
             weight = 1 + np.log(np.concatenate([c for _, c in each]))
             order = np.argsort(gram, kind="stable")
             gram, node, weight = gram[order], node[order], weight[order]
@@ -263,9 +276,9 @@ def _bounds(sets: DataFrame) -> DataFrame:
             often = np.diff(np.r_[first, len(gram)]) > 1
             gram, node, weight = gram[first], np.where(often, -1, node[first]), weight[first]
             place = (gram.astype(np.uint64) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(place, np.arange(1, ranges))
-            split = [[part.tobytes() for part in np.split(values, cuts)] for values in (gram, node, weight)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int64()), *[pa.array(s, pa.binary()) for s in split]], names=["range", "grams", "nodes", "weights"])
+            met = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            split = [[values[a:b].tobytes() for a, b in zip(met, [*met[1:], len(place)], strict=True)] for values in (gram, node, weight)]
+            yield pa.RecordBatch.from_arrays([pa.array(place[met]), *[pa.array(s, pa.binary()) for s in split]], names=["range", "grams", "nodes", "weights"])
 
     def single(parts: pd.DataFrame) -> pd.DataFrame:
         gram, node, weight = (np.frombuffer(b"".join(parts[c]), kind) for c, kind in (("grams", np.uint32), ("nodes", np.int64), ("weights", np.float64)))
@@ -275,9 +288,12 @@ def _bounds(sets: DataFrame) -> DataFrame:
         return pd.DataFrame({"node": node[own], "weight": weight[own]}).groupby("node", as_index=False).agg(own=("weight", "size"), own_mass=("weight", "sum"))
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            weights = [1 + np.log(_one(g, c)[1]) for g, c in zip(batch.column("grams").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
-            made = [pa.array([f(w) for w in weights], kind) for f, kind in ((len, pa.int64()), (np.sum, pa.float64()), (lambda w: w.max(initial=1.0), pa.float64()))]
+        for batch in one_by_one(batches):
+            found = []
+            for g, c in zip(batch.column("grams"), batch.column("counts"), strict=True):
+                weights = 1 + np.log(_one(g.as_py(), c.as_py())[1])
+                found.append((len(weights), weights.sum(), weights.max(initial=1.0)))
+            made = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), *made], names=["node", "n", "mass", "heaviest"])
 
     parts = sets.mapInArrow(spread, "range bigint, grams binary, nodes binary, weights binary")
@@ -303,7 +319,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     of = lambda name: sets.select(F.col("node").alias(name), F.col("grams").alias(f"grams_{name}"), F.col("counts").alias(f"counts_{name}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             sides = [batch.column(c) for c in ("grams_a", "counts_a", "grams_b", "counts_b")]
             near = [similarity(_one(w[0].as_py(), w[1].as_py()), _one(w[2].as_py(), w[3].as_py())) >= least for w in zip(*sides, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
@@ -424,8 +440,14 @@ def near_duplicate_classes(documents: DataFrame, id: str = "doc_id", text: str =
     # Rows without words have a class each.
     group = F.when(F.col("node").isNotNull(), F.col("node").cast("string")).otherwise(F.concat(F.lit("empty "), F.monotonically_increasing_id()))
     placed = stable(placed.select("__id", "key", group.alias("group")))
-    firsts = placed.groupBy("group").agg(F.min(F.struct(F.col("__id").isNull().alias("last"), "__id", "key")).alias("first"), F.count(F.lit(1)).alias("n_class"))
-    return placed.join(firsts, "group").select(F.col("__id").alias(id), "key", F.col("first.__id").alias("class_id"), "n_class", F.col("first.key").alias("first_key"))
+    firsts = stable(placed.groupBy("group").agg(F.min(F.struct(F.col("__id").isNull().alias("last"), "__id", "key")).alias("first"), F.count(F.lit(1)).alias("n_class")))
+    # A class with more than a thousandth of all rows, of which there are fewer than a thousand, is joined in several tasks.
+    large = F.col("n_class") > placed.count() // 1000 + SMALL_BUCKET
+    salts = F.explode(F.sequence(F.lit(0), F.when(large, SALTS - 1).otherwise(0)))
+    spread = F.when(F.col("large"), F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).otherwise(0)
+    named = F.broadcast(firsts.where(large).select("group", F.lit(True).alias("large")))
+    salted = placed.join(named, "group", "left").withColumn("salt", spread)
+    return salted.join(firsts.withColumn("salt", salts), ["group", "salt"]).select(F.col("__id").alias(id), "key", F.col("first.__id").alias("class_id"), "n_class", F.col("first.key").alias("first_key"))
 
 
 def keep_one_of_each(documents: DataFrame, id: str = "doc_id", text: str = "text", least: float = LEAST_SIMILARITY) -> DataFrame:

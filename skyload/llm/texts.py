@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,8 +17,10 @@ LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np
 IN_WORD = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
 WORD = rb"[0-9a-z\x80-\xff]+"
 
-# Texts are worked on in pieces of about this many bytes, so memory does not grow with a batch.
-PIECE_BYTES = 1 << 20
+# Texts are worked on in pieces of at most about so many bytes and so many rows, so memory does not grow with a batch.
+PIECE_BYTES, PIECE_ROWS = 1 << 18, 1 << 11
+# A long text's words are looked for and hashed in steps of so many bytes.
+STEP_BYTES = 1 << 20
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -37,6 +40,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; what is free after each goes back to the system, so a worker that waits for its next task holds little."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim is not None:
+            trim(0)
+
+
 def map_texts(
     df: DataFrame,
     compute: Callable[[pa.Array], list[pa.Array]],
@@ -54,7 +68,7 @@ def map_texts(
     schema = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             for piece in pieces(batch):
                 made = compute(piece.column(piece.num_columns - 1))
                 yield pa.RecordBatch.from_arrays((piece.columns if text_as else piece.columns[:-1]) + made, names=list(types))
@@ -62,15 +76,15 @@ def map_texts(
     return named.mapInArrow(run, schema)
 
 
-def pieces(batch: pa.RecordBatch, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch, whose last column holds texts, where ``limit`` bytes of text are reached; rows stay whole."""
+def pieces(batch: pa.RecordBatch, limit: int = PIECE_BYTES, rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Cut a batch, whose last column holds texts, where ``limit`` bytes of text or ``rows`` rows are reached; rows stay whole."""
     if not batch.num_rows:
         return
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy())
     first = 0
     while first < batch.num_rows:
         done = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        last = max(first + 1, min(first + rows, int(np.searchsorted(ends, done + limit, side="right"))))
         yield batch.slice(first, last - first)
         first = last
 
@@ -90,31 +104,43 @@ class Words:
     def __init__(self, texts: pa.Array):
         data, starts = text_bytes(texts)
         self.data = LOWER[data]
-        inside = IN_WORD[self.data]
-        edge = np.zeros(len(data) + 1, bool)
-        edge[starts] = True
-        before, after = np.empty_like(inside), np.empty_like(inside)
-        before[1:], after[:-1] = inside[:-1], inside[1:]
-        self.start = np.flatnonzero(inside & (~before | edge[:-1]) if len(data) else inside)
-        self.end = np.flatnonzero(inside & (~after | edge[1:]) if len(data) else inside) + 1
-        if len(data):  # the outermost bytes have no neighbour
-            if inside[0] and (not len(self.start) or self.start[0] != 0):
-                self.start = np.r_[0, self.start]
-            if inside[-1] and (not len(self.end) or self.end[-1] != len(data)):
-                self.end = np.r_[self.end, len(data)]
+        begins, ends = [], []
+        edge = starts[(starts > 0) & (starts < len(data))]
+        for low in range(0, len(data), STEP_BYTES):
+            high = min(low + STEP_BYTES, len(data))
+            inside = np.zeros(high - low + 2, bool)  # with the neighbours on either side
+            inside[1:-1] = IN_WORD[self.data[low:high]]
+            inside[0] = low > 0 and IN_WORD[self.data[low - 1]]
+            inside[-1] = high < len(data) and IN_WORD[self.data[high]]
+            first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+            # Where one text ends and the next one begins, a word does.
+            here = edge[np.searchsorted(edge, low) : np.searchsorted(edge, high)] - low
+            first[here] = inside[1:-1][here]
+            here = edge[np.searchsorted(edge, low + 1) : np.searchsorted(edge, high, side="right")] - low - 1
+            last[here] = inside[1:-1][here]
+            begins.append((np.flatnonzero(first) + low).astype(np.int32))
+            ends.append((np.flatnonzero(last) + low + 1).astype(np.int32))
+        self.start = np.concatenate([np.zeros(0, np.int32), *begins])
+        self.end = np.concatenate([np.zeros(0, np.int32), *ends])
         self.first = np.searchsorted(self.start, starts)
         self.counts = np.diff(self.first)
-        self.row = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.row = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word, the same in every process."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        powers = np.cumprod(np.full(len(self.data), BASE))
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
-        inverse = np.cumprod(np.full(len(self.data), BASE_INVERSE))
-        return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
+        out = np.zeros(len(self.start), np.uint64)
+        at = 0
+        while at < len(out):
+            low = int(self.start[at])
+            upto = max(at + 1, int(np.searchsorted(self.end, low + STEP_BYTES, side="right")))
+            some = self.data[low : int(self.end[upto - 1])]
+            sums = np.zeros(len(some) + 1, np.uint64)
+            np.cumsum((some.astype(np.uint64) + np.uint64(1)) * np.cumprod(np.full(len(some), BASE)), out=sums[1:])
+            inverse = np.cumprod(np.full(len(some), BASE_INVERSE))
+            start = self.start[at:upto] - low
+            out[at:upto] = mix((sums[self.end[at:upto] - low] - sums[start]) * inverse[start])
+            at = upto
+        return out
 
     def starts_of(self, size: int) -> np.ndarray:
         """Words at which a run of ``size`` words of one text starts."""
@@ -162,7 +188,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
         bits *= 2
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in one_by_one(batches):
             places = np.concatenate(_places(batch.column(0).to_numpy().view(np.uint64), bits))
             bit = np.uint64(1) << (places & np.uint64(63))
             yield pa.RecordBatch.from_arrays([(places >> np.uint64(6)).view(np.int64), bit.view(np.int64)], names=["block", "bit"])
