@@ -8,6 +8,9 @@ place and gives its span.
 
 from __future__ import annotations
 
+import bisect
+import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -96,33 +99,50 @@ class Scanner:
         self.seeds.make_automaton()
 
     def scan(self, text: str) -> list[tuple[int, int, int, int]]:
-        """Matches as (notice, start, end, edits); those of one notice do not overlap."""
-        areas: dict[int, list[list[int]]] = {}
+        """Matches as (notice, start, end, edits): those of fewest edits first, without any of the same notice that overlap them.
+
+        A piece tells, but for the edits, where its notice starts; only words there are tried, so the time is linear in the text.
+        """
+        out: list[tuple[int, int, int, int]] = []
+        starts: dict[int, set[int]] = {}
         for end, (size, where) in self.seeds.iter(text):
+            here = end + 1 - size
             for i, at in where:
-                notice = self.notices[i]
-                if not notice.edits and not self._apart(text, end + 1 - size, end + 1):
+                edits = self.notices[i].edits
+                if edits:
+                    starts.setdefault(i, set()).update(self._word_starts(text, here - at - edits, here - at + edits))
+                elif self._apart(text, here, end + 1):
+                    out.append((i, here, end + 1, 0))
+        for i, tried in starts.items():
+            found = [m for s in tried if (m := self._match(i, text, s, len(text)))]
+            heapq.heapify(found)
+            taken: list[tuple[int, int, int]] = []
+            while found:
+                edits, start, end = heapq.heappop(found)
+                place = bisect.bisect(taken, (start,))
+                if place and taken[place - 1][1] > start:
                     continue
-                low = max(0, end + 1 - size - at - notice.edits - 1)
-                high = low + len(notice.words) + 3 * notice.edits + 2
-                mine = areas.setdefault(i, [])
-                while mine and low <= mine[-1][1]:
-                    before = mine.pop()
-                    low, high = min(low, before[0]), max(high, before[1])
-                mine.append([low, high])
-        out = []
-        for i, mine in areas.items():
-            least = len(self.notices[i].words) - self.notices[i].edits
-            # The best match of an area comes first; others may stand before it as well as after it.
-            parts = [(low, min(high, len(text))) for low, high in mine]
-            while parts:
-                low, high = parts.pop()
-                if high - low >= least and (m := self.patterns[i].search(text, low, high)):
-                    parts += [(low, m.start() - 1), (m.end(), high)]
-                    if self._apart(text, m.start(), m.end()):
-                        out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+                if place == len(taken) or end <= taken[place][0]:
+                    taken.insert(place, (start, end, edits))
+                elif shorter := self._match(i, text, start, taken[place][0] - 1):
+                    heapq.heappush(found, shorter)
+            out += [(i, *match) for match in taken]
         return out
 
+    def _match(self, i: int, text: str, start: int, limit: int) -> tuple[int, int, int] | None:
+        """The match of fewest edits from ``start`` on as (edits, start, end)."""
+        notice = self.notices[i]
+        m = self.patterns[i].match(text, start, min(limit, start + len(notice.words) + notice.edits + 1))
+        return (sum(m.fuzzy_counts), start, m.end()) if m and self._apart(text, start, m.end()) else None
+
+    @staticmethod
+    def _word_starts(text: str, low: int, high: int) -> Iterator[int]:
+        low = max(0, low)
+        start = low if not low or text[low - 1 : low] == " " else text.find(" ", low, high + 1) + 1
+        while low <= start <= high and start < len(text):
+            yield start
+            low, start = start + 1, text.find(" ", start, high + 1) + 1
+
     @staticmethod
     def _apart(text: str, start: int, end: int) -> bool:
         return (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
