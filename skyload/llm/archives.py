@@ -151,7 +151,10 @@ def plan_records(pages: DataFrame, id: str = "page_id", url: str = "url", html:
         .where("n > 1").select("digest", "first")
     )
     refers = F.when(F.col("page") != F.col("first"), F.col("first"))
-    return rows.join(firsts, "digest", "left").select("page", "url", "payload", "digest", refers.alias("refers_to"))
+    # Short payloads, such as the empty one that very many pages may have, take no part in the join.
+    sent = F.when(F.octet_length("payload") >= least, F.col("digest"))
+    named = rows.withColumn("sent", sent).join(firsts.withColumnRenamed("digest", "sent"), "sent", "left")
+    return named.select("page", "url", "payload", "digest", refers.alias("refers_to"))
 
 
 def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
@@ -199,9 +202,10 @@ def _index(file: pa.NativeFile) -> tuple[int, list[dict]]:
     return member_start(file, members[WARC]), [json.loads(line) for line in text.splitlines() if line]
 
 
-def read_records(packages: DataFrame, path: str = "path") -> DataFrame:
+def read_records(packages: DataFrame, path: str = "path", payloads: bool = True) -> DataFrame:
     """All records of the packages listed: (page, url, record_type, refers_to, payload_bytes, payload_digest, payload).
 
+    Without ``payloads`` the last is NULL; what the tasks read and check is the same.
     Size and digest of a response are taken from the payload that was read, and a digest unlike
     the one in its header is an error; those of a revisit, which has no payload, from its headers.
     """
@@ -218,7 +222,7 @@ def read_records(packages: DataFrame, path: str = "path") -> DataFrame:
             if found != digest:
                 raise ValueError(f"payload of {headers['warc-record-id']} has digest {found}, not {digest}")
             size = len(body)
-        return (_page(headers["warc-record-id"]), headers.get("warc-target-uri"), kind, _page(headers.get("warc-refers-to")), size, digest, body if kind == "response" else None)
+        return (_page(headers["warc-record-id"]), headers.get("warc-target-uri"), kind, _page(headers.get("warc-refers-to")), size, digest, body if payloads and kind == "response" else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,4 +266,4 @@ def archive_pages(pages: DataFrame, folder: str | None = None, id: str = "page_i
     """
     folder = folder or f"{shared_folder(pages.sparkSession)}/packages-{uuid.uuid4().hex}"
     packages = write_packages(plan_records(pages, id, url, html), folder)
-    return read_records(packages).select(F.col("page").alias(id), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_records(packages, payloads=False).select(F.col("page").alias(id), "payload_bytes", "payload_digest", "record_type", "refers_to")
