@@ -12,9 +12,11 @@ need no padding.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 from collections import deque
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyload.llm.texts import one_by_one, pieces
 from skyload.session import stable
 
 WINDOW = 2048
@@ -31,8 +34,8 @@ END_OF_DOCUMENT = 1
 VOCABULARY = "word_bpe_49k.json"
 # Open windows of a task, at most: with 2048 tokens of four bytes each 16 MB.
 MOST_OPEN = 2048
-# Words whose ids a task remembers; the memory is emptied when it is full.
-REMEMBERED = 1 << 18
+# Words whose ids a task remembers, twice: when there are so many new ones, those not met since the last time are forgotten.
+REMEMBERED = 1 << 17
 # A text is cut at white space after so many characters, so that memory does not grow with its length.
 BLOCK_CHARS = 1 << 18
 # Words of letters that go through the tokenizer as one text.
@@ -41,54 +44,103 @@ JOINED = 128
 BATCH_PIECES = 1024
 
 
+def _table(chars: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars)] = True
+    return out
+
+
+_BLANK, _MARK = _table(b" \t\n\r"), _table(b".,;:!?")
+_ALNUM = _table(bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)))
+# Second bytes of Latin letters whose first byte is 0xC3.
+_LATIN = _table(bytes(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)))
+
+
 class WordIds:
     """Token ids of texts, word by word, from a tokenizer whose words end with a suffix and do not reach across white space."""
 
-    # White space, and places between a letter or digit and a mark, at which the tokenizer splits anyway. Ranges are Latin letters.
-    _SPLIT = re.compile(r"[\t\n\r]|(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?])")
     _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-    _BLANK = re.compile(r"[ \t\n\r]")
+    _CUT = re.compile(r"[ \t\n\r]")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        # A task has one core; threads of its own would also hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         suffix = self.tokenizer.model.end_of_word_suffix
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
-        if suffix:
+        # Words of Latin letters, in lower case, need the model and its bytes only; where one ends is told by the suffix.
+        self.plain = None
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)
+        kinds = [[s["type"] for s in (steps[k] or {}).get(many, [])] for k, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if suffix and kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]:
             self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
+            self.plain = Tokenizer(self.tokenizer.model)
+            letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), letters])
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self._LETTERS.fullmatch(w)] if self.ends.any() else []
-        for at in range(0, len(plain), JOINED):
-            some = plain[at : at + JOINED]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+        known, joined = self.known, JOINED
+        known.update((w, self.before[w]) for w in words if w in self.before)
+        words = [w for w in words if w not in known]
+        plain = {w: w.lower() for w in words if self._LETTERS.fullmatch(w)} if self.plain else {}
+        new = [w for w in dict.fromkeys(plain.values()) if w not in known]
+        texts = [new[at : at + joined] for at in range(0, len(new), joined)]
+        for some, made in zip(texts, self.plain.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False) if texts else [], strict=True):
+            ids = np.array(made.ids, "<u4")
+            cuts, flat = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), ids.tobytes()
             if len(cuts) == len(some):
-                self.known.update(zip(some, [part.tobytes() for part in np.split(ids, cuts[:-1])], strict=True))
-        rest = [w for w in words if w not in self.known]
+                known.update(zip(some, [flat[a:b] for a, b in zip([0, *cuts], cuts, strict=False)], strict=True))
+        known.update((w, known[low]) for w, low in plain.items() if low in known)
+        rest = [w for w in words if w not in known]
         for word, made in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(made.ids, "<u4").tobytes()
-
-    def blocks(self, text: str) -> Iterator[str]:
+            known[word] = np.array(made.ids, "<u4").tobytes()
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text.
+
+        Texts are cut at white space, and between a letter or digit and a mark, where the tokenizer splits anyway.
+        """
+        parts = [text.encode() for text in texts]
+        raw = np.frombuffer(b"\n".join(parts), np.uint8)
+        inside = ~_BLANK[raw]
+        alone = np.r_[True, ~inside[:-1]]
+        alnum = _ALNUM[raw]
+        alnum[1:] |= _LATIN[raw[1:]] & (raw[:-1] == 0xC3)
+        alone[1:] |= alnum[:-1] & _MARK[raw[1:]]
+        start = np.flatnonzero(alone[: len(raw)] & inside)
+        before = np.cumsum(inside, dtype=np.int32)
+        offsets = np.r_[before[start] - 1, before[-1:]].astype(np.int32)
+        letters = pa.py_buffer(raw[inside])
+        words = pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(offsets), letters]).dictionary_encode()
+        kinds, which = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        self._learn([w for w in kinds if w not in self.known])
+        made = [self.known[w] for w in kinds]
+        length = np.array([len(m) // 4 for m in made], np.int64)
+        first = np.cumsum(length) - length
+        size = length[which]
+        ends = np.cumsum(size)
+        ids = np.frombuffer(b"".join(made), "<u4")[np.repeat(first[which] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        text_ends = np.cumsum([len(p) + 1 for p in parts])
+        upto = np.r_[0, ends][np.searchsorted(start, text_ends[:-1])]
+        return np.split(ids, upto)
+
+    def blocks(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a very long text, in parts."""
         at = 0
         while at < len(text):
-            end = self._BLANK.search(text, at + BLOCK_CHARS)
+            end = self._CUT.search(text, at + BLOCK_CHARS)
             last = end.start() if end else len(text)
-            yield text[at:last]
+            yield self.of([text[at:last]])[0]
             at = last
 
-    def of(self, text: str) -> Iterator[np.ndarray]:
-        """The ids of a text, in parts of some 100,000."""
-        for block in self.blocks(text):
-            words = self._SPLIT.sub(" ", block).split(" ")
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            self._learn([w for w in dict.fromkeys(words) if w not in self.known])
-            yield np.frombuffer(b"".join([self.known[w] for w in words]), "<u4")
-
 
 @dataclass
 class Piece:
@@ -220,10 +272,15 @@ def pack(
                 kinds = [type_of_id, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(column, t) for column, t in zip(zip(*some, strict=True), kinds, strict=True)], names=names)
 
-        for batch in batches:
+        for batch in one_by_one(batches):
             type_of_id = batch.schema.field(0).type
-            for row_id, body in zip(batch.column(0), batch.column(1), strict=True):
-                _pack_one(packer, row_id.as_py(), body.as_py() or "", ids.of, size, end)
+            for piece in pieces(batch):
+                names_of, texts = piece.column(0).to_pylist(), [t or "" for t in piece.column(1).to_pylist()]
+                if len(texts) == 1 and len(texts[0]) > BLOCK_CHARS:
+                    _pack_one(packer, names_of[0], ids.blocks(texts[0]), size, end)
+                else:
+                    for name, made in zip(names_of, ids.of(texts), strict=True):
+                        _pack_one(packer, name, [made], size, end)
                 yield from flush(BATCH_PIECES)
         packer.settle()
         yield from flush(1)
@@ -232,14 +289,14 @@ def pack(
     return made.select(F.col("id").alias(id), *names[1:])
 
 
-def _pack_one(packer: Packer, id: object, text: str, ids_of: Callable[[str], Iterable[np.ndarray]], size: int, end: int) -> None:
+def _pack_one(packer: Packer, id: object, parts: Iterable[np.ndarray], size: int, end: int) -> None:
     total, start, held = [0], 0, np.zeros(0, "<u4")
-    for part in ids_of(text):
+    for part in parts:
         held = np.concatenate([held, part])
         while len(held) > size:
             packer.place(Piece(id, start, held[:size], total))
             start, held = start + size, held[size:]
-    held = np.append(held, np.array([end], "<u4"))
+    held = np.append(held, np.uint32(end))
     total[0] = start + len(held)
     while len(held):
         packer.place(Piece(id, start, held[:size], total))

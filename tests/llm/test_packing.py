@@ -36,9 +36,10 @@ def test_word_by_word_ids_are_those_of_the_whole_text(monkeypatch, chars):
     monkeypatch.setattr(packing, "BLOCK_CHARS", chars)
     monkeypatch.setattr(packing, "REMEMBERED", 500)
     ids = WordIds(PATH)
-    for text in _texts():
-        got = [i for part in ids.of(text or "") for i in part.tolist()]
-        assert [*got, 1] == _ids(text)
+    texts = [t or "" for t in _texts()]
+    for text, together in zip(texts, ids.of(texts), strict=True):
+        assert [*together.tolist(), 1] == _ids(text)
+        assert [*[i for part in ids.blocks(text) for i in part.tolist()], 1] == _ids(text)
 
 
 def test_level_is_that_of_the_least_sum_of_squares():
