@@ -2,8 +2,8 @@
 
 Words become 64-bit ids. A task counts phrases in a trie that branches on the ids of their first words and keeps what
 follows in hash containers; a container that gets large bursts into a branch for each next word. When a task holds many phrases, its
-largest subtrees are written as sorted runs and dropped. Runs are dealt out by prefix, which is the phrase without its last
-word, and the counts of equal phrases are added up there.
+largest subtrees are written as sorted runs and dropped. Runs are dealt out by prefix, which is the phrase but for most bits of its last
+word, so that what follows a very frequent word is spread, and the counts of equal phrases are added up there.
 
 Words are counted first, then pairs, then phrases of three to five. No phrase is more frequent than a part of it, so
 longer ones are only counted where all words, and later all pairs, are frequent enough; a filter of bounded size tells
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from skyload.llm.texts import LOWER, PIECE_BYTES, key_filter, may_hold, mix, pieces
+from skyload.llm.texts import LOWER, key_filter, may_hold, mix, one_by_one, pieces
 from skyload.session import release, stable
 
 LONGEST = 5
@@ -33,6 +33,8 @@ FIRST = 2000
 # Entries of a container that bursts, and of a trie whose largest subtrees are written.
 BURST, MOST_ENTRIES = 1 << 13, 1 << 19
 ID = 8  # bytes of a word's id
+# Bytes of text whose phrases are counted before they go into the trie.
+BLOCK_BYTES = 1 << 19
 # Copies of the table of words, and parts of each language's phrases.
 SALTS = 16
 
@@ -142,7 +144,7 @@ def _block(data: bytes, row_starts: np.ndarray, langs: list[str], own_bytes: int
     kinds, which = np.unique(np.array(langs, object), return_inverse=True)
     row = np.searchsorted(row_starts, start, side="right") - 1
     pair, code = np.unique(which[row] * len(words.dictionary) + words.indices.to_numpy(), return_inverse=True)
-    known = [w.decode("utf-8", "replace") for w in words.dictionary.to_pylist()]
+    known = [w.decode("utf-8", "replace") for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
     named = [(kinds[p // len(known)], known[p % len(known)]) for p in pair.tolist()]
     piece = np.cumsum(kind == _END, dtype=np.int32)[start]
     return Block(named, code, piece, int(np.searchsorted(start, own_bytes)))
@@ -151,7 +153,7 @@ def _block(data: bytes, row_starts: np.ndarray, langs: list[str], own_bytes: int
 _CUT = re.compile(rb"[\x20\x09.,;:!?\n\x0b\x0c\r]")
 
 
-def blocks(batch: pa.RecordBatch, limit: int = PIECE_BYTES, longest: int = LONGEST) -> Iterator[Block]:
+def blocks(batch: pa.RecordBatch, limit: int = BLOCK_BYTES, longest: int = LONGEST) -> Iterator[Block]:
     """Words of a batch (lang, text), in blocks of ``limit`` bytes about; a longer text is cut into blocks that overlap."""
     for part in pieces(batch, limit):
         langs = [lang if lang is not None else UNKNOWN for lang in part.column(0).to_pylist()]
@@ -227,7 +229,7 @@ def count_words(documents: DataFrame, seed: int = 0, most: int = MOST_ENTRIES) -
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "word", "id", "n"])
 
-        for batch in batches:
+        for batch in one_by_one(batches):
             for block in blocks(batch):
                 counts = np.bincount(block.code[: block.own], minlength=len(block.words)).tolist()
                 for word, id, n in zip(block.words, block.ids(seed).view(np.int64).tolist(), counts, strict=True):
@@ -256,7 +258,7 @@ def count_phrases(documents: DataFrame, words: np.ndarray, pairs: np.ndarray | N
             for phrases, counts in trie.spill(all):
                 yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.binary()), pa.array(counts, pa.int64())], names=["phrase", "n"])
 
-        for batch in batches:
+        for batch in one_by_one(batches):
             for block in blocks(batch):
                 ids = block.ids(seed)
                 known = may_hold(frequent, ids)[block.code]
@@ -270,7 +272,7 @@ def count_phrases(documents: DataFrame, words: np.ndarray, pairs: np.ndarray | N
                 yield from runs(all=False)
         yield from runs(all=True)
 
-    prefix = F.expr(f"substring(phrase, 1, length(phrase) - {ID})")
+    prefix = F.expr(f"substring(phrase, 1, length(phrase) - {ID - 1})")
     dealt = documents.mapInArrow(run, "phrase binary, n bigint").withColumn("prefix", prefix).repartition("prefix")
     merged = stable(dealt.groupBy("prefix", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("phrase", "n"))
     held.destroy()
@@ -330,7 +332,7 @@ def collocations(
     and ``a``, descending, then by phrase in the order of its bytes.
 
     NULL is the language ``und``; NULL and empty texts have no words; a repeated row counts again; a table without rows, or without
-    frequent phrases, gives none; other columns are not looked at. A text longer than a megabyte is read in
+    frequent phrases, gives none; other columns are not looked at. A text longer than ``BLOCK_BYTES`` is read in
     blocks that overlap by the words a phrase can reach. Counts below 10^16 are exact.
     """
     read = documents.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
