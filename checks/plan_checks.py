@@ -177,7 +177,7 @@ def m14_histogram(spark, sf):
 @check("m15_grid_search")
 def m15(spark, sf):
     train, _ = prepared(spark, sf)
-    return m.grid_search(train, m.FIRST, m.GRID | {"maxIter": list(FEW_TREES)})[1]
+    return m.grid_search(train, replace(m.FIRST, kind="gbt"), m.GRID | {"maxIter": list(FEW_TREES)})[1]
 
 
 @check("m16_random_search")

@@ -3,6 +3,8 @@
 Columns are cut at quantiles into at most 255 bins once, so a row is a few bytes. A level of a tree is one aggregation: sums of
 gradient and hessian by node, feature and bin, taken in the tasks first, and the best split of each node from running sums over the bins. Only those
 splits come to the driver. Sums are of whole numbers, so a tree does not depend on how the rows are partitioned.
+
+Trees are grown node by node, or symmetric: one split for a whole level, the one that gains most over all its nodes.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,23 @@ class Tree:
         return at
 
 
+@dataclass(frozen=True)
+class LevelTree:
+    """One split a level: a row's leaf has a bit for each, set where the bin of ``feature`` is above ``bin``; ``gain`` is a level's, ``value`` a leaf's."""
+
+    feature: np.ndarray
+    bin: np.ndarray
+    value: np.ndarray
+    gain: np.ndarray
+
+    def leaves(self, bins: np.ndarray) -> np.ndarray:
+        """The leaf each row of bins ends at."""
+        at = np.zeros(len(bins), np.int64)
+        for level in range(len(self.feature)):
+            at |= (bins[:, self.feature[level]] > self.bin[level]).astype(np.int64) << level
+        return at
+
+
 @dataclass(frozen=True)
 class HistogramModel:
     """Features with the upper edges of their bins, the value before the first tree, and the trees."""
@@ -56,7 +76,7 @@ class HistogramModel:
     features: list[str]
     edges: list[np.ndarray]
     base: float
-    trees: list[Tree]
+    trees: list[Tree | LevelTree]
 
     def bins(self, columns: Sequence[np.ndarray]) -> np.ndarray:
         """Bins of rows, a column for each feature; a value beyond all edges is in the last bin."""
@@ -98,9 +118,9 @@ class HistogramModel:
         return SparkSession.active().createDataFrame(list(zip(self.features, shares.tolist(), strict=True)), f"feature string, `{name}` double")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write edges and nodes as two tables below ``path``."""
+        """Write edges and nodes as two tables below ``path``; a symmetric tree's nodes are its levels, then its leaves."""
         edges = [(i, f, self.base, e.tolist()) for i, (f, e) in enumerate(zip(self.features, self.edges, strict=True))]
-        nodes = [(t, n, *[getattr(tree, c)[n].item() for c in _NODE]) for t, tree in enumerate(self.trees) for n in range(len(tree.feature))]
+        nodes = [(t, n, *node) for t, tree in enumerate(self.trees) for n, node in enumerate(_nodes(tree))]
         spark.createDataFrame(edges, "place int, feature string, base double, edges array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
         schema = "tree int, node int, feature int, bin int, left int, right int, value double, gain double"
         spark.createDataFrame(nodes, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
@@ -119,14 +139,26 @@ class HistogramModel:
 _NODE = ("feature", "bin", "left", "right", "value", "gain")
 
 
-def _tree(nodes: list[Sequence]) -> Tree:
+def _nodes(tree: Tree | LevelTree) -> list[tuple]:
+    if isinstance(tree, LevelTree):
+        levels = [(f, b, 0, 0, 0.0, g) for f, b, g in zip(tree.feature.tolist(), tree.bin.tolist(), tree.gain.tolist(), strict=True)]
+        return levels + [(-1, 0, 0, 0, v, 0.0) for v in tree.value.tolist()]
+    return list(zip(*[getattr(tree, c).tolist() for c in _NODE], strict=True))
+
+
+def _tree(nodes: list[Sequence]) -> Tree | LevelTree:
+    levels = [n for n in nodes if n[0] >= 0]
+    if levels and not levels[0][2]:  # the root is on no node's left, so these lead nowhere: they are levels
+        at = lambda i, kind: np.array([n[i] for n in levels], kind)
+        return LevelTree(at(0, np.int64), at(1, np.int64), np.array([n[4] for n in nodes[len(levels) :]], float), at(5, float))
     columns = list(zip(*nodes, strict=True))
     return Tree(*[np.array(c, float if name in ("value", "gain") else np.int64) for name, c in zip(_NODE, columns, strict=True)])
 
 
 @dataclass(frozen=True)
 class Boosting:
-    """Settings: penalty ``l2`` of leaf values, shares of rows and columns drawn for each tree, and how many trees without a lower error end it."""
+    """Settings: penalty ``l2`` of leaf values, shares of rows and columns drawn for each tree, how many trees without a lower error end it, and
+    whether trees are ``symmetric``."""
 
     depth: int = 8
     iterations: int = 2000
@@ -136,6 +168,7 @@ class Boosting:
     column_share: float = 1.0
     patience: int = 50
     seed: int = 42
+    symmetric: bool = False
 
 
 def column_edges(df: DataFrame, features: Sequence[str], most: int = MOST_BINS) -> list[np.ndarray]:
@@ -188,10 +221,10 @@ def drawn_columns(features: int, tree: int, settings: Boosting) -> np.ndarray:
     return np.isin(np.arange(features), chosen)
 
 
-def _histograms(table: DataFrame, model: HistogramModel, done: int, growing: Tree, settings: Boosting, scale: float) -> DataFrame:
-    """(node, feature, bin, n, g): rows and gradients, as whole numbers, at the open nodes of a tree."""
+def _histograms(table: DataFrame, model: HistogramModel, done: int, growing: Tree | LevelTree, settings: Boosting, scale: float, most: int | None = None) -> DataFrame:
+    """(node, feature, bin, n, g): rows and gradients, as whole numbers, at the open nodes of a tree; of the first ``most`` features drawn."""
     features, number = len(model.features), len(model.trees)
-    allowed = np.flatnonzero(drawn_columns(features, number, settings))
+    allowed = np.flatnonzero(drawn_columns(features, number, settings))[:most]
     newer = replace(model, base=0.0, trees=model.trees[done:])
     held = table.sparkSession.sparkContext.broadcast((newer, growing))
 
@@ -223,8 +256,8 @@ def _histograms(table: DataFrame, model: HistogramModel, done: int, growing: Tre
     return made.repartition("node", "feature").groupBy("node", "feature", "bin").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
 
 
-def _best_splits(histograms: DataFrame, settings: Boosting, scale: float) -> list:
-    """For each open node its rows and gradients, and the split of the largest gain (of equal ones that of the first feature and bin), if any gains."""
+def _gains(histograms: DataFrame, settings: Boosting, scale: float) -> DataFrame:
+    """(node, feature, bin, n_left, g_left, n, g, gain): every split of a node after a bin that it has rows in; the gain is NULL where one side has none."""
     upto = W.partitionBy("node", "feature").orderBy("bin")
     everything = W.partitionBy("node", "feature")
     sums = histograms.select("node", "feature", "bin", F.sum("n").over(upto).alias("n_left"), F.sum("g").over(upto).alias("g_left"), F.sum("n").over(everything).alias("n"), F.sum("g").over(everything).alias("g"))
@@ -235,7 +268,13 @@ def _best_splits(histograms: DataFrame, settings: Boosting, scale: float) -> lis
 
     gain = score(F.col("g_left"), F.col("n_left")) + score(F.col("g") - F.col("g_left"), F.col("n") - F.col("n_left")) - score(F.col("g"), F.col("n"))
     fits = (F.col("n_left") >= LEAST_ROWS) & (F.col("n") - F.col("n_left") >= LEAST_ROWS)
-    split = F.struct(F.when(fits & (gain > 0), gain).alias("gain"), (-F.col("feature")).alias("feature"), (-F.col("bin")).alias("bin"), "n_left", "g_left")
+    return sums.withColumn("gain", F.when(fits, gain))
+
+
+def _best_splits(histograms: DataFrame, settings: Boosting, scale: float) -> list:
+    """For each open node its rows and gradients, and the split of the largest gain (of equal ones that of the first feature and bin), if any gains."""
+    sums = _gains(histograms, settings, scale)
+    split = F.struct(F.when(F.col("gain") > 0, F.col("gain")).alias("gain"), (-F.col("feature")).alias("feature"), (-F.col("bin")).alias("bin"), "n_left", "g_left")
     return sums.groupBy("node").agg(F.max(split).alias("s"), F.first("n").alias("n"), F.first("g").alias("g")).collect()
 
 
@@ -258,6 +297,41 @@ def grow(table: DataFrame, model: HistogramModel, done: int, settings: Boosting,
     return _tree(nodes)
 
 
+def best_level(histograms: DataFrame, settings: Boosting, scale: float, unit: float):
+    """The split that gains most over all nodes together (of equal ones that of the first feature and bin), as (gain, feature, bin), or None.
+
+    A node without rows in a bin gains there what it does at its bin before, so its gains are added up as steps from bin to bin. They are
+    decimals, in squares of ``unit``, the largest target: exact sums do not depend on their order.
+    """
+    node = W.partitionBy("node", "feature").orderBy("bin")
+    exact = F.coalesce(F.col("gain") / F.lit(unit * unit), F.lit(0.0)).cast("decimal(36,16)")
+    steps = _gains(histograms, settings, scale).select("feature", "bin", "node", exact.alias("gain"))
+    steps = steps.select("feature", "bin", (F.col("gain") - F.lag("gain", 1, 0).over(node)).alias("step"))
+    whole = steps.groupBy("feature", "bin").agg(F.sum("step").alias("step"))
+    gained = F.sum("step").over(W.partitionBy("feature").orderBy("bin")).alias("gain")
+    best = whole.select("feature", "bin", gained).agg(F.max(F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b")))).first()[0]
+    return (float(best.gain) * unit * unit, -best.f, -best.b) if best is not None and best.gain > 0 else None
+
+
+def grow_levels(table: DataFrame, model: HistogramModel, done: int, settings: Boosting, scale: float, unit: float) -> LevelTree | None:
+    """One more symmetric tree, as :func:`grow`; it ends at the level that no split gains at. Leaves without rows are 0."""
+    found: list[tuple[float, int, int]] = []
+
+    def tree(value: np.ndarray) -> LevelTree:
+        return LevelTree(*[np.array([s[i] for s in found], np.int64) for i in (1, 2)], value, np.array([s[0] for s in found], float))
+
+    def open_tree() -> LevelTree:
+        return tree(np.full(1 << len(found), np.nan))
+
+    while len(found) < settings.depth and (best := best_level(_histograms(table, model, done, open_tree(), settings, scale), settings, scale, unit)):
+        found.append(best)
+    sums = _histograms(table, model, done, open_tree(), settings, scale, most=1).groupBy("node").agg(F.sum("n").alias("n"), F.sum("g").alias("g")).collect()
+    value = np.zeros(1 << len(found))
+    for r in sums:
+        value[r.node] = -settings.rate * (r.g / scale) / (r.n + settings.l2)
+    return tree(value) if sums else None
+
+
 def _told(table: DataFrame, model: HistogramModel, done: int) -> DataFrame:
     """The table with predictions after all trees; those after the first ``done`` are in it."""
     held = table.sparkSession.sparkContext.broadcast(replace(model, base=0.0, trees=model.trees[done:]))
@@ -307,6 +381,7 @@ def train_histogram(train: DataFrame, settings: Boosting = Boosting(), test: Dat
     count, largest = table.agg(F.count(F.lit(1)), F.max(F.abs("y"))).first()
     if not count:
         return model
+    another = partial(grow_levels, unit=largest or 1.0) if settings.symmetric else grow
     # A gradient is at most about twice the largest target; the sum of all has room.
     scale = 2.0 ** math.floor(SUM_BITS - math.log2(count * 4 * max(largest, 1e-300)))
     model = replace(model, base=table.agg(F.sum(F.rint(F.col("y") * scale).cast("bigint"))).first()[0] / scale / count)
@@ -316,7 +391,7 @@ def train_histogram(train: DataFrame, settings: Boosting = Boosting(), test: Dat
     errors = stage_errors(held, model) if held is not None else {}
     done = 0
     while len(model.trees) < settings.iterations:
-        while len(model.trees) < min(settings.iterations, done + TREES_A_STAGE) and (tree := grow(state, model, done, settings, scale)):
+        while len(model.trees) < min(settings.iterations, done + TREES_A_STAGE) and (tree := another(state, model, done, settings, scale)):
             model = replace(model, trees=[*model.trees, tree])
         if len(model.trees) == done:
             break

@@ -42,11 +42,11 @@ DEPTHS = {"boosted": (3, 10), "boosted_deep": (4, 10)}
 
 @dataclass(frozen=True)
 class Learner:
-    """Settings of a learner; ``kind`` is ``gbt``, ``histogram``, ``forest``, ``linear`` or ``lasso``.
+    """Settings of a learner; ``kind`` is ``gbt``, ``histogram``, ``symmetric``, ``forest``, ``linear`` or ``lasso``.
 
     With a test set ``gbt`` stops at the first tree that does not lower its error by more than the share ``tolerance``, as Spark's
-    boosting looks at one at a time. ``histogram`` (:mod:`skyload.operators.boosting`) ends ``patience`` trees after the best one and is cut there;
-    it alone has the penalty ``l2``. A forest has no rate.
+    boosting looks at one at a time. ``histogram`` and ``symmetric`` (:mod:`skyload.operators.boosting`) end ``patience`` trees after the best one and
+    are cut there; they alone have the penalty ``l2``. A forest has no rate.
     """
 
     kind: str = "gbt"
@@ -60,8 +60,10 @@ class Learner:
     patience: int = 50
 
 
+# Kinds that are boosted on a table of bytes.
+BINNED = ("histogram", "symmetric")
 # Defaults of the two learners of an ensemble, and of the tabular one.
-FIRST = Learner("gbt", depth=9, iterations=2000, rate=0.15)
+FIRST = Learner("symmetric", depth=9, iterations=2000, rate=0.15, l2=3.0)
 SECOND = Learner("histogram", depth=8, iterations=2000, rate=0.05)
 TABULAR = Learner("gbt", depth=6, iterations=5000, rate=0.1)
 
@@ -101,7 +103,7 @@ def train(
 ) -> Model:
     """Fit on complete rows of ``df``. Boosting stops early on ``test`` when given."""
     features = list(features or feature_columns(df, target))
-    if learner.kind == "histogram":
+    if learner.kind in BINNED:
         return train_histogram(df, boosting_of(learner), test, target, features)
     regressor = estimator(learner, target)
     rows = df.select(KEY, *features, target)
@@ -116,7 +118,7 @@ def train(
 def boosting_of(learner: Learner) -> Boosting:
     """What histogram boosting takes of a learner's settings."""
     share = 1.0 if learner.column_share in ("auto", "all") else float(learner.column_share)
-    return Boosting(learner.depth, learner.iterations, learner.rate, learner.l2, learner.subsample, share, learner.patience, SEED)
+    return Boosting(learner.depth, learner.iterations, learner.rate, learner.l2, learner.subsample, share, learner.patience, SEED, learner.kind == "symmetric")
 
 
 def inputs(model: Model) -> list[str]:
@@ -228,7 +230,7 @@ def grid_search(
     features: Sequence[str] | None = None,
 ) -> tuple[Model, DataFrame]:
     """Best model by mean squared error over the folds, and a row per setting tried."""
-    if learner.kind == "histogram":
+    if learner.kind in BINNED:
         return _grid_of_histograms(df, learner, grid, folds, target, parallelism, features)
     regressor = estimator(learner, target)
     names = {"numTrees": "maxIter"} if learner.kind == "forest" else {}

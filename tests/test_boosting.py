@@ -78,6 +78,62 @@ def test_same_trees_as_plain_version(spark, monkeypatch, settings):
     assert [got[i] for i in range(len(y))] == pytest.approx(told.tolist(), abs=1e-6)
 
 
+def _plain_levels(bins, y, settings):
+    """Symmetric trees with plain loops: the splits and leaf values of each, and the predictions."""
+    told, trees = np.full(len(y), y.mean()), []
+
+    def score(g, n):
+        return g * g / (n + settings.l2) if n else 0.0
+
+    for _ in range(settings.iterations):
+        gradient, at, splits = told - y, np.zeros(len(y), int), []
+        while len(splits) < settings.depth:
+            best = None
+            for f in range(bins.shape[1]):
+                for b in np.unique(bins[:, f]):
+                    right = bins[:, f] > b
+                    gain = 0.0
+                    for node in np.unique(at):
+                        here, there = gradient[(at == node) & ~right], gradient[(at == node) & right]
+                        if len(here) and len(there):
+                            gain += score(here.sum(), len(here)) + score(there.sum(), len(there)) - score(gradient[at == node].sum(), len(here) + len(there))
+                    if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                        best = (gain, f, int(b))
+            if best is None:
+                break
+            at = at + ((bins[:, best[1]] > best[2]).astype(int) << len(splits))
+            splits.append(best[1:])
+        value = [-settings.rate * gradient[at == n].sum() / ((at == n).sum() + settings.l2) if (at == n).any() else 0.0 for n in range(1 << len(splits))]
+        trees.append((splits, value))
+        told = told + np.array(value)[at]
+    return trees, told
+
+
+@pytest.mark.parametrize("settings", [Boosting(3, 4, 0.3, 1.0, symmetric=True), Boosting(4, 3, 0.9, 0.0, symmetric=True)])
+def test_symmetric_trees_as_plain_version(spark, monkeypatch, tmp_path, settings):
+    monkeypatch.setattr(boosting, "TREES_A_STAGE", 2)
+    df, x, y = _data(spark)
+    model = train_histogram(df, settings, features=FEATURES)
+    trees, told = _plain_levels(model.bins(list(x.T)), y, settings)
+    assert len(model.trees) == len(trees)
+    for made, (splits, value) in zip(model.trees, trees, strict=True):
+        assert list(zip(made.feature, made.bin, strict=True)) == splits
+        assert made.value == pytest.approx(value, abs=1e-6)
+    model.save(spark, str(tmp_path))
+    got = {r["flight_id"]: r["prediction"] for r in HistogramModel.load(spark, str(tmp_path)).predict(df).collect()}
+    assert [got[i] for i in range(len(y))] == pytest.approx(told.tolist(), abs=1e-6)
+    assert model.importances().orderBy(F.desc("importance")).first().feature == "a"
+
+
+def test_symmetric_trees_for_any_partitioning_and_without_gain(spark):
+    df, _, _ = _data(spark)
+    first, second = [train_histogram(df.repartition(n), Boosting(3, 2, 0.3, symmetric=True), features=FEATURES) for n in (1, 7)]
+    for a, b in zip(first.trees, second.trees, strict=True):
+        assert a.feature.tolist() == b.feature.tolist() and a.bin.tolist() == b.bin.tolist() and a.value.tolist() == b.value.tolist()
+    same = train_histogram(df.withColumn("tow", F.lit(5.0)), Boosting(3, 2, 0.3, symmetric=True), features=FEATURES)
+    assert [t.value.tolist() for t in same.trees] == [[0.0], [0.0]] and {r.prediction for r in same.predict(df).collect()} == {5.0}
+
+
 def test_same_trees_for_any_partitioning(spark):
     df, _, _ = _data(spark)
     first, second = [train_histogram(df.repartition(n), Boosting(3, 2, 0.3), features=FEATURES) for n in (1, 7)]
