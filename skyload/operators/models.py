@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 from skyload.constants import KEY, TARGET
 from skyload.operators.boosting import Boosting, HistogramModel, train_histogram
 from skyload.operators.columns import numeric_columns
+from skyload.operators.linear import LinearModel, eliminate, lasso, least_squares, products
 from skyload.operators.metrics import ensemble_mean, evaluate_models
 from skyload.operators.prepare import split_hash
 from skyload.session import stable
 
-Model = PipelineModel | HistogramModel
+Model = PipelineModel | HistogramModel | LinearModel
 
 SEED = 42
 FEATURES, HELD_OUT = "features", "_held_out"
@@ -85,7 +86,7 @@ def estimator(learner: Learner, target: str = TARGET):
     if learner.kind == "linear":
         return LinearRegression(**shared)
     if learner.kind == "lasso":
-        return LinearRegression(**shared, regParam=1.0, elasticNetParam=1.0)
+        return LinearRegression(**shared, regParam=1.0, elasticNetParam=1.0, standardization=False)
     raise ValueError(f"no such learner: {learner.kind}")
 
 
@@ -105,6 +106,8 @@ def train(
     features = list(features or feature_columns(df, target))
     if learner.kind in BINNED:
         return train_histogram(df, boosting_of(learner), test, target, features)
+    if learner.kind in ("linear", "lasso"):
+        return (least_squares if learner.kind == "linear" else lasso)(products(df, features, target))
     regressor = estimator(learner, target)
     rows = df.select(KEY, *features, target)
     if test is not None and learner.kind == "gbt":
@@ -123,7 +126,7 @@ def boosting_of(learner: Learner) -> Boosting:
 
 def inputs(model: Model) -> list[str]:
     """The features of a model."""
-    return model.features if isinstance(model, HistogramModel) else model.stages[0].getInputCols()
+    return model.features if isinstance(model, (HistogramModel, LinearModel)) else model.stages[0].getInputCols()
 
 
 def _complete(model: Model) -> Column:
@@ -145,7 +148,7 @@ def batch_predict(models: Mapping[str, Model], df: DataFrame, carry: Sequence[st
     """
     wide = df
     for i, model in enumerate(models.values()):
-        if isinstance(model, HistogramModel):
+        if isinstance(model, (HistogramModel, LinearModel)):
             wide = model.predict(wide, f"_tow_{i}", wide.columns)
             continue
         assembler = model.stages[0].copy()
@@ -159,7 +162,7 @@ def batch_predict(models: Mapping[str, Model], df: DataFrame, carry: Sequence[st
 
 def importances(model: Model, name: str = "importance") -> DataFrame:
     """Rows (feature, <name>); a row per feature of the model."""
-    if isinstance(model, HistogramModel):
+    if isinstance(model, (HistogramModel, LinearModel)):
         return model.importances(name)
     features = model.stages[0].getInputCols()
     values = model.stages[-1].featureImportances.toArray().tolist()
@@ -331,23 +334,11 @@ def random_search(
 def recursive_elimination(
     df: DataFrame, keep: int = 15, target: str = TARGET, features: Sequence[str] | None = None
 ) -> tuple[list[str], DataFrame]:
-    """Drop the feature of smallest absolute coefficient until ``keep`` are left.
+    """Drop the feature of smallest absolute coefficient until ``keep`` are left; the rows are read twice, however many are dropped.
 
     Also gives rows (feature, rank), where rank 1 marks the features kept.
     """
-    left = list(features or feature_columns(df, target))
-    rows = df.select(*left, target).dropna("any").persist()
-    dropped: list[str] = []
-    try:
-        while len(left) > keep:
-            vectors = VectorAssembler(inputCols=left, outputCol=FEATURES).transform(rows)
-            fitted = LinearRegression(featuresCol=FEATURES, labelCol=target, standardization=False).fit(
-                vectors
-            )
-            sizes = [abs(c) for c in fitted.coefficients.toArray()]
-            dropped.insert(0, left.pop(sizes.index(min(sizes))))
-    finally:
-        rows.unpersist()
+    left, dropped = eliminate(products(df, list(features or feature_columns(df, target)), target), keep)
     ranks = [(f, 1) for f in left] + [(f, i + 2) for i, f in enumerate(dropped)]
     return left, df.sparkSession.createDataFrame(ranks, "feature string, rank int")
 
@@ -406,6 +397,8 @@ def settings_table(spark: SparkSession, models: Mapping[str, Model]) -> DataFram
     for name, model in models.items():
         if isinstance(model, HistogramModel):
             rows.append((name, "trees", str(len(model.trees))))
+        elif isinstance(model, LinearModel):
+            rows.append((name, "intercept", str(model.intercept)))
         else:
             rows += [(name, p.name, str(v)) for p, v in model.stages[-1].extractParamMap().items()]
     return spark.createDataFrame(sorted(rows), "model string, parameter string, value string")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyload.operators.boosting import HistogramModel
+from skyload.operators.linear import LinearModel
 from skyload.operators.scores import with_p_values
 
 
@@ -48,19 +49,20 @@ def write_metrics(metrics: DataFrame, path: str, settings: DataFrame | None = No
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
 
-def save_model(model: PipelineModel | HistogramModel, path: str, name: str) -> str:
+def save_model(model: PipelineModel | HistogramModel | LinearModel, path: str, name: str) -> str:
     """Save under ``<path>/<name>`` on any file system Spark can write to."""
     target = f"{path.rstrip('/')}/{name}"
-    if isinstance(model, HistogramModel):
+    if isinstance(model, (HistogramModel, LinearModel)):
         model.save(SparkSession.active(), target)
     else:
         model.write().overwrite().save(target)
     return target
 
 
-def load_model(spark: SparkSession, path: str, name: str) -> PipelineModel | HistogramModel:
+def load_model(spark: SparkSession, path: str, name: str) -> PipelineModel | HistogramModel | LinearModel:
     target = f"{path.rstrip('/')}/{name}"
-    nodes = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/nodes")
-    if nodes.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(nodes):
-        return HistogramModel.load(spark, target)
+    for folder, kind in (("nodes", HistogramModel), ("coefficients", LinearModel)):
+        written = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/{folder}")
+        if written.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(written):
+            return kind.load(spark, target)
     return PipelineModel.load(target)
