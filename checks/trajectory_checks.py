@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import views
 from checks.flight_checks import airspeed_sql, enriched, wind_sql
-from checks.registry import check, rounded, sql
+from checks.registry import ORACLES, check, rounded, sql
 from skyload.operators import columns, joins
 from skyload.operators import trajectory as t
+from skyload.session import shared_folder
+from skyload.sources.trajectory import cluster_points
 
 _POINTS = """
 SELECT s.*, row_number() OVER (PARTITION BY flight_id ORDER BY "timestamp", event_id) - 1 AS i,
@@ -290,6 +294,13 @@ def a1(spark, sf):
     return t.trajectory_features(views.trajectory(spark, sf), views.COURSE)
 
 
+@check("a1_clustered_features", ORACLES["a1_flight_features"], places=PLACES)
+def a1_clustered(spark, sf):
+    """The same from points that were written by flight and time before."""
+    name = uuid.uuid4().hex
+    return t.trajectory_features(cluster_points(views.trajectory(spark, sf), f"points_{name}", f"{shared_folder(spark)}/{name}", views.COURSE), views.COURSE)
+
+
 @check(
     "j2_flights_with_features",
     sql(

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from skyload.constants import KEY, TARGET
 from skyload.session import broadcast_if_small
 
+# Keys alone that are broadcast at most: some 16 MB.
+MOST_KEYS = 2_000_000
+
 
 def enrich(flights: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Add aircraft data by type; flights of unknown type get NULL."""
@@ -29,6 +32,11 @@ def with_flight_features(
     return flights.join(features, KEY, "inner")
 
 
+def points_of(points: DataFrame, flights: DataFrame, key: str = KEY) -> DataFrame:
+    """Points of the flights that are left, before any work is done for the others; NULL is no flight."""
+    return points.join(broadcast_if_small(flights.select(key).distinct(), MOST_KEYS), key, "left_semi")
+
+
 def targets_of(flights: DataFrame, subset: DataFrame, target: str = TARGET) -> DataFrame:
     """Key and target of the flights that are in ``subset``."""
     return flights.select(KEY, target).join(subset.select(KEY), KEY, "left_semi")

@@ -13,7 +13,7 @@ from skyload.functions.times import add_duration
 from skyload.operators import models as m
 from skyload.operators.columns import complete_rows, drop_features, scoring_set, valid_altitudes
 from skyload.operators.fitted import Preparation, apply_preparation, fit_preparation
-from skyload.operators.joins import enrich, known_types, with_flight_features
+from skyload.operators.joins import enrich, known_types, points_of, with_flight_features
 from skyload.operators.ordering import join_on
 from skyload.operators.outliers import clean, clean_trajectory
 from skyload.operators.prepare import label_encode, normalise, one_hot, train_test_split
@@ -50,12 +50,14 @@ def tabular_rows(
     course: Course = Course(),
     isolation: bool = True,
 ) -> DataFrame:
-    """What :func:`tabular_features` prepares, as it was found."""
+    """What :func:`tabular_features` prepares, as it was found. Points of flights that dropped out are left alone."""
     rows = clean(flights, settings.contamination) if isolation else complete_rows(flights)
     rows = add_duration(rows, exact=True)
     if settings.use_external_data:
         rows = known_types(enrich(rows, aircraft), aircraft)
     if settings.use_trajectory:
+        rows = stable(rows)
+        points = points_of(points, rows, course.key)
         if isolation:
             # The points are read again to find long flights: the forests must not run twice.
             points = stable(clean_trajectory(points, settings.contamination, course))

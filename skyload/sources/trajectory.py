@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from skyload.settings import Course
+
+# Points of a bucket of a clustered table; a task reads one bucket.
+BUCKET_ROWS = 2_000_000
+
 POINT_COLUMNS = (
     "flight_id",
     "timestamp",
@@ -36,3 +41,24 @@ def times_as_text(points: DataFrame) -> DataFrame:
     return points.withColumns(
         {c: F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss") for c in times}
     )
+
+
+def cluster_points(points: DataFrame, table: str, path: str, course: Course = Course(), rows: int = BUCKET_ROWS) -> DataFrame:
+    """Write points bucketed by flight and sorted along it, one file a bucket, as ``table`` of the session's catalog, and go on from there.
+
+    Windows along flights, counts and features of such a table need neither a shuffle nor a sort, with the same ``course``: points are
+    shuffled once, here, for all runs to come. A flight is in one bucket, whatever its length; one of more than
+    ``course.long_rows`` points is cut into pieces later, as from any table. Without points there is one empty bucket.
+    """
+    spark, course = points.sparkSession, course.over(points.columns)
+    buckets = max(1, -(-points.count() // rows))
+    sorted_by = [course.key, *course.order]
+    spread = points.repartition(buckets, course.key)
+    spread.write.mode("overwrite").option("path", path).bucketBy(buckets, course.key).sortBy(*sorted_by).format("parquet").saveAsTable(table)
+    return clustered_points(spark, table)
+
+
+def clustered_points(spark: SparkSession, table: str) -> DataFrame:
+    """A table of :func:`cluster_points`. Its order is made known to the planner, which is right where each bucket is one file, as there."""
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    return spark.table(table)

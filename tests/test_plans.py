@@ -1,13 +1,17 @@
 """What the plans look like."""
 
 import re
+from dataclasses import replace
 
 import pytest
 
 from checks import views
 from checks.flight_checks import enriched
 from skyload.operators import trajectory as t
+from skyload.operators.outliers import clean_trajectory
 from skyload.operators.prepare import normalise
+from skyload.plans import trajectory as plans
+from skyload.sources.trajectory import cluster_points
 
 
 def plan(df):
@@ -23,6 +27,36 @@ def test_points_to_features_shuffle_and_sort_once(spark, sf_dir, refine):
     assert "Python" not in text and "Pandas" not in text
 
 
+def test_clustered_points_need_no_shuffle_and_no_sort(spark, sf_dir, tmp_path):
+    points = views.trajectory(spark, sf_dir)
+    clustered = cluster_points(points, "clustered_points", str(tmp_path / "points"), views.COURSE, rows=3000)
+    assert clustered.count() == points.count() and sorted(clustered.columns) == sorted(points.columns)
+    found = t.trajectory_features(clustered, views.COURSE, refine=True)
+    text = plan(found)
+    assert "Exchange hashpartitioning" not in text and not re.search(r"\bSort \[", text)
+    wanted = t.trajectory_features(points, views.COURSE, refine=True).select(*found.columns)
+    assert sorted(found.collect()) == sorted(wanted.collect())
+    # A long flight is cut into pieces as from any table.
+    short = replace(views.COURSE, long_rows=40)
+    assert sorted(t.trajectory_features(clustered, short).collect()) == sorted(t.trajectory_features(points, short).select(*found.columns).collect())
+    spark.sql("DROP TABLE clustered_points")
+
+
+def test_forests_run_only_for_flights_that_are_left(spark, sf_dir, monkeypatch):
+    given = []
+
+    def spy(points, *args):
+        given.append(points)
+        return clean_trajectory(points, *args)
+
+    monkeypatch.setattr(plans, "clean_trajectory", spy)
+    flights = views.flights(spark, sf_dir).where("flight_id % 3 = 0")
+    found = plans.trajectory_flight_features(flights, views.aircraft(spark), views.trajectory(spark, sf_dir), course=views.COURSE)
+    worked = {r.flight_id for r in given[0].select("flight_id").distinct().collect()}
+    assert {r.flight_id for r in found.collect()} <= worked and all(key % 3 == 0 for key in worked)
+    assert len(worked) < views.trajectory(spark, sf_dir).select("flight_id").distinct().count()
+
+
 def test_only_needed_event_columns_are_read(spark, sf_dir):
     text = plan(t.trajectory_features(views.trajectory(spark, sf_dir), views.COURSE))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in text
