@@ -34,6 +34,7 @@ from skyload.settings import Settings
 FEW_TREES = (1, 2)
 FEW_BOOSTED = 10
 FEW_SYMMETRIC = 5
+FEW_TRIALS = 20
 SMALL_GBT = m.Learner("gbt", depth=3, iterations=5, rate=0.1)
 SMALL_FOREST = m.Learner("forest", depth=4, iterations=5)
 
@@ -316,6 +317,13 @@ def m16(spark, sf):
     return m.random_search(train, trials=Settings().n_trials, iterations=FEW_TREES)[1]
 
 
+@check("m16_adaptive_search")
+def m16_adaptive(spark, sf):
+    """The first learner with its leaf penalty, over its own depths; proposals from earlier trials; fewer trials, see ``FEW_TRIALS``."""
+    train, _ = prepared(spark, sf)
+    return m.adaptive_search(train, trials=FEW_TRIALS, kind="boosted_deep", iterations=FEW_TREES, parallelism=8)[1]
+
+
 def two_models(train, test):
     return {"boosted": m.train(train, SMALL_GBT, test), "forest": m.train(train, SMALL_FOREST)}
 

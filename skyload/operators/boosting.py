@@ -368,26 +368,51 @@ def best_stage(errors: dict[int, float]) -> int:
     return min(sorted(errors), key=errors.get)
 
 
-def train_histogram(train: DataFrame, settings: Boosting = Boosting(), test: DataFrame | None = None, target: str = TARGET, features: Sequence[str] = ()) -> HistogramModel:
-    """Boosted trees for squared error on the complete rows of ``train``.
+@dataclass(frozen=True)
+class Binned:
+    """Training rows as bytes with the prediction that models begin with: all that models of the same rows share.
 
-    With ``test`` the model is cut at the number of trees of its least error there, and training ends once
-    ``settings.patience`` trees came after that. Without complete rows the model is 0 everywhere.
+    ``model`` has no trees yet; ``unit`` is the largest target, and gradients are whole multiples of 1 / ``scale``.
     """
+
+    model: HistogramModel
+    table: DataFrame
+    count: int
+    unit: float
+    scale: float
+
+    def of(self, rows: DataFrame, target: str = TARGET) -> DataFrame:
+        """Other rows in the same bins, written."""
+        made = byte_table(rows, self.model, target)
+        started = stable(made.withColumn("told", F.lit(self.model.base)))
+        release(made)
+        return started
+
+
+def bin_rows(train: DataFrame, features: Sequence[str], target: str = TARGET) -> Binned:
+    """The complete rows of ``train`` in bins, written; released by the caller."""
     features = list(features)
     rows = train.select(KEY, *[f"`{c}`" for c in features], f"`{target}`").dropna("any")
     model = HistogramModel(features, column_edges(rows, features), 0.0, [])
-    table = byte_table(rows, model, target)
-    count, largest = table.agg(F.count(F.lit(1)), F.max(F.abs("y"))).first()
-    if not count:
+    made = byte_table(rows, model, target)
+    count, largest = made.agg(F.count(F.lit(1)), F.max(F.abs("y"))).first()
+    scale = 1.0
+    if count:
+        # A gradient is at most about twice the largest target; the sum of all has room.
+        scale = 2.0 ** math.floor(SUM_BITS - math.log2(count * 4 * max(largest, 1e-300)))
+        model = replace(model, base=made.agg(F.sum(F.rint(F.col("y") * scale).cast("bigint"))).first()[0] / scale / count)
+    started = stable(made.withColumn("told", F.lit(model.base)))
+    release(made)
+    return Binned(model, started, count, largest or 1.0, scale)
+
+
+def boost(binned: Binned, settings: Boosting, test: DataFrame | None = None) -> HistogramModel:
+    """Boosted trees for squared error; ``test`` has rows in the same bins. Neither table is released."""
+    model, scale = binned.model, binned.scale
+    if not binned.count:
         return model
-    another = partial(grow_levels, unit=largest or 1.0) if settings.symmetric else grow
-    # A gradient is at most about twice the largest target; the sum of all has room.
-    scale = 2.0 ** math.floor(SUM_BITS - math.log2(count * 4 * max(largest, 1e-300)))
-    model = replace(model, base=table.agg(F.sum(F.rint(F.col("y") * scale).cast("bigint"))).first()[0] / scale / count)
-    start = lambda t: stable(t.withColumn("told", F.lit(model.base)))
-    state, held = start(table), start(byte_table(test, model, target)) if test is not None else None
-    release(table)
+    another = partial(grow_levels, unit=binned.unit) if settings.symmetric else grow
+    state, held = binned.table, test
     errors = stage_errors(held, model) if held is not None else {}
     done = 0
     while len(model.trees) < settings.iterations:
@@ -395,15 +420,40 @@ def train_histogram(train: DataFrame, settings: Boosting = Boosting(), test: Dat
             model = replace(model, trees=[*model.trees, tree])
         if len(model.trees) == done:
             break
+        last = len(model.trees) >= settings.iterations
         if held is not None:
             errors |= stage_errors(held, model, done)
-            old, held = held, _told(held, model, done)
-            release(old)
-            if len(model.trees) - best_stage(errors) >= settings.patience:
+            if last or len(model.trees) - best_stage(errors) >= settings.patience:
                 break
-        old, state = state, _told(state, model, done)
-        release(old)
+            held = _after(held, model, done, held is test)
+        if last:
+            break
+        state = _after(state, model, done, state is binned.table)
         done = len(model.trees)
-    for written in (state, held):
-        release(written)
+    for written, given in ((state, binned.table), (held, test)):
+        if written is not given:
+            release(written)
     return replace(model, trees=model.trees[: best_stage(errors)]) if errors else model
+
+
+def _after(table: DataFrame, model: HistogramModel, done: int, keep: bool) -> DataFrame:
+    """The table after all trees, in place of the one after ``done``, which goes unless it is to ``keep``."""
+    newer = _told(table, model, done)
+    if not keep:
+        release(table)
+    return newer
+
+
+def train_histogram(train: DataFrame, settings: Boosting = Boosting(), test: DataFrame | None = None, target: str = TARGET, features: Sequence[str] = ()) -> HistogramModel:
+    """Boosted trees for squared error on the complete rows of ``train``.
+
+    With ``test`` the model is cut at the number of trees of its least error there, and training ends once
+    ``settings.patience`` trees came after that. Without complete rows the model is 0 everywhere.
+    """
+    binned = bin_rows(train, features, target)
+    held = binned.of(test, target) if test is not None else None
+    try:
+        return boost(binned, settings, held)
+    finally:
+        release(binned.table)
+        release(held)

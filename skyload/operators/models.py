@@ -24,18 +24,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyload.constants import KEY, TARGET
-from skyload.operators.boosting import Boosting, HistogramModel, train_histogram
+from skyload.operators.boosting import Boosting, HistogramModel, bin_rows, boost, stage_errors, train_histogram
 from skyload.operators.columns import numeric_columns
 from skyload.operators.linear import LinearModel, eliminate, lasso, least_squares, products
 from skyload.operators.metrics import ensemble_mean, evaluate_models
 from skyload.operators.prepare import split_hash
-from skyload.session import stable
+from skyload.operators.search import Range, propose
+from skyload.session import release, stable
 
 Model = PipelineModel | HistogramModel | LinearModel
 
 SEED = 42
 FEATURES, HELD_OUT = "features", "_held_out"
-# The settings of the grid search, and the ranges that the random search draws from.
+# The settings of the grid search, and the ranges that the searches draw from.
 GRID = {"maxIter": [1000, 2000], "stepSize": [0.01, 0.1], "maxDepth": [4, 6, 8]}
 ITERATIONS = {"boosted": (100, 1000), "boosted_deep": (500, 2000)}
 DEPTHS = {"boosted": (3, 10), "boosted_deep": (4, 10)}
@@ -251,17 +252,38 @@ def grid_search(
     return model, _trial_table(df, trials, "mse")
 
 
+class _BinnedFolds:
+    """The rows without each fold in bins, and the fold in the same ones: written once for all settings of a search."""
+
+    def __init__(self, df: DataFrame, folds: int, target: str, features: list[str]) -> None:
+        self.rows = stable(_folds(df, folds).select(KEY, *features, target, "_fold").dropna("any"))
+        self.parts = []
+        for fold in range(folds):
+            binned = bin_rows(self.rows.where(F.col("_fold") != fold), features, target)
+            held = binned.of(self.rows.where(F.col("_fold") == fold), target)
+            self.parts.append((binned, held, held.count()))
+
+    def error(self, fold: int, learner: Learner) -> float:
+        """Mean squared error on a fold of a model of the other ones, to nine digits, as sums depend on their order beyond; NaN for an empty fold."""
+        binned, held, count = self.parts[fold]
+        model = boost(binned, boosting_of(learner))
+        error = stage_errors(held, model)[len(model.trees)] / count if count else float("nan")
+        return float(f"{error:.9g}")
+
+    def release(self) -> None:
+        for table in (self.rows, *[t for binned, held, _ in self.parts for t in (binned.table, held)]):
+            release(table)
+
+
 def _grid_of_histograms(df, learner, grid, folds, target, parallelism, features):
     features = list(features or feature_columns(df, target))
-    rows = stable(_folds(df, folds).select(KEY, *features, target, "_fold").dropna("any"))
+    parts = _BinnedFolds(df, folds, target, features)
     named = {"maxIter": "iterations", "stepSize": "rate", "maxDepth": "depth", "l2": "l2"}
     settings = [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
     learners = [replace(learner, **{named[n]: v for n, v in s.items()}) for s in settings]
 
     def error(job: tuple[int, int]) -> float:
-        model = train(rows.where(F.col("_fold") != job[1]), learners[job[0]], target=target, features=features)
-        told = model.predict(rows.where(F.col("_fold") == job[1]), carry=[target])
-        return told.agg(F.avg((F.col("prediction") - F.col(target)) ** 2)).first()[0]
+        return parts.error(job[1], learners[job[0]])
 
     jobs = [(i, fold) for i in range(len(settings)) for fold in range(folds)]
     with ThreadPool(parallelism) as pool:
@@ -269,7 +291,9 @@ def _grid_of_histograms(df, learner, grid, folds, target, parallelism, features)
     scores = [sum(errors[i * folds : (i + 1) * folds]) / folds for i in range(len(settings))]
     best = learners[scores.index(min(scores))]
     trials = [{"params": p, "score": s} for p, s in zip(settings, scores, strict=True)]
-    return train(rows, best, target=target, features=features), _trial_table(df, trials, "mse")
+    model = train(parts.rows, best, target=target, features=features)
+    parts.release()
+    return model, _trial_table(df, trials, "mse")
 
 
 def _random_settings(draw: random.Random, kind: str, iterations: tuple[int, int], depth: tuple[int, int]) -> dict[str, float]:
@@ -331,6 +355,77 @@ def random_search(
     return best["params"], _trial_table(df, done, "rmse")
 
 
+def search_space(kind: str, iterations: tuple[int, int] | None = None, depth: tuple[int, int] | None = None) -> dict[str, Range]:
+    """The ranges of :func:`adaptive_search`; trees in steps of a hundred, or of one where the range is shorter."""
+    low, high = iterations or ITERATIONS[kind]
+    shared = {
+        "maxIter": Range(low, high, 100 if high - low >= 100 else 1),
+        "maxDepth": Range(*(depth or DEPTHS[kind]), 1),
+        "stepSize": Range(0.01, 0.3, log=True),
+    }
+    if kind == "boosted_deep":
+        return shared | {"l2": Range(0.01, 10.0, log=True)}
+    return shared | {"subsamplingRate": Range(0.5, 1.0), "featureSubsetStrategy": Range(0.5, 1.0)}
+
+
+_NAMED = {
+    "maxIter": "iterations", "maxDepth": "depth", "stepSize": "rate",
+    "l2": "l2", "subsamplingRate": "subsample", "featureSubsetStrategy": "column_share",
+}
+
+
+def adaptive_search(
+    df: DataFrame,
+    trials: int = 50,
+    timeout: float | None = None,
+    kind: str = "boosted",
+    folds: int = 3,
+    target: str = TARGET,
+    iterations: tuple[int, int] | None = None,
+    depth: tuple[int, int] | None = None,
+    parallelism: int = 4,
+    features: Sequence[str] | None = None,
+) -> tuple[Learner, DataFrame]:
+    """The learner of the best trial by cross-validated rmse, and a row per trial; settings are proposed from earlier trials.
+
+    ``boosted`` searches the second learner of an ensemble, ``boosted_deep`` the first with its leaf penalty. A trial is proposed from those that began at
+    least ``parallelism`` before it, with the ones after them as running, whichever ends first: the table is the same in every run. With a ``timeout``
+    no trial starts after so many seconds, but the first one always runs; the trials that did not are left out of the table.
+    A fold without complete rows has no error to go by, which is a ValueError.
+    """
+    features = list(features or feature_columns(df, target))
+    space = search_space(kind, iterations, depth)
+    usual = FIRST if kind == "boosted_deep" else SECOND
+    parts = _BinnedFolds(df, folds, target, features)
+    if not all(held for *_, held in parts.parts):
+        parts.release()
+        raise ValueError("a fold has no complete rows")
+
+    def learner(settings: Mapping[str, float]) -> Learner:
+        return replace(usual, **{_NAMED[n]: str(v) if n == "featureSubsetStrategy" else v for n, v in settings.items()})
+
+    def run(settings: Mapping[str, float]) -> float:
+        return sum(parts.error(fold, learner(settings)) ** 0.5 for fold in range(folds)) / folds
+
+    started, tried, scores = time.monotonic(), [], []
+    try:
+        with ThreadPool(parallelism) as pool:
+            for i in range(trials):
+                if i >= parallelism:
+                    tried[i - parallelism][1].wait()
+                if i and timeout is not None and time.monotonic() - started > timeout:
+                    break
+                ended = max(0, i - parallelism + 1)
+                done = [(settings, job.get()) for settings, job in tried[:ended]]
+                settings = propose(space, done, [s for s, _ in tried[ended:]], random.Random(f"{SEED}:{i}"))
+                tried.append((settings, pool.apply_async(inheritable_thread_target(df.sparkSession)(run), (settings,))))
+            scores = [job.get() for _, job in tried]
+    finally:
+        parts.release()
+    listed = [{"params": s, "score": e} for (s, _), e in zip(tried, scores, strict=True)]
+    return learner(min(listed, key=lambda t: t["score"])["params"]), _trial_table(df, listed, "rmse")
+
+
 def recursive_elimination(
     df: DataFrame, keep: int = 15, target: str = TARGET, features: Sequence[str] | None = None
 ) -> tuple[list[str], DataFrame]:
