@@ -97,6 +97,69 @@ def m20_linear(spark, sf):
     return m.leaderboard(train, test, {"linear": m.Learner("linear")})[1]
 
 
+_ROUNDS = 3
+
+
+def _reweighted_rounds() -> dict[str, str]:
+    """Views of the rounds of adaptive boosting with one split at a flag: the mean of each side, errors, and the weights after."""
+    rounds = {"w0": "SELECT flight_id, f, y, 1.0 AS w FROM flagged WHERE NOT in_test"}
+    for i in range(1, _ROUNDS + 1):
+        rounds[f"side{i}"] = f"SELECT f, sum(w * y) / sum(w) AS told FROM w{i - 1} GROUP BY f"
+        rounds[f"e{i}"] = f"SELECT w.*, abs(told - y) / max(abs(told - y)) OVER () AS e FROM w{i - 1} w JOIN side{i} USING (f)"
+        rounds[f"loss{i}"] = f"SELECT sum(w * e) / sum(w) AS loss, count(*) / sum(w) AS scale FROM e{i}"
+        rounds[f"w{i}"] = f"SELECT flight_id, f, y, w * scale * pow(loss / (1 - loss), 1 - e) AS w FROM e{i} CROSS JOIN loss{i}"
+    return rounds
+
+
+_TREES = " UNION ALL ".join(f"SELECT f, told, ln((1 - loss) / loss) AS weight FROM side{i} CROSS JOIN loss{i}" for i in range(1, _ROUNDS + 1))
+_FLAG_OF_LABEL = "CASE WHEN wtc = 'M' THEN 1.0 ELSE 0.0 END"
+
+
+@check(
+    "m20_reweighted_medians",
+    sql(
+        "SELECT t.flight_id, round(min(s.told), 4) + 0.0 AS prediction FROM flagged t JOIN summed s ON s.f = t.f "
+        "WHERE in_test AND seen >= half * (1 - 1e-12) GROUP BY t.flight_id",
+        "enriched",
+        flagged=f"SELECT flight_id, {_FLAG_OF_LABEL} AS f, CAST(tow AS DOUBLE) AS y, {_TEST} AS in_test FROM enriched WHERE tow IS NOT NULL",
+        **_reweighted_rounds(),
+        trees=_TREES,
+        summed="SELECT f, told, sum(weight) OVER (PARTITION BY f ORDER BY told) AS seen, sum(weight) OVER (PARTITION BY f) / 2 AS half FROM trees",
+    ),
+    places={"prediction": 4},
+)
+def m20_reweighted(spark, sf):
+    """Three trees of one split: each is the weighted mean of its side, and a prediction their weighted median."""
+    rows = enriched(spark, sf).select("flight_id", "tow", F.expr(_FLAG_OF_LABEL).cast("double").alias("f"))
+    train, test = train_test_split(rows.where("tow IS NOT NULL"))
+    return m.predict(m.train(train, m.Learner("reweighted", depth=1, iterations=_ROUNDS, rate=1.0)), test)
+
+
+_NEAR = ("passengers", "v2_ias", "roc_initial_climb", "mtow_kg", "month")
+_NEAR_COLUMNS = "passengers, v2_ias, roc_initial_climb, mtow_kg, month(date) AS month"
+
+
+@check(
+    "m20_neighbours",
+    sql(
+        "SELECT flight_id, round(avg(u.tow), 4) + 0.0 AS prediction FROM (SELECT flight_id, unnest(near) AS u FROM ("
+        "SELECT q.flight_id, min({'d': d, 'key': r.flight_id, 'tow': r.tow}, 5) AS near FROM told q JOIN known r ON TRUE, "
+        "LATERAL (SELECT " + " + ".join(f"(q.{c} - r.{c}) * (q.{c} - r.{c})" for c in _NEAR) + " AS d) x GROUP BY q.flight_id) y) z GROUP BY flight_id",
+        "enriched",
+        rows_=f"SELECT flight_id, CAST(tow AS DOUBLE) AS tow, {_NEAR_COLUMNS} FROM enriched",
+        whole="SELECT * FROM rows_ WHERE tow IS NOT NULL AND " + " AND ".join(f"{c} IS NOT NULL" for c in _NEAR),
+        known=f"SELECT * FROM whole WHERE NOT ({_TEST})",
+        told=f"SELECT * FROM whole WHERE {_TEST}",
+    ),
+    places={"prediction": 4},
+)
+def m20_neighbours(spark, sf):
+    """Mean weight of the five nearest training flights of each test flight, the smaller keys of equally near ones."""
+    rows = enriched(spark, sf).selectExpr("flight_id", "CAST(tow AS DOUBLE) AS tow", *_NEAR_COLUMNS.split(", ")).dropna("any")
+    train, test = train_test_split(rows)
+    return m.predict(m.train(train, m.Learner("neighbours")), test)
+
+
 @check("m18_importances_sums", "SELECT 'boosted' AS model, 1.0 AS total UNION ALL SELECT 'forest', 1.0 UNION ALL SELECT 'mean', 1.0 FROM (SELECT count(*) AS n FROM orders) o WHERE n > 0")
 def m18_sums(spark, sf):
     """Each model's importances sum up to one, and so do their means; a row for each feature."""

@@ -28,11 +28,15 @@ from skyload.operators.boosting import Boosting, HistogramModel, bin_rows, boost
 from skyload.operators.columns import numeric_columns
 from skyload.operators.linear import LinearModel, eliminate, lasso, least_squares, products
 from skyload.operators.metrics import ensemble_mean, evaluate_models
+from skyload.operators.neighbours import NeighbourModel, index_rows
 from skyload.operators.prepare import split_hash
+from skyload.operators.reweighted import ReweightedTrees, train_reweighted
 from skyload.operators.search import Range, propose
 from skyload.session import release, stable
 
-Model = PipelineModel | HistogramModel | LinearModel
+# Models that predict by a method of their own.
+OWN = (HistogramModel, LinearModel, NeighbourModel, ReweightedTrees)
+Model = PipelineModel | HistogramModel | LinearModel | NeighbourModel | ReweightedTrees
 
 SEED = 42
 FEATURES, HELD_OUT = "features", "_held_out"
@@ -44,7 +48,7 @@ DEPTHS = {"boosted": (3, 10), "boosted_deep": (4, 10)}
 
 @dataclass(frozen=True)
 class Learner:
-    """Settings of a learner; ``kind`` is ``gbt``, ``histogram``, ``symmetric``, ``forest``, ``linear`` or ``lasso``.
+    """Settings of a learner; ``kind`` is ``gbt``, ``histogram``, ``symmetric``, ``forest``, ``linear``, ``lasso``, ``reweighted`` or ``neighbours``.
 
     With a test set ``gbt`` stops at the first tree that does not lower its error by more than the share ``tolerance``, as Spark's
     boosting looks at one at a time. ``histogram`` and ``symmetric`` (:mod:`skyload.operators.boosting`) end ``patience`` trees after the best one and
@@ -60,6 +64,7 @@ class Learner:
     tolerance: float = 0.0
     l2: float = 1.0
     patience: int = 50
+    neighbours: int = 5
 
 
 # Kinds that are boosted on a table of bytes.
@@ -68,6 +73,8 @@ BINNED = ("histogram", "symmetric")
 FIRST = Learner("symmetric", depth=9, iterations=2000, rate=0.15, l2=3.0)
 SECOND = Learner("histogram", depth=8, iterations=2000, rate=0.05)
 TABULAR = Learner("gbt", depth=6, iterations=5000, rate=0.1)
+# A candidate of the leaderboard, with the depth, trees and rate that are usual for it.
+REWEIGHTED = Learner("reweighted", depth=3, iterations=50, rate=1.0)
 
 
 def estimator(learner: Learner, target: str = TARGET):
@@ -109,6 +116,10 @@ def train(
         return train_histogram(df, boosting_of(learner), test, target, features)
     if learner.kind in ("linear", "lasso"):
         return (least_squares if learner.kind == "linear" else lasso)(products(df, features, target))
+    if learner.kind == "reweighted":
+        return train_reweighted(df, features, target, learner.depth, learner.iterations, learner.rate, seed=SEED)
+    if learner.kind == "neighbours":
+        return index_rows(df, features, target, learner.neighbours)
     regressor = estimator(learner, target)
     rows = df.select(KEY, *features, target)
     if test is not None and learner.kind == "gbt":
@@ -127,7 +138,7 @@ def boosting_of(learner: Learner) -> Boosting:
 
 def inputs(model: Model) -> list[str]:
     """The features of a model."""
-    return model.features if isinstance(model, (HistogramModel, LinearModel)) else model.stages[0].getInputCols()
+    return model.features if isinstance(model, OWN) else model.stages[0].getInputCols()
 
 
 def _complete(model: Model) -> Column:
@@ -149,7 +160,7 @@ def batch_predict(models: Mapping[str, Model], df: DataFrame, carry: Sequence[st
     """
     wide = df
     for i, model in enumerate(models.values()):
-        if isinstance(model, (HistogramModel, LinearModel)):
+        if isinstance(model, OWN):
             wide = model.predict(wide, f"_tow_{i}", wide.columns)
             continue
         assembler = model.stages[0].copy()
@@ -163,7 +174,7 @@ def batch_predict(models: Mapping[str, Model], df: DataFrame, carry: Sequence[st
 
 def importances(model: Model, name: str = "importance") -> DataFrame:
     """Rows (feature, <name>); a row per feature of the model."""
-    if isinstance(model, (HistogramModel, LinearModel)):
+    if isinstance(model, OWN):
         return model.importances(name)
     features = model.stages[0].getInputCols()
     values = model.stages[-1].featureImportances.toArray().tolist()
@@ -494,6 +505,10 @@ def settings_table(spark: SparkSession, models: Mapping[str, Model]) -> DataFram
             rows.append((name, "trees", str(len(model.trees))))
         elif isinstance(model, LinearModel):
             rows.append((name, "intercept", str(model.intercept)))
+        elif isinstance(model, NeighbourModel):
+            rows.append((name, "neighbours", str(model.k)))
+        elif isinstance(model, ReweightedTrees):
+            rows.append((name, "trees", str(len(model.weights))))
         else:
             rows += [(name, p.name, str(v)) for p, v in model.stages[-1].extractParamMap().items()]
     return spark.createDataFrame(sorted(rows), "model string, parameter string, value string")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from skyload.operators.boosting import HistogramModel
 from skyload.operators.linear import LinearModel
+from skyload.operators.neighbours import NeighbourModel
+from skyload.operators.reweighted import ReweightedTrees
 from skyload.operators.scores import with_p_values
 
 
@@ -49,19 +51,24 @@ def write_metrics(metrics: DataFrame, path: str, settings: DataFrame | None = No
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
 
-def save_model(model: PipelineModel | HistogramModel | LinearModel, path: str, name: str) -> str:
+# The table that tells a model's kind.
+TABLES = {"nodes": HistogramModel, "coefficients": LinearModel, "neighbours": NeighbourModel, "tree_weights": ReweightedTrees}
+Model = PipelineModel | HistogramModel | LinearModel | NeighbourModel | ReweightedTrees
+
+
+def save_model(model: Model, path: str, name: str) -> str:
     """Save under ``<path>/<name>`` on any file system Spark can write to."""
     target = f"{path.rstrip('/')}/{name}"
-    if isinstance(model, (HistogramModel, LinearModel)):
+    if isinstance(model, tuple(TABLES.values())):
         model.save(SparkSession.active(), target)
     else:
         model.write().overwrite().save(target)
     return target
 
 
-def load_model(spark: SparkSession, path: str, name: str) -> PipelineModel | HistogramModel | LinearModel:
+def load_model(spark: SparkSession, path: str, name: str) -> Model:
     target = f"{path.rstrip('/')}/{name}"
-    for folder, kind in (("nodes", HistogramModel), ("coefficients", LinearModel)):
+    for folder, kind in TABLES.items():
         written = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/{folder}")
         if written.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(written):
             return kind.load(spark, target)
