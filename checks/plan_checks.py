@@ -342,6 +342,13 @@ def m20(spark, sf):
     return m.leaderboard(*prepared(spark, sf), learners)[1]
 
 
+@check("m20_leaderboard_all")
+def m20_all(spark, sf):
+    """Candidates that are not boosted by gradients, with their usual settings."""
+    learners = {"reweighted": m.REWEIGHTED, "neighbours": m.Learner("neighbours"), "support": m.Learner("support")}
+    return m.leaderboard(*prepared(spark, sf), learners)[1]
+
+
 @check("m21_batch_predict")
 def m21(spark, sf):
     train, test = prepared(spark, sf)

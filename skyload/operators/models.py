@@ -32,11 +32,12 @@ from skyload.operators.neighbours import NeighbourModel, index_rows
 from skyload.operators.prepare import split_hash
 from skyload.operators.reweighted import ReweightedTrees, train_reweighted
 from skyload.operators.search import Range, propose
+from skyload.operators.support import SupportModel, train_support
 from skyload.session import release, stable
 
 # Models that predict by a method of their own.
-OWN = (HistogramModel, LinearModel, NeighbourModel, ReweightedTrees)
-Model = PipelineModel | HistogramModel | LinearModel | NeighbourModel | ReweightedTrees
+OWN = (HistogramModel, LinearModel, NeighbourModel, ReweightedTrees, SupportModel)
+Model = PipelineModel | HistogramModel | LinearModel | NeighbourModel | ReweightedTrees | SupportModel
 
 SEED = 42
 FEATURES, HELD_OUT = "features", "_held_out"
@@ -48,7 +49,7 @@ DEPTHS = {"boosted": (3, 10), "boosted_deep": (4, 10)}
 
 @dataclass(frozen=True)
 class Learner:
-    """Settings of a learner; ``kind`` is ``gbt``, ``histogram``, ``symmetric``, ``forest``, ``linear``, ``lasso``, ``reweighted`` or ``neighbours``.
+    """Settings of a learner; ``kind`` is ``gbt``, ``histogram``, ``symmetric``, ``forest``, ``linear``, ``lasso``, ``reweighted``, ``neighbours`` or ``support``.
 
     With a test set ``gbt`` stops at the first tree that does not lower its error by more than the share ``tolerance``, as Spark's
     boosting looks at one at a time. ``histogram`` and ``symmetric`` (:mod:`skyload.operators.boosting`) end ``patience`` trees after the best one and
@@ -120,6 +121,8 @@ def train(
         return train_reweighted(df, features, target, learner.depth, learner.iterations, learner.rate, seed=SEED)
     if learner.kind == "neighbours":
         return index_rows(df, features, target, learner.neighbours)
+    if learner.kind == "support":
+        return train_support(df, features, target, seed=SEED)[0]
     regressor = estimator(learner, target)
     rows = df.select(KEY, *features, target)
     if test is not None and learner.kind == "gbt":
@@ -507,6 +510,8 @@ def settings_table(spark: SparkSession, models: Mapping[str, Model]) -> DataFram
             rows.append((name, "intercept", str(model.intercept)))
         elif isinstance(model, NeighbourModel):
             rows.append((name, "neighbours", str(model.k)))
+        elif isinstance(model, SupportModel):
+            rows.append((name, "cosines", str(len(model.coefficients) - 1)))
         elif isinstance(model, ReweightedTrees):
             rows.append((name, "trees", str(len(model.weights))))
         else:

@@ -11,6 +11,7 @@ from skyload.operators.linear import LinearModel
 from skyload.operators.neighbours import NeighbourModel
 from skyload.operators.reweighted import ReweightedTrees
 from skyload.operators.scores import with_p_values
+from skyload.operators.support import SupportModel
 
 
 def write_stage(df: DataFrame, folder: str, stage: str) -> DataFrame:
@@ -52,8 +53,8 @@ def write_metrics(metrics: DataFrame, path: str, settings: DataFrame | None = No
 
 
 # The table that tells a model's kind.
-TABLES = {"nodes": HistogramModel, "coefficients": LinearModel, "neighbours": NeighbourModel, "tree_weights": ReweightedTrees}
-Model = PipelineModel | HistogramModel | LinearModel | NeighbourModel | ReweightedTrees
+TABLES = {"nodes": HistogramModel, "coefficients": LinearModel, "neighbours": NeighbourModel, "tree_weights": ReweightedTrees, "cosines": SupportModel}
+Model = PipelineModel | HistogramModel | LinearModel | NeighbourModel | ReweightedTrees | SupportModel
 
 
 def save_model(model: Model, path: str, name: str) -> str:
