@@ -1,7 +1,9 @@
+import math
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyload.llm import langid
 from skyload.llm.langid import BUCKETS, Grams, Model, fit_temperature, follow_the_leader, identify, in_fold, keep_identified, predict_held_out, softmax, tf_idf, train
@@ -112,3 +114,94 @@ def test_sample_is_bounded(spark):
     rows = [(i, f"abc {i}", "aa", "s", "x") for i in range(900)] + [(i, "efg", "bb", "s", "x") for i in range(5)]
     model = train(spark.createDataFrame(rows, SCHEMA), rows_per_language=50)
     assert model.languages == ["aa", "bb"]
+
+
+def _plain_grams(text):
+    """Hashed n-grams of a text by how often each occurs: words of letters, a blank before, between and after them."""
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    line = f" {' '.join(words)} " if words else ""
+    found = {}
+    for n in (1, 2, 3):
+        for gram in (line[i : i + n] for i in range(len(line) - n + 1)):
+            if gram != " ":
+                h = 0
+                for c in gram:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c)) % (1 << 64)
+                bucket = int(langid.mix(np.array([(h + n) % (1 << 64)], np.uint64))[0]) >> 49
+                found[bucket] = found.get(bucket, 0) + 1
+    return found
+
+
+def _plain_values(grams, idf):
+    values = {b: (1 + math.log(c)) * idf(b) for b, c in grams.items()}
+    size = math.sqrt(sum(v * v for v in values.values()))
+    return {b: v / size for b, v in values.items()} | {None: 1.0}
+
+
+def _plain_weights(rows, languages):
+    """One coordinate of one language at a time; the coordinate None is the bias."""
+    z, n = {}, {}
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= langid.L1:
+            return 0.0
+        return -(z[key] - math.copysign(langid.L1, z[key])) / ((langid.SMOOTH + math.sqrt(n[key])) / langid.STEP + langid.L2)
+
+    def chances(values, temperature=1.0):
+        logits = [sum(v * weight((b, k)) for b, v in values.items()) / temperature for k in languages]
+        e = [math.exp(x - max(logits)) for x in logits]
+        return [x / sum(e) for x in e]
+
+    for _ in range(langid.PASSES):
+        for values, label in rows:
+            told = chances(values)
+            old = {(b, k): weight((b, k)) for b in values for k in languages}
+            for k, p in zip(languages, told, strict=True):
+                for b, v in values.items():
+                    g, before = v * (p - (k == label)), n.get((b, k), 0.0)
+                    n[b, k] = before + g * g
+                    z[b, k] = z.get((b, k), 0.0) + g - (math.sqrt(n[b, k]) - math.sqrt(before)) / langid.STEP * old[b, k]
+    return chances
+
+
+def _plain_temperature(chances, rows, languages):
+    wrong = 1 / (len(rows) + 2)
+
+    def loss(t):
+        total = 0.0
+        for values, label in rows:
+            for k, p in zip(languages, chances(values, t), strict=True):
+                total -= (1 - wrong if k == label else wrong / (len(languages) - 1)) * math.log(max(p, 1e-300))
+        return total
+
+    low, high = math.log(1 / 50), math.log(50)
+    while high - low > 1e-9:
+        third = (high - low) / 3
+        low, high = (low, high - third) if loss(math.exp(low + third)) <= loss(math.exp(high - third)) else (low + third, high)
+    return math.exp((low + high) / 2)
+
+
+def test_same_as_a_plain_version(spark):
+    """Languages and scores of all rows, from dictionaries and loops; the sample takes every row here."""
+    rows = _rows(110) + ODD + [(2000, "Été, 語 文 x́y 12ab", "aa", "s", "x"), (2001, "e" * 5000, None, "s", "x")]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    drawn = table.where(F.col("doc_id").isNotNull() & ~in_fold() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = drawn.select(F.xxhash64(F.col("doc_id").cast("string"), "text").alias("draw"), "lang", "text").collect()
+    grams = [(r.draw, r.lang, _plain_grams(r.text)) for r in known]
+    seen = {}
+    for *_, g in grams:
+        for b in g:
+            seen[b] = seen.get(b, 0) + 1
+    idf = lambda b: math.log((1 + len(grams)) / (1 + seen.get(b, 0))) + 1
+    languages = sorted({lang for _, lang, _ in grams})
+    vectors = [(_plain_values(g, idf), lang) for _, lang, g in sorted(grams, key=lambda r: r[:2]) if g]
+    chances = _plain_weights([v for i, v in enumerate(vectors) if i % langid.KEPT_APART], languages)
+    temperature = _plain_temperature(chances, [v for i, v in enumerate(vectors) if i % langid.KEPT_APART == 0], languages)
+    wanted = []
+    for i, text, *_ in rows:
+        g = _plain_grams(text)
+        told = chances(_plain_values(g, idf), temperature) if g else [0.0]
+        wanted.append((str(i), languages[told.index(max(told))] if g else "und", round(max(told), 5)))
+    got = [(str(r.doc_id), r.lang_pred, round(r.score, 5)) for r in predict_held_out(table).collect()]
+    assert [r[:2] for r in sorted(got)] == [r[:2] for r in sorted(wanted)]
+    assert [r[2] for r in sorted(got)] == pytest.approx([r[2] for r in sorted(wanted)], abs=1e-4)
