@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from dataclasses import replace
 
 import numpy as np
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skyload.operators import boosting
 from skyload.operators.boosting import Boosting, HistogramModel, byte_table, column_edges, drawn, drawn_columns, stage_errors, train_histogram
+from skyload.session import to_tasks
 
 FEATURES = ["a", "b", "c"]
 
@@ -180,3 +183,30 @@ def test_no_complete_rows(spark):
     df, _, _ = _data(spark)
     model = train_histogram(df.withColumn("b", F.lit(None).cast("double")), Boosting(2, 2), features=FEATURES)
     assert model.trees == [] and model.base == 0.0
+
+
+@pytest.mark.parametrize("symmetric", [True, False])
+def test_models_grow_side_by_side(spark, monkeypatch, symmetric):
+    """Models of several tables and settings are those made one by one, in as many jobs of levels as the largest takes."""
+    monkeypatch.setattr(boosting, "TREES_A_STAGE", 1)
+    tables = [boosting.bin_rows(_data(spark, n, n)[0], FEATURES) for n in (80, 120)]
+    settings = [Boosting(2, 2, 0.3, 1.0, symmetric=symmetric), Boosting(1, 1, 0.5, 3.0, symmetric=symmetric)]
+    jobs = [(t, s) for t in tables for s in settings]
+    alone = [boosting.boost(*job) for job in jobs]
+    levels, plain = [], boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda *a, **k: levels.append(1) or plain(*a, **k))
+    together = boosting.boost_all(jobs)
+    assert len(levels) == 6
+    for a, b in zip(alone, together, strict=True):
+        assert len(a.trees) == len(b.trees) and all((x.value == y.value).all() and (x.feature == y.feature).all() for x, y in zip(a.trees, b.trees, strict=True))
+    monkeypatch.setattr(boosting, "CELLS_IN_TASK", 1)
+    apart = boosting.boost_all(jobs[:2])
+    assert all((x.value == y.value).all() for a, b in zip(alone, apart, strict=False) for x, y in zip(a.trees, b.trees, strict=True))
+
+
+def test_models_reach_tasks_without_the_package(spark):
+    model = HistogramModel(["a"], [np.array([0.0])], 1.0, [])
+    held = to_tasks(spark, model)
+    script = "import pickle, sys; m = pickle.loads(sys.stdin.buffer.read()); print(m.base); assert 'skyload' not in sys.modules"
+    done = subprocess.run([sys.executable, "-I", "-c", script], input=held.value, capture_output=True, cwd="/")
+    assert done.returncode == 0 and done.stdout.strip() == b"1.0", done.stderr
