@@ -125,3 +125,13 @@ def test_segment_models(spark, data, tmp_path):
     assert spark.read.json(f"{tmp_path}/out/metrics/low").count() == 3
     assert set(trained) == {"low", "b77w"} and table.count() == 6
     assert (tmp_path / "low_boosted").is_dir() and (tmp_path / "b77w_forest").is_dir()
+
+
+def test_rows_of_a_task_are_bounded(spark, data, monkeypatch):
+    """Boosted trees and forests get as many partitions as the rows call for, whichever the reader had."""
+    monkeypatch.setattr(models, "TASK_ROWS", 20)
+    seen, whole = [], models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: seen.append(rows.rdd.glom().map(len).collect()) or whole(self, rows))
+    train, test = data
+    models.train(train.coalesce(1), models.Learner("gbt", depth=2, iterations=1), test.coalesce(1))
+    assert sum(seen[0]) == 400 and len(seen[0]) == 20 and max(seen[0]) <= 50
