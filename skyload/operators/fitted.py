@@ -68,7 +68,7 @@ def fit_preparation(
     coded = []
     if labels:
         # A column without values is a single empty one there; NULL and such values get no code.
-        present = levels(train, labels)
+        present = stable(levels(train, labels))
         tables = label_codes(train, labels, rows)
         coded = [t.select(F.lit(c).alias("column"), "value", "code").join(present.where(F.col("column") == c).select("value"), "value", "left_semi") for c, t in tables.items()]
     empty = spark.createDataFrame([], "column string, value string, code int")

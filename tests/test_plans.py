@@ -7,6 +7,7 @@ import pytest
 
 from checks import views
 from checks.flight_checks import enriched
+from checks import plan_checks
 from skyload.operators import trajectory as t
 from skyload.operators.outliers import clean_trajectory
 from skyload.operators.prepare import normalise
@@ -71,3 +72,9 @@ def test_normalising_is_a_projection(spark, sf_dir):
     df = views.table(spark, sf_dir, "supplier").select("s_acctbal")
     text = plan(normalise(df))
     assert "Exchange" not in text and "Join" not in text
+
+
+def test_labelled_rows_are_joined_once(spark, sf_dir):
+    """Rows that are fitted to, scaled and coded in many passes come from a written table, not from the joins of all given ones."""
+    for part in (*plan_checks.rows_with_labels(spark, sf_dir), *plan_checks.training_and_scoring(spark, sf_dir)):
+        assert all("/stages-" in f for f in part.inputFiles())
