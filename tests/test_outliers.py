@@ -145,3 +145,12 @@ def test_distance_cleaning(planted, k):
 
 def test_trajectory_distance_cleaning(flights):
     assert 480 < outliers.clean_trajectory_by_distance(flights).count() < 501
+
+
+def test_clusters_read_written_rows(spark, monkeypatch):
+    """Moments, clusters and distances are passes over complete rows that were made once."""
+    read, found = [], outliers.centre_distances
+    monkeypatch.setattr(outliers, "centre_distances", lambda df, *a, **k: read.append(df.inputFiles()) or found(df, *a, **k))
+    rows = spark.range(200).selectExpr("id AS flight_id", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b")
+    assert outliers.clean_by_distance(rows, k=3).count() <= 200
+    assert read[0] and all("/stages-" in f for f in read[0])
