@@ -154,3 +154,16 @@ def test_clusters_read_written_rows(spark, monkeypatch):
     rows = spark.range(200).selectExpr("id AS flight_id", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b")
     assert outliers.clean_by_distance(rows, k=3).count() <= 200
     assert read[0] and all("/stages-" in f for f in read[0])
+
+
+def test_forests_of_short_flights_grow_together():
+    """Scores from where rows end in growing equal those looked up in each flight's own forest, to the bit."""
+    rng = np.random.default_rng(8)
+    flights = [rng.normal(size=(n, 4)) for n in (2, 3, 64, 65, 67, 256, 1)]
+    flights[3][:, 1] = 1.0
+    flights[4][:, 2:] = np.round(flights[4][:, 2:])
+    flights[2][5, 0] = np.nan
+    seeds = [isolation.tree_seeds(i) for i in range(len(flights))]
+    found = isolation.shared_scores(np.concatenate(flights), np.array([len(f) for f in flights]), np.stack(seeds))
+    own = [isolation.scores(f, isolation.grow(np.repeat(f[None], isolation.TREES, axis=0), s), len(f)) for f, s in zip(flights, seeds)]
+    np.testing.assert_array_equal(found, np.concatenate(own))
