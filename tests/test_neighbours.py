@@ -82,3 +82,25 @@ def test_missing_values_few_rows_and_none(spark, tmp_path):
     assert found.columns == ["flight_id", "tow", "tow_a", "tow_b"] and found.where("tow_a <=> tow_b").count() == 5
     assert models.importances(model).count() == 3
     assert models.settings_table(spark, {"m": model}).first().value == "5"
+
+
+def test_rough_distances_lose_no_neighbour():
+    """Far from the origin products of pairs round badly; the nearest rows and their order are still those of full distances."""
+    rng = np.random.default_rng(6)
+    for far, whole in ((0.0, True), (1e7, False), (1e200, False)):
+        x, points = (far + (np.round(p) if whole else p) for p in (rng.normal(size=(400, 3)) * 5, rng.normal(size=(50, 3)) * 5))
+        d = sum(np.square(points[:, f, None] - x[:, f]) for f in range(3))
+        plain = np.argsort(d, axis=1, kind="stable")[:, :5]
+        own, at, found = neighbours._nearest(x, points, np.full(50, np.inf), 5)
+        np.testing.assert_array_equal(at.reshape(50, 5), plain)
+        own, at, _ = neighbours._nearest(x, points, found.reshape(50, 5)[:, -1], 5)
+        np.testing.assert_array_equal(at.reshape(50, 5), plain)
+
+
+def test_equal_rows_are_asked_for_once(spark, monkeypatch):
+    x = np.repeat(_points(20, 5), 30, axis=0)
+    model = index_rows(_frame(spark, x, x[:, 0]), ["a", "b", "c"], k=3)
+    asked, plain = [], neighbours.neighbours
+    monkeypatch.setattr(neighbours, "neighbours", lambda model, rows: asked.append(rows.count()) or plain(model, rows))
+    told = {r.flight_id: r.prediction for r in model.predict(_frame(spark, x, x[:, 0])).collect()}
+    assert asked == [20] and [told[i] for i in range(600)] == pytest.approx(x[:, 0].tolist())

@@ -92,3 +92,18 @@ def test_learner_saves_and_loads(spark, data, tmp_path):
     shares = {r.feature: r.importance for r in models.importances(model).collect()}
     assert sum(shares.values()) == pytest.approx(1) and max(shares, key=shares.get) == "a"
     assert models.settings_table(spark, {"m": model}).first().value == str(len(model.weights))
+
+
+def test_equal_rows_are_one_with_their_number(spark, data, monkeypatch):
+    """Every tree reads the different rows alone, and the model is that of all rows."""
+    df = data[0].withColumnRenamed("b.b", "b")
+    more = df.crossJoin(spark.range(4).select(F.col("id").alias("copy"))).where("flight_id % 3 = 0 OR copy = 0").drop("copy")
+    read, plain = [], reweighted.stable
+    monkeypatch.setattr(reweighted, "stable", lambda rows: read.append(rows.count()) or plain(rows))
+    model = train_reweighted(more, ["a", "b", "c"], depth=1, iterations=3)
+    _, flags, y = data
+    number = np.where(np.arange(300) % 3 == 0, 4, 1)
+    weights, told = _plain(np.repeat(flags, number, axis=0), np.repeat(y, number), 3, 1.0, 1)
+    assert read == [300] and model.weights == pytest.approx(weights.tolist())
+    got = {r.flight_id: r.prediction for r in model.predict(df.where("flight_id >= 0")).collect()}
+    assert [got[i] for i in range(300)] == pytest.approx(told[np.cumsum(number) - 1].tolist())

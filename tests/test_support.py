@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from skyload.operators import models
+from skyload.operators import models, support
 from skyload.operators.support import COSINES, loss, train_support
 from skyload.sources.sinks import load_model, save_model
 
@@ -77,3 +77,14 @@ def test_no_rows_and_a_constant_target(spark, data):
     even = df.where("flight_id >= 0").selectExpr("flight_id", "a", "0.1D AS tow")
     model, _ = train_support(even, ["a"], cosines=8)
     assert {r.prediction for r in model.predict(even).collect()} == {0.1}
+
+
+def test_equal_rows_are_one_with_their_number(spark, data, monkeypatch):
+    """The steps read different rows alone; mean, deviation and objective are those of all."""
+    df = data[0] if isinstance(data, tuple) else data
+    read, plain = [], support.stable
+    monkeypatch.setattr(support, "stable", lambda rows: read.append(rows.count()) or plain(rows))
+    one, first = train_support(df, ["a", "b"], cosines=8)
+    three, again = train_support(df.unionByName(df).unionByName(df), ["a", "b"], cosines=8, cost=1 / 3)
+    assert read[0] == read[1] and again[0] == pytest.approx(first[0]) and again[-1] == pytest.approx(first[-1])
+    assert (three.mean, three.deviation) == pytest.approx((one.mean, one.deviation))
