@@ -83,6 +83,17 @@ def test_random_search(data):
     assert [r.rmse is None for r in sorted(cut, key=lambda r: r.trial)] == [False, True, True, True]
 
 
+def test_random_search_reads_equal_rows_once(data, monkeypatch):
+    """Copies of all rows change no error: sums are weighted by their number, and their keys are of the same fold here."""
+    df, read, plain = data[0], [], models.stable
+    monkeypatch.setattr(models, "stable", lambda rows: read.append(rows.count()) or plain(rows))
+    found = [
+        {r.trial: r.rmse for r in models.random_search(rows, trials=3, kind="boosted_deep", iterations=(1, 3), depth=(2, 3))[1].collect()}
+        for rows in (df, df.unionByName(df).unionByName(df))
+    ]
+    assert read[0] == read[1] == df.count() and found[1] == pytest.approx(found[0], rel=1e-6)
+
+
 def test_recursive_elimination(data):
     left, ranks = models.recursive_elimination(data[0], keep=2)
     assert left == ["a", "b"]
