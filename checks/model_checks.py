@@ -16,6 +16,7 @@ from skyload.operators import models as m
 from skyload.operators.columns import complete_rows, valid_altitudes
 from skyload.operators.prepare import train_test_split
 from skyload.sources.flights import FLIGHT_SCHEMA
+from skyload.session import stable
 from skyload.sources.trajectory import read_trajectory, times_as_text
 
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in ("flight_id", *FEATURES))
@@ -38,8 +39,9 @@ def _before_and_after(before: DataFrame, after: DataFrame) -> DataFrame:
     ),
 )
 def m2_counts(spark, sf):
-    rows = with_duration(spark, sf).select("flight_id", *FEATURES)
-    return _before_and_after(complete_rows(rows), outliers.clean(rows))
+    # Counted before and after: the flights are joined once.
+    rows = stable(complete_rows(with_duration(spark, sf).select("flight_id", *FEATURES)))
+    return _before_and_after(rows, outliers.clean(rows))
 
 
 @check(

@@ -167,3 +167,13 @@ def test_forests_of_short_flights_grow_together():
     found = isolation.shared_scores(np.concatenate(flights), np.array([len(f) for f in flights]), np.stack(seeds))
     own = [isolation.scores(f, isolation.grow(np.repeat(f[None], isolation.TREES, axis=0), s), len(f)) for f, s in zip(flights, seeds)]
     np.testing.assert_array_equal(found, np.concatenate(own))
+
+
+def test_flights_are_joined_once_to_be_counted_and_cleaned(spark, sf_dir):
+    from checks.registry import QUERIES
+
+    import checks.model_checks  # noqa: F401
+
+    found = QUERIES["m2_isolation_forest_counts"](spark, sf_dir)
+    assert "lineitem" not in found._jdf.queryExecution().toString()
+    assert {r.step for r in found.collect()} == {"before", "after"}
