@@ -38,22 +38,25 @@ MOST_OPEN = 2048
 REMEMBERED = 1 << 17
 # A text is cut at white space after so many characters, so that memory does not grow with its length.
 BLOCK_CHARS = 1 << 18
+# Bytes and rows of texts whose words are looked up at once: a word is looked up once for each of these.
+PIECE_BYTES, PIECE_ROWS = 1 << 22, 4096
 # Words of letters that go through the tokenizer as one text.
 JOINED = 128
 # Pieces of one batch that a task hands over.
 BATCH_PIECES = 1024
 
 
-def _table(chars: bytes) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[list(chars)] = True
-    return out
-
-
-_BLANK, _MARK = _table(b" \t\n\r"), _table(b".,;:!?")
-_ALNUM = _table(bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)))
-# Second bytes of Latin letters whose first byte is 0xC3.
-_LATIN = _table(bytes(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)))
+# What a byte is: a blank, an ASCII letter or digit, the second byte of a Latin letter whose first byte is 0xC3, that byte, a mark.
+_BLANKS = b" \t\n\r"
+_BLANK, _ALNUM, _LATIN, _FIRST, _MARK = 1, 2, 4, 8, 16
+_KINDS = bytearray(256)
+for _kind, _chars in (
+    (_BLANK, _BLANKS), (_ALNUM, bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B))),
+    (_LATIN, bytes(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7))), (_FIRST, b"\xc3"), (_MARK, b".,;:!?"),
+):
+    for _char in _chars:
+        _KINDS[_char] = _kind
+_KINDS = bytes(_KINDS)
 
 
 class WordIds:
@@ -107,16 +110,18 @@ class WordIds:
         Texts are cut at white space, and between a letter or digit and a mark, where the tokenizer splits anyway.
         """
         parts = [text.encode() for text in texts]
-        raw = np.frombuffer(b"\n".join(parts), np.uint8)
-        inside = ~_BLANK[raw]
+        data = b"\n".join(parts)
+        # Each byte is of one kind; strings translate and drop bytes faster than arrays do.
+        kind = np.frombuffer(data.translate(_KINDS), np.uint8)
+        inside = kind != _BLANK
         alone = np.r_[True, ~inside[:-1]]
-        alnum = _ALNUM[raw]
-        alnum[1:] |= _LATIN[raw[1:]] & (raw[:-1] == 0xC3)
-        alone[1:] |= alnum[:-1] & _MARK[raw[1:]]
-        start = np.flatnonzero(alone[: len(raw)] & inside)
+        alnum = kind == _ALNUM
+        alnum[1:] |= (kind[1:] == _LATIN) & (kind[:-1] == _FIRST)
+        alone[1:] |= alnum[:-1] & (kind[1:] == _MARK)
+        start = np.flatnonzero(alone[: len(kind)] & inside)
         before = np.cumsum(inside, dtype=np.int32)
         offsets = np.r_[before[start] - 1, before[-1:]].astype(np.int32)
-        letters = pa.py_buffer(raw[inside])
+        letters = pa.py_buffer(data.translate(None, _BLANKS))
         words = pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(offsets), letters]).dictionary_encode()
         kinds, which = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
         if len(self.known) > REMEMBERED:
@@ -274,7 +279,7 @@ def pack(
 
         for batch in one_by_one(batches):
             type_of_id = batch.schema.field(0).type
-            for piece in pieces(batch):
+            for piece in pieces(batch, PIECE_BYTES, PIECE_ROWS):
                 names_of, texts = piece.column(0).to_pylist(), [t or "" for t in piece.column(1).to_pylist()]
                 if len(texts) == 1 and len(texts[0]) > BLOCK_CHARS:
                     _pack_one(packer, names_of[0], ids.blocks(texts[0]), size, end)
