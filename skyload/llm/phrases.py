@@ -2,12 +2,14 @@
 
 Words become 64-bit ids. A task counts phrases in a trie that branches on the ids of their first words and keeps what
 follows in hash containers; a container that gets large bursts into a branch for each next word. When a task holds many phrases, its
-largest subtrees are written as sorted runs and dropped. Runs are dealt out by prefix, which is the phrase but for most bits of its last
+largest subtrees are written as sorted runs and dropped. Runs are dealt into buckets by prefix, which is the phrase but for most bits of its last
 word, so that what follows a very frequent word is spread, and the counts of equal phrases are added up there.
 
-Words are counted first, then pairs, then phrases of three to five. No phrase is more frequent than a part of it, so
-longer ones are only counted where all words, and later all pairs, are frequent enough; a filter of bounded size tells
-most of those, and one that it lets through in error is found rare when it is counted.
+Words are counted first. No phrase is more frequent than a part of it, so pairs are only looked at where both words are frequent enough, and
+longer phrases where all pairs are. Most of them are rare still, and a row for each would be most of the work. So it is first counted
+how often phrases fall into each of 2^40 slots, pairs and then those of three to five words: a task writes its slots as sorted gaps of a few
+bytes. Only phrases whose slots are frequent are counted in tries. A filter of bounded size tells those; one that it or its slot lets
+through in error is found rare when it is counted.
 """
 
 from __future__ import annotations
@@ -15,16 +17,18 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyload.llm.texts import LOWER, key_filter, may_hold, mix, one_by_one, pieces
-from skyload.session import release, stable
+from skyload.session import in_task, release, stable, to_tasks
 
 LONGEST = 5
 LEAST_COUNT = 100
@@ -34,9 +38,13 @@ FIRST = 2000
 BURST, MOST_ENTRIES = 1 << 13, 1 << 19
 ID = 8  # bytes of a word's id
 # Bytes of text whose phrases are counted before they go into the trie.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 20
 # Copies of the table of words, and parts of each language's phrases.
 SALTS = 16
+# Bits of a phrase's key that are its slot, slots that a task collects before it writes them, and words of text for a bucket of slots.
+SLOT_BITS, MOST_SLOTS, BUCKET_WORDS = 40, 1 << 21, 1 << 20
+# Slots are counted up to here in a task.
+MOST_COUNT = 255
 
 # A byte is of a word, a blank within a piece, or ends a piece.
 _WORD, _BLANK, _END = 0, 1, 2
@@ -104,7 +112,7 @@ class HatTrie:
             for phrase, n in self._run(word):
                 phrases.append(phrase)
                 counts.append(n)
-            if len(phrases) >= 1 << 15:
+            if len(phrases) >= 1 << 17:
                 yield phrases, counts
                 phrases, counts = [], []
         if phrases:
@@ -113,20 +121,34 @@ class HatTrie:
 
 @dataclass
 class Block:
-    """Words of some text: ``code`` of each into ``words`` (pairs of language and word), and the piece that it is in.
+    """Words of some text: ``code`` of each into the distinct ones, and the piece that it is in.
 
-    Phrases that start at one of the first ``own`` words are this block's; others are the next one's.
+    A distinct word is the language ``langs[lang]`` and the bytes of ``known`` at ``word``. Phrases that start at one of the first ``own`` words
+    are this block's; others are the next one's.
     """
 
-    words: list[tuple[str, str]]
+    langs: list[str]
+    known: pa.Array
+    lang: np.ndarray
+    word: np.ndarray
     code: np.ndarray
     piece: np.ndarray
     own: int
 
+    @cached_property
+    def words(self) -> list[tuple[str, str]]:
+        """Language and word of each distinct one."""
+        text = [w.decode("utf-8", "replace") for w in self.known.to_pylist()]
+        return [(self.langs[k], text[w]) for k, w in zip(self.lang.tolist(), self.word.tolist(), strict=True)]
+
     def ids(self, seed: int) -> np.ndarray:
         """A 64-bit id of each distinct word in its language."""
-        made = [xxhash.xxh3_64_intdigest(f"{lang}\0{word}".encode("utf-8", "replace"), seed) for lang, word in self.words]
-        return np.array(made, np.uint64)
+        return _ids(self.langs, self.lang, self.known.to_pylist(), self.word, seed)
+
+
+def _ids(langs: list[str], lang: np.ndarray, known: list[bytes], word: np.ndarray, seed: int) -> np.ndarray:
+    heads, digest = [f"{name}\0".encode("utf-8", "replace") for name in langs], xxhash.xxh3_64_intdigest
+    return np.array([digest(heads[k] + known[w], seed) for k, w in zip(lang.tolist(), word.tolist(), strict=True)], np.uint64)
 
 
 def _block(data: bytes, row_starts: np.ndarray, langs: list[str], own_bytes: int) -> Block | None:
@@ -143,11 +165,16 @@ def _block(data: bytes, row_starts: np.ndarray, langs: list[str], own_bytes: int
     words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
     kinds, which = np.unique(np.array(langs, object), return_inverse=True)
     row = np.searchsorted(row_starts, start, side="right") - 1
-    pair, code = np.unique(which[row] * len(words.dictionary) + words.indices.to_numpy(), return_inverse=True)
-    known = [w.decode("utf-8", "replace") for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
-    named = [(kinds[p // len(known)], known[p % len(known)]) for p in pair.tolist()]
+    size = len(words.dictionary)
+    both = which[row] * size + words.indices.to_numpy()
+    if len(kinds) * size <= 8 * len(both):
+        met = np.zeros(len(kinds) * size, bool)
+        met[both] = True
+        pair, code = np.flatnonzero(met), (np.cumsum(met) - 1)[both]
+    else:
+        pair, code = np.unique(both, return_inverse=True)
     piece = np.cumsum(kind == _END, dtype=np.int32)[start]
-    return Block(named, code, piece, int(np.searchsorted(start, own_bytes)))
+    return Block(kinds.tolist(), words.dictionary, pair // size, pair % size, code, piece, int(np.searchsorted(start, own_bytes)))
 
 
 _CUT = re.compile(rb"[\x20\x09.,;:!?\n\x0b\x0c\r]")
@@ -183,98 +210,201 @@ def _long(text: bytes, langs: list[str], limit: int, longest: int) -> Iterator[B
         start = max(own, start + 1)
 
 
-def _counted(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(which distinct value each is, where it is first, how often it occurs)."""
-    _, first, dense, count = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-    return dense, first, count
+def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
 
 
-def _phrases(block: Block, ids: np.ndarray, shortest: int, longest: int, pair_known: np.ndarray) -> Iterator[tuple[list[bytes], list[int]]]:
-    """Distinct phrases of ``shortest`` to ``longest`` words and their counts; ``pair_known`` tells where both words of a pair may be frequent."""
-    held = ids.astype(">u8")[block.code]
-    at, dense = np.arange(len(block.code)), block.code
-    for size in range(2, longest + 1):
-        # Phrases one word shorter that go on in the same piece with a known pair.
-        goes_on = at + size - 1 < len(block.code)
-        at, dense = at[goes_on], dense[goes_on]
-        goes_on = pair_known[at + size - 2]
-        at, dense = at[goes_on], dense[goes_on]
-        if not len(at):
-            return
-        dense, first, count = _counted(dense.astype(np.int64) * len(ids) + block.code[at + size - 1])
-        if size < shortest:
-            continue
-        own = at < block.own
-        count = np.bincount(dense[own], minlength=len(first)) if not own.all() else count
-        rows = np.flatnonzero(count)
-        flat = held[at[first[rows]][:, None] + np.arange(size)].tobytes()
-        step = size * ID
-        yield [flat[i : i + step] for i in range(0, len(flat), step)], count[rows].tolist()
+def slot(key: np.ndarray) -> np.ndarray:
+    return key >> np.uint64(64 - SLOT_BITS)
 
 
-def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
+@dataclass
+class Frequent:
+    """Filters of what may be frequent: ids of words, slots of pairs and of longer phrases; None lets all through."""
+
+    words: np.ndarray
+    pairs: np.ndarray | None = None
+    longer: np.ndarray | None = None
+
+
+def _phrases(block: Block, ids: np.ndarray, frequent: Frequent, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, first words, keys) of the block's phrases of two words, three and so on that may be frequent."""
+    known, word = may_hold(frequent.words, ids)[block.code], ids[block.code]
+    goes_on = np.zeros(len(word), bool)
+    goes_on[:-1] = known[:-1] & known[1:] & (block.piece[:-1] == block.piece[1:])
+    at = np.flatnonzero(goes_on)
+    key = pair_key(word[at], word[at + 1])
+    if frequent.pairs is not None:
+        may = may_hold(frequent.pairs, slot(key))
+        goes_on[at[~may]] = False
+        at, key = at[may], key[may]
+    for size in range(2, longest + 1):
+        if size > 2:
+            # Phrases one word shorter that go on in the same piece with a known pair.
+            may = goes_on[at + size - 2]
+            at, key = at[may], key[may]
+            key = pair_key(key, word[at + size - 1])
+            if frequent.longer is not None:
+                may = may_hold(frequent.longer, slot(key))
+                at, key = at[may], key[may]
+        own = int(np.searchsorted(at, block.own))
+        yield size, at[:own], key[:own]
+
+
+def _counted(block: Block, held: np.ndarray, size: int, at: np.ndarray, key: np.ndarray) -> tuple[list[bytes], list[int]]:
+    """Distinct phrases and their counts; ``held`` has the id of each word as it is stored."""
+    _, first, which, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    spelt = block.code[at[:, None] + np.arange(size)]
+    if not (spelt == spelt[first][which]).all():  # two phrases with one key
+        first, count = np.arange(len(at)), np.ones(len(at), np.int64)
+    flat = held[spelt[first]].tobytes()
+    step = size * ID
+    return [flat[i : i + step] for i in range(0, len(flat), step)], count.tolist()
+
+
+def _bucket_bits(phrases: int) -> int:
+    """Bits of a bucket's number, so that a bucket holds ``BUCKET_WORDS`` phrases at most on average."""
+    return min(SLOT_BITS - 10, max(8, (phrases // BUCKET_WORDS).bit_length()))
+
+
+def _packed(slots: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Slots, with repetitions, as rows (bucket, gaps, counts): a bucket has those that agree in ``bits`` bits, each as its gap to the one before."""
+    slots = np.sort(slots)
+    first = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]])
+    counts = np.minimum(np.diff(np.r_[first, len(slots)]), MOST_COUNT).astype(np.uint8)
+    slots = slots[first]
+    bucket = slots >> np.uint64(SLOT_BITS - bits)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    gaps = np.diff(slots, prepend=slots[:1])
+    gaps[starts] = slots[starts] & np.uint64((1 << (SLOT_BITS - bits)) - 1)
+    width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
+    flat = np.ascontiguousarray(gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
+    offsets = np.r_[starts, len(slots)].astype(np.int32)
+    cut = lambda data, step: pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets * np.int32(step)), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), cut(flat, width), cut(counts, 1)], names=["bucket", "gaps", "counts"])
+
+
+def _unpacked(bucket: int, gaps: bytes, counts: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and counts of a row of :func:`_packed`."""
+    raw = np.frombuffer(gaps, np.uint8).reshape(len(counts), -1)
+    wide = np.zeros((len(counts), 8), np.uint8)
+    wide[:, : raw.shape[1]] = raw
+    return np.cumsum(wide.view("<u8")[:, 0], dtype=np.uint64) + np.uint64(bucket << (SLOT_BITS - bits)), np.frombuffer(counts, np.uint8)
+
+
+def frequent_slots(documents: DataFrame, frequent: Frequent, shortest: int, longest: int, least: int, seed: int, words: int) -> DataFrame:
+    """Slots (bigint) into which phrases of ``shortest`` to ``longest`` words fall ``least`` times or more, of some ``words`` words of text."""
+    held = to_tasks(documents.sparkSession, frequent)
+    bits = _bucket_bits((longest - shortest + 1) * words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size, told = [], 0, in_task(held)
+        for batch in one_by_one(batches):
+            for block in blocks(batch):
+                for length, _, key in _phrases(block, block.ids(seed), told, longest):
+                    if length >= shortest and len(key):
+                        found.append(slot(key))
+                        size += len(key)
+                if size > MOST_SLOTS:
+                    slots, found, size = np.concatenate(found), [], 0
+                    yield _packed(slots, bits)
+        if found:
+            yield _packed(np.concatenate(found), bits)
+
+    def merge(rows: pa.Table) -> pa.Table:
+        parts = [_unpacked(*row, bits) for row in zip(*(c.to_pylist() for c in rows.columns), strict=True)]
+        slots, counts = (np.concatenate(p) for p in zip(*parts, strict=True))
+        # Slot and count in one number, so that one sort brings equal slots together.
+        both = np.sort((slots << np.uint64(8)) | counts)
+        slots = both >> np.uint64(8)
+        first = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]])
+        total = np.add.reduceat((both & np.uint64(255)).astype(np.int64), first)
+        return pa.table({"slot": pa.array(slots[first[total >= min(least, MOST_COUNT)]].view(np.int64))})
+
+    packed = documents.mapInArrow(run, "bucket int, gaps binary, counts binary")
+    merged = stable(packed.groupBy("bucket").applyInArrow(merge, "slot bigint"))
+    held.destroy()
+    return merged
 
 
 def count_words(documents: DataFrame, seed: int = 0, most: int = MOST_ENTRIES) -> DataFrame:
     """(lang, word, id, n) of all words of (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], list[int]] = {}
+        langs: dict[str, int] = {}
+        held: list[pa.Table] = []
+        rows = 0
 
-        def flush() -> pa.RecordBatch:
-            keys = list(held)
-            columns = [[k[0] for k in keys], [k[1] for k in keys], [v[0] for v in held.values()], [v[1] for v in held.values()]]
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "word", "id", "n"])
+        def added() -> pa.Table:
+            return pa.concat_tables(held).group_by(["lang", "word"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", "word", "n"])
+
+        def told(table: pa.Table) -> pa.RecordBatch:
+            lang, word, n = (c.combine_chunks() for c in table.columns)
+            ids = _ids(list(langs), lang.to_numpy(), word.to_pylist(), np.arange(len(word)), seed)
+            named = pa.array(list(langs), pa.string()).take(lang)
+            return pa.RecordBatch.from_arrays([named, word.cast(pa.string()), pa.array(ids.view(np.int64)), n], names=["lang", "word", "id", "n"])
 
         for batch in one_by_one(batches):
             for block in blocks(batch):
-                counts = np.bincount(block.code[: block.own], minlength=len(block.words)).tolist()
-                for word, id, n in zip(block.words, block.ids(seed).view(np.int64).tolist(), counts, strict=True):
-                    if n:
-                        if (known := held.get(word)) is not None:
-                            known[1] += n
-                        else:
-                            held[word] = [id, n]
-                if len(held) > most // 4:
-                    yield flush()
+                counts = np.bincount(block.code[: block.own], minlength=len(block.word))
+                met = np.flatnonzero(counts)
+                lang = np.array([langs.setdefault(name, len(langs)) for name in block.langs])[block.lang[met]]
+                held.append(pa.table({"lang": lang, "word": block.known.take(pa.array(block.word[met])), "n": counts[met]}))
+                rows += len(met)
+                if rows > most:
+                    held = [added()]
+                    rows = held[0].num_rows
+                    if rows > most // 2:
+                        yield told(held[0])
+                        held, rows = [], 0
         if held:
-            yield flush()
+            yield told(added())
 
     made = documents.mapInArrow(run, "lang string, word string, id bigint, n bigint")
     return stable(made.groupBy("lang", "word").agg(F.first("id").alias("id"), F.sum("n").alias("n")))
 
 
-def count_phrases(documents: DataFrame, words: np.ndarray, pairs: np.ndarray | None, shortest: int, longest: int, least: int, seed: int) -> DataFrame:
-    """(phrase, n) of phrases of word ids that occur at least ``least`` times; ``words`` and ``pairs`` are filters of frequent ones."""
-    held = documents.sparkSession.sparkContext.broadcast((words, pairs))
+def _dealt(phrases: list[bytes], counts: list[int], bits: int) -> pa.RecordBatch:
+    """A run as rows (bucket, phrases, counts), each as sorted as the run; a bucket has whole prefixes."""
+    mask = (1 << bits) - 1
+    bucket = np.array([xxhash.xxh3_64_intdigest(p[: 1 - ID]) & mask for p in phrases], np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    offsets = pa.array(np.r_[starts, len(bucket)].astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(v, k).take(pa.array(order))) for v, k in ((phrases, pa.binary()), (counts, pa.int64()))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *lists], names=["bucket", "phrases", "counts"])
+
+
+def count_phrases(documents: DataFrame, frequent: Frequent, longest: int, least: int, seed: int, words: int) -> DataFrame:
+    """(phrase, n) of phrases of word ids, two to ``longest``, that occur at least ``least`` times in some ``words`` words of text."""
+    held = to_tasks(documents.sparkSession, frequent)
+    bits = _bucket_bits((longest - 1) * words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, (frequent, frequent_pairs) = HatTrie(), held.value
+        trie, told = HatTrie(), in_task(held)
 
         def runs(all: bool) -> Iterator[pa.RecordBatch]:
             for phrases, counts in trie.spill(all):
-                yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.binary()), pa.array(counts, pa.int64())], names=["phrase", "n"])
+                yield _dealt(phrases, counts, bits)
 
         for batch in one_by_one(batches):
             for block in blocks(batch):
                 ids = block.ids(seed)
-                known = may_hold(frequent, ids)[block.code]
-                pair = np.zeros(len(block.code), bool)
-                pair[:-1] = known[:-1] & known[1:] & (block.piece[:-1] == block.piece[1:])
-                if frequent_pairs is not None:
-                    both = np.flatnonzero(pair)
-                    pair[both] = may_hold(frequent_pairs, pair_key(ids[block.code[both]], ids[block.code[both + 1]]))
-                for phrases, counts in _phrases(block, ids, shortest, longest, pair):
-                    trie.add(phrases, counts)
+                stored = ids.astype(">u8")
+                for size, at, key in _phrases(block, ids, told, longest):
+                    if len(at):
+                        trie.add(*_counted(block, stored, size, at, key))
                 yield from runs(all=False)
         yield from runs(all=True)
 
-    prefix = F.expr(f"substring(phrase, 1, length(phrase) - {ID - 1})")
-    dealt = documents.mapInArrow(run, "phrase binary, n bigint").withColumn("prefix", prefix).repartition("prefix")
-    merged = stable(dealt.groupBy("prefix", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("phrase", "n"))
+    def merge(runs: pa.Table) -> pa.Table:
+        both = pa.table({"phrase": runs["phrases"].combine_chunks().flatten(), "n": runs["counts"].combine_chunks().flatten()})
+        added = both.group_by("phrase", use_threads=False).aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+        return added.filter(pc.greater_equal(added["n"], least))
+
+    dealt = documents.mapInArrow(run, "bucket int, phrases array<binary>, counts array<bigint>")
+    merged = stable(dealt.groupBy("bucket").applyInArrow(merge, "phrase binary, n bigint"))
     held.destroy()
     return merged
 
@@ -345,25 +475,19 @@ def collocations(
         counted = count_words(read, seed)
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     words = stable(counted.where(F.col("n") >= least))
-    word_filter = key_filter(words.select("id"))
     key = F.expr(f"unhex(lpad(hex(id), {2 * ID}, '0'))")
-    frequent = words.select(key.alias("phrase"), F.lit(1).alias("size"), "lang", "n")
-    first_word = words.select(key.alias("head"), "lang")
-    found = [count_phrases(read, word_filter, None, 2, 2, least, seed)]
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
+    told = Frequent(key_filter(words.select("id")))
+    told.pairs = key_filter(frequent_slots(read, told, 2, 2, least, seed, n_words))
     if longest > 2:
-
-        def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), ">u8").astype(np.uint64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(pair_key(ids[:, 0], ids[:, 1]).view(np.int64))], names=["key"])
-
-        pair_filter = key_filter(found[0].select("phrase").mapInArrow(keys, "key bigint"))
-        found.append(count_phrases(read, word_filter, pair_filter, 3, longest, least, seed))
-    for part in found:
-        sized = part.select("phrase", (F.octet_length("phrase") / ID).cast("int").alias("size"), F.substring("phrase", 1, ID).alias("head"), "n")
-        copies = first_word.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        spread = sized.withColumn("salt", F.pmod(F.hash("phrase"), F.lit(SALTS)))
-        frequent = frequent.unionByName(spread.join(copies, ["head", "salt"]).select("phrase", "size", "lang", "n"))
+        told.longer = key_filter(frequent_slots(read, told, 3, longest, least, seed, n_words))
+    found = count_phrases(read, told, longest, least, seed, n_words)
+    sized = found.select("phrase", (F.octet_length("phrase") / ID).cast("int").alias("size"), F.substring("phrase", 1, ID).alias("head"), "n")
+    copies = words.select(key.alias("head"), "lang", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    spread = sized.withColumn("salt", F.pmod(F.hash("phrase"), F.lit(SALTS)))
+    frequent = words.select(key.alias("phrase"), F.lit(1).alias("size"), "lang", "n").unionByName(
+        spread.join(copies, ["head", "salt"]).select("phrase", "size", "lang", "n")
+    )
     scored = stable(phrase_scores(stable(frequent), totals))
     kept = _named(_not_inside(scored, percent), words)
     order = [F.desc("score"), F.desc("a"), F.asc("text")]

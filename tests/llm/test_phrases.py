@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -119,3 +120,43 @@ def test_ids_that_clash_are_drawn_again(spark, monkeypatch):
 def test_nothing_frequent_and_no_rows(spark):
     assert _got(spark, [("en", "one two three"), (None, None)]) == []
     assert _got(spark, []) == []
+
+
+def test_rare_phrases_of_frequent_words_reach_no_trie(spark, monkeypatch, tmp_path):
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    rows = [("en", " ".join(draw.choice([*words, "at the very end"]) for _ in range(2000)) + ".") for _ in range(4)]
+    folder = str(tmp_path)
+
+    class Noted(HatTrie):
+        def add(self, found, counts):
+            with open(f"{folder}/added", "a") as file:
+                file.write(f"{len(found)}\n")
+            super().add(found, counts)
+
+    monkeypatch.setattr(phrases, "HatTrie", Noted)
+    wanted = _plain(rows, 60)
+    assert _got(spark, rows, least=60) == wanted and "at the very end" in [r[2] for r in wanted]
+    # Some 1,600 pairs of frequent words in each of three parts, but hardly more frequent phrases than six.
+    assert sum(map(int, (tmp_path / "added").read_text().split())) < 100
+
+
+@pytest.mark.parametrize("bits", [6, 13, 30])
+def test_packed_slots_come_back(bits):
+    draw = random.Random(2)
+    slots = [draw.randrange(1 << phrases.SLOT_BITS) for _ in range(500)] + [0, (1 << phrases.SLOT_BITS) - 1] + [7] * 300 + [1 << 39] * 3
+    got = {}
+    for row in zip(*(c.to_pylist() for c in phrases._packed(np.array(slots, np.uint64), bits).columns)):
+        found, counts = phrases._unpacked(*row, bits)
+        assert {s >> (phrases.SLOT_BITS - bits) for s in found.tolist()} == {row[0]}
+        got |= dict(zip(found.tolist(), counts.tolist(), strict=True))
+    assert got == {s: min(n, phrases.MOST_COUNT) for s, n in Counter(slots).items()}
+
+
+def test_phrases_with_one_key_are_told_apart():
+    (block,) = blocks(pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["a b a b c d"])], names=["lang", "text"]))
+    ids = block.ids(0).astype(">u8")
+    got = Counter()
+    for phrase, n in zip(*phrases._counted(block, ids, 2, np.array([0, 2, 4]), np.zeros(3, np.uint64)), strict=True):
+        got[phrase] += n
+    assert sorted(got.values()) == [1, 2]
