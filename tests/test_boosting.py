@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyload.operators import boosting
+from skyload.operators import boosting, boosting_whole
 from skyload.operators.boosting import Boosting, HistogramModel, byte_table, column_edges, drawn, drawn_columns, stage_errors, train_histogram
 from skyload.session import to_tasks
 
@@ -210,3 +210,48 @@ def test_models_reach_tasks_without_the_package(spark):
     script = "import pickle, sys; m = pickle.loads(sys.stdin.buffer.read()); print(m.base); assert 'skyload' not in sys.modules"
     done = subprocess.run([sys.executable, "-I", "-c", script], input=held.value, capture_output=True, cwd="/")
     assert done.returncode == 0 and done.stdout.strip() == b"1.0", done.stderr
+
+
+@pytest.mark.parametrize("settings", [Boosting(4, 5, 0.3), Boosting(8, 3, 0.5, 0.0, subsample=0.6, column_share=0.5), Boosting(5, 5, 0.3, 3.0, symmetric=True)])
+@pytest.mark.parametrize("weight", [None, "times"])
+def test_models_of_a_task_are_those_of_many_jobs(spark, monkeypatch, settings, weight):
+    """To the bit, with equal rows as one too, and with cells counted in any number of pieces."""
+    monkeypatch.setattr(boosting, "TREES_A_STAGE", 2)
+    df, test = (_data(spark, n, n)[0].withColumn("times", (F.col("flight_id") % 3 + 1).cast("double")) for n in (250, 90))
+    binned = boosting.bin_rows(df, FEATURES, weight=weight)
+    held = binned.of(test)
+    wanted = boosting.boost_all([(binned, settings)])[0]
+    errors = stage_errors(held, wanted)
+    sent = boosting_whole.send(binned, held)
+    for cells in (1 << 18, 300):
+        monkeypatch.setattr(boosting_whole, "CELLS_AT_ONCE", cells)
+        [(found, course)] = boosting_whole.boost_whole([(sent, settings)], 2)
+        assert len(found.trees) == len(wanted.trees) == settings.iterations and found.base == wanted.base
+        for a, b in zip(found.trees, wanted.trees, strict=True):
+            assert a.feature.tolist() == b.feature.tolist() and a.bin.tolist() == b.bin.tolist() and a.value.tolist() == b.value.tolist()
+            assert a.gain == pytest.approx(b.gain)
+        assert course == pytest.approx([errors[i] for i in range(len(course))])
+
+
+def test_copies_of_rows_weigh_as_their_number(spark):
+    """A row that stands for three grows the trees of three rows."""
+    df, _, _ = _data(spark, 100)
+    thrice = train_histogram(df.unionByName(df).unionByName(df), Boosting(3, 4, 0.3), features=FEATURES)
+    binned = boosting.bin_rows(df.withColumn("times", F.lit(3.0)), FEATURES, weight="times")
+    [(once, _)] = boosting_whole.boost_whole([(boosting_whole.send(binned), Boosting(3, 4, 0.3))], 10)
+    assert binned.count == 300 and [_nested(t) for t in once.trees] == [_nested(t) for t in thrice.trees]
+
+
+@pytest.mark.parametrize("symmetric", [True, False])
+def test_few_rows_grow_in_a_task_and_many_in_jobs(spark, monkeypatch, symmetric):
+    """The same model with the same patience, whichever way: a level is a job only where a task does not hold the rows."""
+    (df, _, _), (test, _, _) = _data(spark, 60), _data(spark, 80, seed=5)
+    settings, levels, plain = Boosting(3, 12, 0.9, 0.0, patience=4, symmetric=symmetric), [], boosting._histograms
+    monkeypatch.setattr(boosting, "TREES_A_STAGE", 3)
+    monkeypatch.setattr(boosting, "_histograms", lambda *a, **k: levels.append(1) or plain(*a, **k))
+    whole = train_histogram(df, settings, test, features=FEATURES)
+    assert not levels
+    monkeypatch.setattr(boosting_whole, "BYTES_IN_TASK", 43 * 59)
+    parts = train_histogram(df, settings, test, features=FEATURES)
+    assert levels and len(whole.trees) == len(parts.trees)
+    assert all(a.feature.tolist() == b.feature.tolist() and a.value.tolist() == b.value.tolist() for a, b in zip(whole.trees, parts.trees, strict=True))

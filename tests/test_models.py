@@ -146,3 +146,37 @@ def test_rows_of_a_task_are_bounded(spark, data, monkeypatch):
     train, test = data
     models.train(train.coalesce(1), models.Learner("gbt", depth=2, iterations=1), test.coalesce(1))
     assert sum(seen[0]) == 400 and len(seen[0]) == 20 and max(seen[0]) <= 50
+
+
+def test_settings_share_the_trees_of_the_longest(data, monkeypatch):
+    """Settings that differ in the number of trees alone are one model, and have the errors that they have alone."""
+    made, plain = [], models.boost_whole
+    monkeypatch.setattr(models, "boost_whole", lambda jobs, *a, **k: made.append(len(jobs)) or plain(jobs, *a, **k))
+    for learner in (models.SECOND, models.FIRST):
+        grid = {"maxIter": [2, 5], "stepSize": [0.1], "maxDepth": [2, 3]}
+        together = {(r.maxIter, r.maxDepth): r.mse for r in models.grid_search(data[0], learner, grid)[1].collect()}
+        assert made.pop() == 2 * 3
+        alone = models.grid_search(data[0], learner, {"maxIter": [2], "stepSize": [0.1], "maxDepth": [3]})[1].first().mse
+        made.pop()
+        assert together[2, 3] == pytest.approx(alone) and len(set(together.values())) == 4
+        monkeypatch.setattr("skyload.operators.boosting_whole.BYTES_IN_TASK", 0)
+        assert {(r.maxIter, r.maxDepth): r.mse for r in models.grid_search(data[0], learner, grid)[1].collect()} == pytest.approx(together)
+        assert not made
+        monkeypatch.undo()
+        monkeypatch.setattr(models, "boost_whole", lambda jobs, *a, **k: made.append(len(jobs)) or plain(jobs, *a, **k))
+
+
+def test_random_search_against_separate_models(data):
+    """A trial's error is that of models trained apart on the rows without each fold."""
+    rows = models._folds(data[0], 3)
+    best, table = models.random_search(data[0], trials=2, kind="boosted_deep", iterations=(2, 4), depth=(2, 3), features=["a", "b"])
+    for r in table.collect():
+        learner = models.Learner("histogram", int(r.maxDepth), int(r.maxIter), r.stepSize, l2=0.0)
+        errors = []
+        for fold in range(3):
+            model = models.train(rows.where(F.col("_fold") != fold), learner, features=["a", "b"])
+            told = models.predict(model, rows.where(F.col("_fold") == fold), ("flight_id", "tow"))
+            errors.append(math.sqrt(told.agg(F.avg((F.col("prediction") - F.col("tow")) ** 2)).first()[0]))
+        assert r.rmse == pytest.approx(sum(errors) / 3, rel=1e-6)
+    with pytest.raises(ValueError):
+        models.random_search(data[0].limit(0), trials=1)
