@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from skyload.operators import target_statistics
 from skyload.operators.target_statistics import TargetStatistics, apply_statistics, fit_statistics, ordered_statistics
 
 ROWS = [(i, "hot" if i % 3 else f"c{i % 7}", None if i % 11 == 0 else "x", float(i * i % 97) if i % 13 else None) for i in range(200)]
@@ -58,3 +59,14 @@ def test_no_rows_and_repeated_keys(spark, df):
     fitted = fit_statistics(twice, ["kind"])
     first, second = [sorted(tuple(r) for r in ordered_statistics(twice.repartition(n), fitted, ["kind"], stretch_rows=50).select("flight_id", "kind_statistic").collect()) for n in (1, 6)]
     assert first == second and len(first) == twice.count()
+
+
+def test_rows_are_dealt_out_once_for_all_columns(spark, df, monkeypatch):
+    """However many columns there are, rows with their features go through one shuffle, and what comes out is written."""
+    plans, plain = [], target_statistics.stable
+    monkeypatch.setattr(target_statistics, "stable", lambda rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or plain(rows))
+    columns = ["kind", "other"]
+    found = ordered_statistics(df, fit_statistics(df, columns), columns, stretch_rows=50)
+    wide = [line for line in plans[-1].splitlines() if "Exchange" in line and "REPARTITION_BY_COL" in line]
+    assert len(wide) == 1 and "_stretch" in wide[0]
+    assert all("/stages-" in f for f in found.inputFiles())
