@@ -78,3 +78,27 @@ def test_labelled_rows_are_joined_once(spark, sf_dir):
     """Rows that are fitted to, scaled and coded in many passes come from a written table, not from the joins of all given ones."""
     for part in (*plan_checks.rows_with_labels(spark, sf_dir), *plan_checks.training_and_scoring(spark, sf_dir)):
         assert all("/stages-" in f for f in part.inputFiles())
+
+
+def test_searches_and_segments_run_with_all_trees_trials_and_depths(spark, sf_dir, monkeypatch):
+    """Queries hand on no range, number of trials or learners below those of the source."""
+    given = {}
+
+    def spy(name):
+        def run(*args, **kwargs):
+            given[name] = (args[1:], kwargs)
+            return {}, None
+
+        return run
+
+    monkeypatch.setattr(plan_checks, "prepared", lambda spark, sf: (None, None))
+    monkeypatch.setattr(plan_checks, "segmented_features", lambda *args, **kwargs: None)
+    for name in ("grid_search", "random_search", "adaptive_search"):
+        monkeypatch.setattr(plan_checks.m, name, spy(name))
+    monkeypatch.setattr(plan_checks, "train_segment_models", spy("segments"))
+    for query in (plan_checks.m15, plan_checks.m16, plan_checks.m16_adaptive, plan_checks.l3):
+        query(spark, sf_dir)
+    assert given["grid_search"] == ((plan_checks.m.SECOND,), {})
+    assert given["random_search"] == ((), {"trials": 50})
+    assert given["adaptive_search"] == ((), {"trials": 50, "kind": "boosted_deep", "parallelism": 8})
+    assert given["segments"] == ((), {})
